@@ -130,7 +130,7 @@ def _prefix_features(x: np.ndarray, ends: np.ndarray, specs) -> list[list[float]
         vals = [math.nan] * len(specs)
         for i in order_specs:
             calc, params, _ = specs[i]
-            vals[i] = _sorted_quantile(srt, 0.5 if calc == "median" else params["q"])
+            vals[i] = _sorted_median(srt) if calc == "median" else _sorted_quantile(srt, params["q"])
         if other_specs:
             for i, v in zip(other, window_values(x[:e + 1], other_specs)):
                 vals[i] = v
@@ -138,13 +138,25 @@ def _prefix_features(x: np.ndarray, ends: np.ndarray, specs) -> list[list[float]
     return rows
 
 
+def _sorted_median(srt: list) -> float:
+    """Median of a sorted list: the middle value, or the mean of the middle pair."""
+    n = len(srt)
+    if n == 0:
+        return math.nan
+    k = n // 2
+    return float(srt[k]) if n % 2 else (srt[k - 1] + srt[k]) / 2.0
+
+
 def _sorted_quantile(srt: list, q: float) -> float:
-    """Linear-interpolation quantile of an already sorted list."""
+    """Linear-interpolation quantile of a sorted list (numpy's default rule,
+    including its two-sided interpolation formula)."""
     n = len(srt)
     if n == 0:
         return math.nan
     pos = (n - 1) * q
     lo = int(math.floor(pos))
     hi = min(lo + 1, n - 1)
-    frac = pos - lo
-    return srt[lo] + (srt[hi] - srt[lo]) * frac
+    t = pos - lo
+    a, b = srt[lo], srt[hi]
+    diff = b - a
+    return b - diff * (1 - t) if t >= 0.5 else a + diff * t

@@ -16,6 +16,7 @@ _BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -31,6 +32,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     conf = dict(_BASE_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf.setdefault("spark.driver.memory", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -62,3 +66,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="tsengine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the copy.
+
+    Cuts the lineage of a frame that several later stages reuse (features
+    feed targets, imputation and tests), so it is computed once and a lost
+    executor re-reads files instead of recomputing the extraction.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -16,7 +16,7 @@ def top_n(markets: DataFrame, n: int, by: str = "market_cap", id_col: str = "id"
         raise ValueError("n must be >= 1")
     top = markets.orderBy(F.col(by).desc_nulls_last(), F.col(id_col).asc()).limit(n)
     return top.select(id_col, by, F.row_number().over(
-        _rank_window(by, id_col)).alias("rank"))
+        _rank_window(by, id_col)).cast("bigint").alias("rank"))
 
 
 def _rank_window(by: str, id_col: str):

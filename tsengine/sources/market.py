@@ -103,10 +103,14 @@ def ticks_to_payload(ticks: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS,
     order = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))
     rows = ticks.select(coin, F.to_date(ts).alias("day"), F.struct(order.alias("o"), *pairs).alias("r"))
     doc = rows.groupBy(coin, "day").agg(F.array_sort(F.collect_list("r")).alias("rs"))
-    body = F.struct(*[F.transform("rs", lambda r, m=m: r[m]).alias(m) for m in metrics])
+    body = F.struct(*[F.transform("rs", _field(m)).alias(m) for m in metrics])
     return doc.select(F.col(coin).alias("coin"), "day", F.to_json(body).alias("payload"))
 
 
+def _field(name: str):
+    return lambda r: r[name]
+
+
 def time_range(df: DataFrame, as_of, days: float, ts: str = "ts") -> DataFrame:
     """Keep ticks in ``[as_of - days, as_of]``; ``as_of`` is explicit for reproducible runs."""
     as_of = _to_ntz(as_of)

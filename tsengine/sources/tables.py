@@ -62,3 +62,9 @@ def nation_coin_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(F.col("n_nationkey").cast("string").alias("id"),
                     F.lower(F.substring("n_name", 1, 3)).alias("symbol"),
                     F.col("n_name").alias("name"))
+
+
+def events_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market ranking for the event coins: total traded value per coin (X3 shape)."""
+    e = table(spark, sf_dir, "events")
+    return e.groupBy(F.col("event_type").alias("id")).agg(F.sum("value").alias("market_cap"))
