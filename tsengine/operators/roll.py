@@ -47,8 +47,9 @@ def prepare_series(long: DataFrame, null_policy: str = "drop", variable: str = "
     rows = src.withColumn("_b", _block(order, block_seconds))
     run = Window.partitionBy(variable, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_in", F.last(value, ignorenulls=True).over(run))
-    last_in_block = (rows.filter(F.col(value).isNotNull()).groupBy(variable, "_b")
-                     .agg(F.max_by(value, order).alias("_last")))
+    # every block gets a row (also blocks holding only nulls), so each can receive a carry
+    last_in_block = rows.groupBy(variable, "_b").agg(
+        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last"))
     wb = Window.partitionBy(variable).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = last_in_block.select(variable, "_b", F.last("_last", ignorenulls=True).over(wb).alias("_carry"))
     rows = rows.join(carry, [variable, "_b"], "left")
