@@ -294,4 +294,109 @@ FROM b"""
     q["q28_tail"] = _with(_hourly_features(), _targets("tg", "fe", R.TARGET, "price")) + \
         f"""SELECT datetime, target, round(lr, {_R}) AS lr, round(vol, {_R}) AS vol, round(y_future, {_R}) AS y_future
 FROM tg ORDER BY datetime DESC LIMIT {R.TAIL_ROWS}"""
+    q["q32_change_features"] = _with(TICKS, _aligned("al", R.HOUR), _native_base("nb", "al")) + _change_sql("nb")
+    q["q33_distribution_features"] = _with(TICKS, _aligned("al", R.HOUR), _native_base("nb", "al")) + \
+        _distribution_sql("nb")
     return q
+
+
+def _native_base(name: str, src: str) -> str:
+    """Running exact sums on unscaled integers ``u`` (value x 100) per window end."""
+    lags = ", ".join(f"lag(u, {k}) OVER o AS l{k}" for k in range(1, 7))
+    return f"""{name}_s AS (
+  SELECT variable, datetime, value, CAST(value * 100 AS HUGEINT) AS u FROM {src} WHERE value IS NOT NULL),
+{name}_l AS (
+  SELECT *, {lags}, lag(value) OVER o AS lagv
+  FROM {name}_s WINDOW o AS (PARTITION BY variable ORDER BY datetime)),
+{name} AS (
+  SELECT variable, datetime, value, lagv, l1,
+         CAST(count(*) OVER w AS DOUBLE) AS n,
+         sum(u) OVER w AS s1, sum(u * u) OVER w AS s2, sum(u * u * u) OVER w AS s3,
+         sum(u * u * u * u) OVER w AS s4,
+         sum(coalesce(abs(u - l1), 0)) OVER w AS sad,
+         sum(coalesce((u - l1) * (u - l1), 0)) OVER w AS sdd,
+         sum(coalesce(u * l1 * l2, 0)) OVER w AS c3_1, sum(coalesce(u * l2 * l4, 0)) OVER w AS c3_2,
+         sum(coalesce(u * l3 * l6, 0)) OVER w AS c3_3,
+         sum(coalesce(u * u * l1 - l1 * l2 * l2, 0)) OVER w AS tra_1,
+         sum(coalesce(u * u * l2 - l2 * l4 * l4, 0)) OVER w AS tra_2,
+         sum(coalesce(u * u * l3 - l3 * l6 * l6, 0)) OVER w AS tra_3,
+         first_value(value) OVER w AS h1, nth_value(value, 2) OVER w AS h2,
+         max(value) OVER w AS mx, min(value) OVER w AS mn,
+         sum(CASE WHEN value >= 0 THEN 1 ELSE 0 END) OVER w AS ca,
+         sum(CASE WHEN value <= 0 THEN 1 ELSE 0 END) OVER w AS cb,
+         sum(CASE WHEN value = 0 THEN 1 ELSE 0 END) OVER w AS vc0,
+         sum(CASE WHEN value = 1 THEN 1 ELSE 0 END) OVER w AS vc1,
+         sum(CASE WHEN value = -1 THEN 1 ELSE 0 END) OVER w AS vcm1,
+         sum(CASE WHEN value >= -1 AND value < 1 THEN 1 ELSE 0 END) OVER w AS rc1,
+         sum(CASE WHEN value >= -1e12 AND value < 0 THEN 1 ELSE 0 END) OVER w AS rc2,
+         sum(CASE WHEN value >= 0 AND value < 1e12 THEN 1 ELSE 0 END) OVER w AS rc3,
+         sum(CASE WHEN (value > 0) <> (lagv > 0) THEN 1 ELSE 0 END) OVER w AS nc0,
+         sum(CASE WHEN (value > -1) <> (lagv > -1) THEN 1 ELSE 0 END) OVER w AS ncm1,
+         sum(CASE WHEN (value > 1) <> (lagv > 1) THEN 1 ELSE 0 END) OVER w AS nc1
+  FROM {name}_l
+  WINDOW w AS (PARTITION BY variable ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+{name}_v AS (
+  SELECT *, CAST(CAST(n AS HUGEINT) * s2 - s1 * s1 AS DOUBLE) AS a2,
+         CAST(CAST(n AS HUGEINT) * s2 - s1 * s1 AS DOUBLE) / (n * n * CAST(10000.0 AS DOUBLE)) AS var
+  FROM {name})"""
+
+
+def _feature_rows(name: str, items: list[tuple[str, str]]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT variable, datetime, variable || '__{suffix}' AS feature, CAST({expr} AS DOUBLE) AS value FROM {name}_v"
+        for suffix, expr in items)
+
+
+def _change_sql(nb: str) -> str:
+    D = "CAST({} AS DOUBLE)"
+    items = [
+        ("abs_energy", "CAST(s2 AS DOUBLE) / CAST(10000.0 AS DOUBLE)"),
+        ("absolute_sum_of_changes", "CAST(sad AS DOUBLE) / CAST(100.0 AS DOUBLE)"),
+        ("mean_abs_change", "CASE WHEN n > 1 THEN (CAST(sad AS DOUBLE) / CAST(100.0 AS DOUBLE)) / (n - 1) END"),
+        ("mean_change", "CASE WHEN n > 1 THEN (CAST(value AS DOUBLE) - CAST(h1 AS DOUBLE)) / (n - 1) END"),
+        ("mean_second_derivative_central",
+         "CASE WHEN n > 2 THEN (CAST(value AS DOUBLE) - CAST(lagv AS DOUBLE) - CAST(h2 AS DOUBLE) + CAST(h1 AS DOUBLE))"
+         " / (CAST(2.0 AS DOUBLE) * (n - 2)) END"),
+        ("cid_ce__normalize_True", "CASE WHEN sqrt(var) = 0 THEN 0.0 ELSE sqrt(CAST(sdd AS DOUBLE) / "
+                                   "CAST(10000.0 AS DOUBLE)) / sqrt(var) END"),
+        ("cid_ce__normalize_False", "sqrt(CAST(sdd AS DOUBLE) / CAST(10000.0 AS DOUBLE))"),
+    ]
+    for k in (1, 2, 3):
+        items.append((f"c3__lag_{k}", f"CASE WHEN n <= {2 * k} THEN 0.0 ELSE "
+                                      f"(CAST(c3_{k} AS DOUBLE) / CAST(1000000.0 AS DOUBLE)) / (n - {2 * k}) END"))
+    for k in (1, 2, 3):
+        items.append((f"time_reversal_asymmetry_statistic__lag_{k}",
+                      f"CASE WHEN n <= {2 * k} THEN 0.0 ELSE "
+                      f"(CAST(tra_{k} AS DOUBLE) / CAST(1000000.0 AS DOUBLE)) / (n - {2 * k}) END"))
+    items += [("number_crossing_m__m_0", "nc0"), ("number_crossing_m__m_-1", "ncm1"), ("number_crossing_m__m_1", "nc1")]
+    del D
+    return _feature_rows(nb, items)
+
+
+def _distribution_sql(nb: str) -> str:
+    std = "sqrt(var)"
+    mean = "(CAST(s1 AS DOUBLE) / (n * CAST(100.0 AS DOUBLE)))"
+    # HUGEINT -> text -> DOUBLE rounds once (a direct cast of values above 2^64 may round twice)
+    a3 = "CAST(CAST(CAST(n AS HUGEINT) * CAST(n AS HUGEINT) * s3 - 3 * CAST(n AS HUGEINT) * s1 * s2 + 2 * s1 * s1 * s1 AS VARCHAR) AS DOUBLE)"
+    a4 = ("CAST(CAST(CAST(n AS HUGEINT) * CAST(n AS HUGEINT) * CAST(n AS HUGEINT) * s4"
+          " - 4 * CAST(n AS HUGEINT) * CAST(n AS HUGEINT) * s1 * s3"
+          " + 6 * CAST(n AS HUGEINT) * s1 * s1 * s2 - 3 * s1 * s1 * s1 * s1 AS VARCHAR) AS DOUBLE)")
+    items = [
+        ("skewness", f"CASE WHEN n < 3 THEN NULL WHEN a2 = 0 THEN 0.0 "
+                     f"ELSE sqrt(n) * sqrt(n - 1) / (n - 2) * {a3} / (a2 * sqrt(a2)) END"),
+        ("kurtosis", f"CASE WHEN n < 4 THEN NULL WHEN (n - 2) * (n - 3) * a2 * a2 = 0 THEN 0.0 "
+                     f"ELSE (n + 1) * (n - 1) * {a4} / ((n - 2) * (n - 3) * a2 * a2) "
+                     f"- CAST(3.0 AS DOUBLE) * (n - 1) * (n - 1) / ((n - 2) * (n - 3)) END"),
+        ("variation_coefficient", f"CASE WHEN {mean} <> 0 THEN {std} / {mean} END"),
+        ("variance_larger_than_standard_deviation", f"CASE WHEN var > {std} THEN 1.0 ELSE 0.0 END"),
+    ]
+    for r in range(1, 20):
+        rv = r * 0.05
+        items.append((f"large_standard_deviation__r_{rv}",
+                      f"CASE WHEN {std} > CAST({rv!r} AS DOUBLE) * (CAST(mx AS DOUBLE) - CAST(mn AS DOUBLE)) "
+                      f"THEN 1.0 ELSE 0.0 END"))
+    items += [("count_above__t_0", "CAST(ca AS DOUBLE) / n"), ("count_below__t_0", "CAST(cb AS DOUBLE) / n"),
+              ("value_count__value_0", "vc0"), ("value_count__value_1", "vc1"), ("value_count__value_-1", "vcm1"),
+              ("range_count__max_1__min_-1", "rc1"), ("range_count__max_0__min_-1000000000000.0", "rc2"),
+              ("range_count__max_1000000000000.0__min_0", "rc3")]
+    return _feature_rows(nb, items)

@@ -308,11 +308,11 @@ def _rounded(df):
 
 
 def q32_change_features(spark, sf):
-    return _rounded(_features(spark, sf, CHANGE))
+    return _features(spark, sf, CHANGE)
 
 
 def q33_distribution_features(spark, sf):
-    return _rounded(_features(spark, sf, DISTRIBUTION))
+    return _features(spark, sf, DISTRIBUTION)
 
 
 def q34_autocorr(spark, sf):
