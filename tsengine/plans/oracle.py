@@ -297,9 +297,100 @@ FROM tg ORDER BY datetime DESC LIMIT {R.TAIL_ROWS}"""
     q["q32_change_features"] = _with(TICKS, _aligned("al", R.HOUR), _native_base("nb", "al")) + _change_sql("nb")
     q["q33_distribution_features"] = _with(TICKS, _aligned("al", R.HOUR), _native_base("nb", "al")) + \
         _distribution_sql("nb")
+    q["q34_autocorr"] = _with(TICKS, _aligned("al", R.HOUR)) + _autocorr_sql("al")
+    q["q35_trend"] = _with(TICKS, _aligned("al", R.HOUR)) + _trend_sql("al")
+    q["q39_locations"] = _with(TICKS, _aligned("al", R.HOUR)) + _locations_sql("al")
     return q
 
 
+def _dbl_exact(expr: str) -> str:
+    return f"CAST(CAST({expr} AS VARCHAR) AS DOUBLE)"
+
+
+def _autocorr_sql(src: str) -> str:
+    lags = ", ".join(f"lag(u, {k}) OVER o AS l{k}" for k in range(1, 10))
+    sums = ",\n         ".join(f"sum(coalesce(u * l{k}, 0)) OVER w AS p{k}" for k in range(1, 10))
+    firsts = ",\n         ".join(f"sum(CASE WHEN rn <= {k} THEN u ELSE 0 END) OVER w AS f{k}" for k in range(1, 10))
+    rows = []
+    n2 = "CAST(n AS HUGEINT)"
+    for k in range(10):
+        if k == 0:
+            expr = "CASE WHEN abs(var) <= 1e-8 THEN NULL ELSE 1.0 END"
+        else:
+            last = " + ".join(["u"] + [f"l{j}" for j in range(1, k)])
+            num = _dbl_exact(f"{n2} * {n2} * p{k} - {n2} * s1 * (2 * s1 - ({last}) - f{k}) + ({n2} - {k}) * s1 * s1")
+            expr = f"CASE WHEN n <= {k} OR abs(var) <= 1e-8 THEN NULL ELSE {num} / ((CAST(n AS DOUBLE) - {k}) * a2) END"
+        rows.append(f"SELECT variable, datetime, variable || '__autocorrelation__lag_{k}' AS feature, "
+                    f"round(CAST({expr} AS DOUBLE), 9) AS value FROM v")
+    union = "\nUNION ALL ".join(rows)
+    return f""", s AS (
+  SELECT variable, datetime, CAST(value * 100 AS HUGEINT) AS u,
+         row_number() OVER (PARTITION BY variable ORDER BY datetime) AS rn FROM {src} WHERE value IS NOT NULL),
+l AS (SELECT *, {lags} FROM s WINDOW o AS (PARTITION BY variable ORDER BY datetime)),
+w AS (
+  SELECT *, count(*) OVER w AS n, sum(u) OVER w AS s1, sum(u * u) OVER w AS s2,
+         {sums},
+         {firsts}
+  FROM l WINDOW w AS (PARTITION BY variable ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+v AS (
+  SELECT *, {_dbl_exact("CAST(n AS HUGEINT) * s2 - s1 * s1")} AS a2,
+         {_dbl_exact("CAST(n AS HUGEINT) * s2 - s1 * s1")} / (CAST(n AS DOUBLE) * CAST(n AS DOUBLE) * CAST(10000.0 AS DOUBLE)) AS var
+  FROM w)
+{union}"""
+
+
+def _trend_sql(src: str) -> str:
+    n = "CAST(n AS DOUBLE)"
+    items = {
+        "slope": "CASE WHEN n > 1 THEN ssxym / ssxm END",
+        "intercept": f"CASE WHEN n > 1 THEN mean - ssxym / ssxm * ({n} - 1) / 2 END",
+        "rvalue": "CASE WHEN n > 1 THEN r END",
+        "stderr": f"CASE WHEN n = 2 THEN 0.0 WHEN n > 2 THEN sqrt((1.0 - r * r) * ssym / ssxm / ({n} - 2)) END",
+    }
+    rows = "\nUNION ALL ".join(
+        f"SELECT variable, datetime, variable || '__linear_trend__attr_\"{a}\"' AS feature, "
+        f"round(CAST({e} AS DOUBLE), 9) AS value FROM r" for a, e in items.items())
+    return f""", s AS (
+  SELECT variable, datetime, CAST(value * 100 AS HUGEINT) AS u,
+         row_number() OVER (PARTITION BY variable ORDER BY datetime) - 1 AS pos FROM {src} WHERE value IS NOT NULL),
+w AS (
+  SELECT *, count(*) OVER w AS n, sum(u) OVER w AS s1, sum(u * u) OVER w AS s2, sum(u * pos) OVER w AS sxi
+  FROM s WINDOW w AS (PARTITION BY variable ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+v AS (
+  SELECT *, ({n} * {n} - 1) * {n} / 12 AS ssxm,
+         {_dbl_exact("CAST(n AS HUGEINT) * s2 - s1 * s1")} / ({n} * CAST(10000.0 AS DOUBLE)) AS ssym,
+         {_dbl_exact("CAST(n AS HUGEINT) * sxi - (CAST(n AS HUGEINT) * (CAST(n AS HUGEINT) - 1) // 2) * s1")}
+           / ({n} * CAST(100.0 AS DOUBLE)) AS ssxym,
+         CAST(s1 AS DOUBLE) / ({n} * CAST(100.0 AS DOUBLE)) AS mean
+  FROM w),
+r AS (
+  SELECT *, greatest(-1.0, least(1.0, CASE WHEN ssxm = 0 OR ssym = 0 THEN 0.0
+                                      ELSE ssxym / sqrt(ssxm * ssym) END)) AS r
+  FROM v)
+{rows}"""
+
+
+def _locations_sql(src: str) -> str:
+    items = {
+        "first_location_of_maximum": "fmax / n", "last_location_of_maximum": "(lmax + 1) / n",
+        "first_location_of_minimum": "fmin / n", "last_location_of_minimum": "(lmin + 1) / n",
+        "has_duplicate_max": "CASE WHEN fmax <> lmax THEN 1.0 ELSE 0.0 END",
+        "has_duplicate_min": "CASE WHEN fmin <> lmin THEN 1.0 ELSE 0.0 END",
+    }
+    rows = "\nUNION ALL ".join(
+        f"SELECT variable, datetime, variable || '__{a}' AS feature, round(CAST({e} AS DOUBLE), 9) AS value FROM w"
+        for a, e in items.items())
+    return f""", s AS (
+  SELECT variable, datetime, CAST(value AS DOUBLE) AS x,
+         row_number() OVER (PARTITION BY variable ORDER BY datetime) - 1 AS pos FROM {src} WHERE value IS NOT NULL),
+w AS (
+  SELECT variable, datetime, CAST(count(*) OVER w AS DOUBLE) AS n,
+         arg_max(pos, (x, -pos)) OVER w AS fmax, arg_max(pos, (x, pos)) OVER w AS lmax,
+         arg_min(pos, (x, pos)) OVER w AS fmin, arg_min(pos, (x, -pos)) OVER w AS lmin
+  FROM s WINDOW w AS (PARTITION BY variable ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+{rows}"""
+
+
 def _native_base(name: str, src: str) -> str:
     """Running exact sums on unscaled integers ``u`` (value x 100) per window end."""
     lags = ", ".join(f"lag(u, {k}) OVER o AS l{k}" for k in range(1, 7))

@@ -336,7 +336,7 @@ def q38_ar_pacf(spark, sf):
 
 
 def q39_locations(spark, sf):
-    return _features(spark, sf, LOCATIONS)
+    return _rounded(_features(spark, sf, LOCATIONS))
 
 
 def q40_order_statistics(spark, sf):
