@@ -13,6 +13,7 @@ descriptions.
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -555,7 +556,9 @@ def _friedrich(x, m, r):
     g = df.groupby("q", observed=True)
     res = pd.DataFrame({"xm": g.signal.mean(), "ym": g.delta.mean()}).dropna()
     try:
-        return list(np.polyfit(res.xm, res.ym, deg=m))
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")  # ill-conditioned fits still return coefficients
+            return list(np.polyfit(res.xm, res.ym, deg=m))
     except (np.linalg.LinAlgError, ValueError, TypeError):
         return [math.nan] * (m + 1)
 
@@ -648,14 +651,184 @@ def f_mean_n_absolute_max(x, p):
 CALCULATORS = {name[2:]: fn for name, fn in globals().items() if name.startswith("f_") and callable(fn)}
 
 
+# ---------------------------------------------------------------------------
+# batch evaluation: calculators whose parameter grid shares one expensive step
+# (a transform, a fit) compute that step once per window
+# ---------------------------------------------------------------------------
+
+def _m_fft_coefficient(x, plist):
+    fft = np.fft.rfft(x)
+    out = []
+    for p in plist:
+        k = p["coeff"]
+        if k >= len(fft):
+            out.append(math.nan)
+            continue
+        v = fft[k]
+        a = p["attr"]
+        out.append(float(v.real if a == "real" else v.imag if a == "imag" else abs(v) if a == "abs"
+                         else np.angle(v, deg=True)))
+    return out
+
+
+def _m_cwt_coefficients(x, plist):
+    rows = {}
+    out = []
+    for p in plist:
+        if p["coeff"] >= len(x):
+            out.append(math.nan)
+            continue
+        w = p["w"]
+        if w not in rows:
+            n = int(min(10 * w, len(x)))
+            rows[w] = np.convolve(x, _ricker(n, w)[::-1], mode="same")
+        out.append(float(rows[w][p["coeff"]]))
+    return out
+
+
+def _m_spkt_welch_density(x, plist):
+    pxx = _welch(x, min(len(x), 256))
+    return [float(pxx[p["coeff"]]) if len(pxx) > p["coeff"] else math.nan for p in plist]
+
+
+def _m_fourier_entropy(x, plist):
+    pxx = _welch(x, min(len(x), 256))
+    mx = np.max(pxx)
+    if mx == 0 or not np.isfinite(mx):
+        return [math.nan] * len(plist)
+    return [_binned_entropy(pxx / mx, p["bins"]) for p in plist]
+
+
+def _m_ar_coefficient(x, plist):
+    fits = {}
+    out = []
+    for p in plist:
+        k, c = p["k"], p["coeff"]
+        if k not in fits:
+            n = len(x)
+            rows = n - k
+            beta = None
+            if rows >= k + 1:
+                X = np.column_stack([np.ones(rows)] + [x[k - j:n - j] for j in range(1, k + 1)])
+                b, _, rank, _ = np.linalg.lstsq(X, x[k:], rcond=None)
+                beta = b if rank == X.shape[1] else None
+            fits[k] = beta
+        beta = fits[k]
+        out.append(math.nan if beta is None or c > k else float(beta[c]))
+    return out
+
+
+def _m_partial_autocorrelation(x, plist):
+    n = len(x)
+    max_lag = max(p["lag"] for p in plist)
+    usable = min(max_lag, n // 2 - 1) if n > 2 else 0
+    pac = np.full(max_lag + 1, math.nan)
+    if n > 1:
+        pac[0] = 1.0
+    if usable >= 1 and np.var(x) > 0:
+        r = _acf_adjusted(x, usable)
+        phi_prev = np.array([r[1]])
+        pac[1] = r[1]
+        sig = 1 - r[1] ** 2
+        for k in range(2, usable + 1):
+            if sig == 0:
+                break
+            a = (r[k] - np.dot(phi_prev, r[1:k][::-1])) / sig
+            phi_prev = np.concatenate([phi_prev - a * phi_prev[::-1], [a]])
+            sig *= 1 - a ** 2
+            pac[k] = a
+    return [float(pac[p["lag"]]) for p in plist]
+
+
+def _m_agg_autocorrelation(x, plist):
+    n = len(x)
+    maxlag = max(p["maxlag"] for p in plist)
+    if np.abs(np.var(x)) < 1e-10 or n == 1:
+        a = np.zeros(n)
+    else:
+        a = _acf_adjusted(x, min(maxlag, n - 1))[1:]
+    out = []
+    for p in plist:
+        b = a[:p["maxlag"]]
+        out.append(math.nan if len(b) == 0 else
+                   float({"mean": np.mean, "median": np.median, "var": np.var}[p["f_agg"]](b)))
+    return out
+
+
+def _m_agg_linear_trend(x, plist):
+    fits = {}
+    s = pd.Series(x)
+    out = []
+    for p in plist:
+        cl, fa = p["chunk_len"], p["f_agg"]
+        if cl >= len(x):
+            out.append(math.nan)
+            continue
+        if (cl, fa) not in fits:
+            chunks = [getattr(s.iloc[i * cl:(i + 1) * cl], fa)() for i in range(int(math.ceil(len(x) / cl)))]
+            fits[(cl, fa)] = dict(zip(("slope", "intercept", "rvalue", "pvalue", "stderr"),
+                                      _linregress(np.arange(len(chunks)), np.asarray(chunks, dtype=float))))
+        out.append(float(fits[(cl, fa)][p["attr"]]))
+    return out
+
+
+def _m_friedrich_coefficients(x, plist):
+    fits = {}
+    out = []
+    for p in plist:
+        key = (p["m"], p["r"])
+        if key not in fits:
+            fits[key] = _friedrich(x, p["m"], p["r"])
+        coeffs = fits[key]
+        out.append(float(coeffs[p["coeff"]]) if p["coeff"] < len(coeffs) else math.nan)
+    return out
+
+
+def _m_augmented_dickey_fuller(x, plist):
+    stat, pv, lag = _adf(x)
+    vals = {"teststat": stat, "pvalue": pv, "usedlag": lag}
+    return [float(vals[p["attr"]]) for p in plist]
+
+
+def _m_energy_ratio_by_chunks(x, plist):
+    full = np.sum(x ** 2)
+    if full == 0:
+        return [math.nan] * len(plist)
+    parts = {}
+    out = []
+    for p in plist:
+        ns = p["num_segments"]
+        if ns not in parts:
+            parts[ns] = [np.sum(c ** 2.0) for c in np.array_split(x, ns)]
+        out.append(float(parts[ns][p["segment_focus"]] / full))
+    return out
+
+
+BATCHED = {name[3:]: fn for name, fn in globals().items() if name.startswith("_m_") and callable(fn)}
+
+_ERRORS = (ValueError, ZeroDivisionError, FloatingPointError, np.linalg.LinAlgError, IndexError)
+
+
 def window_values(x: np.ndarray, specs) -> list[float]:
     """All requested array features of one window, NaN where undefined."""
-    out = []
+    out = [math.nan] * len(specs)
+    groups: dict[str, list[int]] = {}
+    for i, (calc, _, _) in enumerate(specs):
+        groups.setdefault(calc, []).append(i)
     with np.errstate(all="ignore"):
-        for calc, params, _ in specs:
-            try:
-                v = CALCULATORS[calc](x, params or {})
-            except (ValueError, ZeroDivisionError, FloatingPointError, np.linalg.LinAlgError):
-                v = math.nan
-            out.append(v)
+        for calc, idx in groups.items():
+            if calc in BATCHED and len(idx) > 1:
+                try:
+                    vals = BATCHED[calc](x, [specs[i][1] or {} for i in idx])
+                except _ERRORS:
+                    vals = [math.nan] * len(idx)
+                for i, v in zip(idx, vals):
+                    out[i] = v
+                continue
+            fn = CALCULATORS[calc]
+            for i in idx:
+                try:
+                    out[i] = fn(x, specs[i][1] or {})
+                except _ERRORS:
+                    out[i] = math.nan
     return out
