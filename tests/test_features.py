@@ -218,3 +218,44 @@ def test_array_calculators_known_values():
     coef = A.f_ar_coefficient(np.array(y), {"coeff": 1, "k": 1})
     assert coef == pytest.approx(0.8, abs=0.05)
     assert A.f_query_similarity_count(x, {}) is not None
+
+
+@pytest.mark.parametrize("m,block_rows", [(3, 5), (7, 2)])
+def test_bounded_windows_match_truth(spark, m, block_rows):
+    df, rows = _series(spark, "double", seed=11)
+    settings = {"mean": None, "variance": None, "median": None, "quantile": [{"q": 0.2}], "maximum": None,
+                "autocorrelation": [{"lag": 1}], "number_peaks": [{"n": 1}], "length": None}
+    got = extract_features(df, settings, prepared=True, max_timeshift=m, min_timeshift=2,
+                           block_rows=block_rows, block_seconds=86_400).toPandas()
+    data = pd.DataFrame(rows, columns=["variable", "datetime", "value"]).sort_values(["variable", "datetime"])
+    specs = feature_specs(settings)
+    exp = {}
+    for var, g in data.groupby("variable"):
+        xa = g["value"].to_numpy(dtype=float)
+        for i, t in enumerate(g["datetime"]):
+            if i < 2:
+                continue
+            w = xa[max(i - m, 0): i + 1]
+            for calc, p, suffix in specs:
+                if calc == "median":
+                    v = float(np.median(w))
+                elif calc == "quantile":
+                    v = float(np.quantile(w, p["q"]))
+                else:
+                    v = A.CALCULATORS[calc](w, p or {})
+                exp[(var, pd.Timestamp(t), f"{var}__{suffix}")] = v
+            exp[(var, pd.Timestamp(t), var)] = w[-1]
+    assert len(got) == len(exp)
+    for r in got.itertuples(index=False):
+        e = exp[(r.variable, pd.Timestamp(r.datetime), r.feature)]
+        if math.isnan(e):
+            assert r.value is None or math.isnan(r.value)
+        else:
+            assert math.isclose(r.value, e, rel_tol=1e-12, abs_tol=1e-12), (r.feature, r.value, e)
+
+
+def test_min_timeshift_on_expanding(spark):
+    df, rows = _series(spark, "double", seed=2)
+    out = extract_features(df, {"mean": None}, prepared=True, min_timeshift=4)
+    n_rows = len(rows) - 2 * 4
+    assert out.count() == 2 * n_rows  # mean + raw value per kept window end

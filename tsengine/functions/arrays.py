@@ -648,6 +648,174 @@ def f_mean_n_absolute_max(x, p):
     return float(np.mean(np.sort(np.abs(x))[-k:])) if len(x) > k else math.nan
 
 
+# -- the running-sum calculators, per window (used for bounded windows, where a
+#    window is a slice of a halo block rather than a prefix) --------------------
+
+def f_sum_values(x, p):
+    return float(x.sum())
+
+
+def f_mean(x, p):
+    return float(x.mean())
+
+
+def f_length(x, p):
+    return float(len(x))
+
+
+def f_standard_deviation(x, p):
+    return float(x.std())
+
+
+def f_variance(x, p):
+    return float(x.var())
+
+
+def f_root_mean_square(x, p):
+    return float(math.sqrt((x * x).mean()))
+
+
+def f_maximum(x, p):
+    return float(x.max())
+
+
+def f_minimum(x, p):
+    return float(x.min())
+
+
+def f_absolute_maximum(x, p):
+    return float(np.abs(x).max())
+
+
+def f_abs_energy(x, p):
+    return float((x * x).sum())
+
+
+def f_absolute_sum_of_changes(x, p):
+    return float(np.abs(np.diff(x)).sum())
+
+
+def f_mean_abs_change(x, p):
+    return float(np.abs(np.diff(x)).mean()) if len(x) > 1 else math.nan
+
+
+def f_mean_change(x, p):
+    return float((x[-1] - x[0]) / (len(x) - 1)) if len(x) > 1 else math.nan
+
+
+def f_mean_second_derivative_central(x, p):
+    n = len(x)
+    return float((x[-1] - x[-2] - x[1] + x[0]) / (2 * (n - 2))) if n > 2 else math.nan
+
+
+def f_variation_coefficient(x, p):
+    m = x.mean()
+    return float(x.std() / m) if m != 0 else math.nan
+
+
+def f_variance_larger_than_standard_deviation(x, p):
+    v = x.var()
+    return float(v > math.sqrt(v))
+
+
+def f_skewness(x, p):
+    v = pd.Series(x).skew()
+    return float(v) if v is not None else math.nan
+
+
+def f_kurtosis(x, p):
+    v = pd.Series(x).kurt()
+    return float(v) if v is not None else math.nan
+
+
+def f_large_standard_deviation(x, p):
+    return float(x.std() > p["r"] * (x.max() - x.min()))
+
+
+def f_cid_ce(x, p):
+    if p["normalize"]:
+        s = x.std()
+        if s == 0:
+            return 0.0
+        x = (x - x.mean()) / s
+    return float(math.sqrt((np.diff(x) ** 2).sum()))
+
+
+def f_c3(x, p):
+    k, n = p["lag"], len(x)
+    if 2 * k >= n:
+        return 0.0
+    return float(np.mean(x[2 * k:] * x[k:n - k] * x[:n - 2 * k]))
+
+
+def f_time_reversal_asymmetry_statistic(x, p):
+    k, n = p["lag"], len(x)
+    if 2 * k >= n:
+        return 0.0
+    a, b, c = x[2 * k:], x[k:n - k], x[:n - 2 * k]
+    return float(np.mean(a * a * b - b * c * c))
+
+
+def f_autocorrelation(x, p):
+    k, n = p["lag"], len(x)
+    if n <= k:
+        return math.nan
+    v = x.var()
+    if abs(v) <= 1e-8:
+        return math.nan
+    m = x.mean()
+    return float(np.sum((x[:n - k] - m) * (x[k:] - m)) / ((n - k) * v))
+
+
+def f_value_count(x, p):
+    return float(np.sum(x == p["value"]))
+
+
+def f_range_count(x, p):
+    return float(np.sum((x >= p["min"]) & (x < p["max"])))
+
+
+def f_count_above(x, p):
+    return float(np.sum(x >= p["t"]) / len(x))
+
+
+def f_count_below(x, p):
+    return float(np.sum(x <= p["t"]) / len(x))
+
+
+def f_number_crossing_m(x, p):
+    return float(np.where(np.diff(x > p["m"]))[0].size)
+
+
+def f_first_location_of_maximum(x, p):
+    return float(np.argmax(x) / len(x))
+
+
+def f_last_location_of_maximum(x, p):
+    return float(1.0 - np.argmax(x[::-1]) / len(x))
+
+
+def f_first_location_of_minimum(x, p):
+    return float(np.argmin(x) / len(x))
+
+
+def f_last_location_of_minimum(x, p):
+    return float(1.0 - np.argmin(x[::-1]) / len(x))
+
+
+def f_has_duplicate_max(x, p):
+    return float(np.sum(x == x.max()) >= 2)
+
+
+def f_has_duplicate_min(x, p):
+    return float(np.sum(x == x.min()) >= 2)
+
+
+def f_linear_trend(x, p):
+    res = dict(zip(("slope", "intercept", "rvalue", "pvalue", "stderr"), _linregress(np.arange(len(x)), x)))
+    return float(res[p["attr"]])
+
+
 CALCULATORS = {name[2:]: fn for name, fn in globals().items() if name.startswith("f_") and callable(fn)}
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from tsengine.functions.arrays import CALCULATORS, window_values
 from tsengine.functions.native import DEFAULT_BLOCK_SECONDS, NATIVE, native_features
 from tsengine.functions.settings import feature_specs
-from tsengine.operators.roll import prepare_series
+from tsengine.operators.roll import prepare_series, with_positions
 
 _ORDER_STATS = ("median", "quantile")
 
@@ -39,18 +39,34 @@ _ORDER_STATS = ("median", "quantile")
 def extract_features(long: DataFrame, settings="minimal", null_policy: str = "drop",
                      include_raw: bool = True, variable: str = "variable", order: str = "datetime",
                      value: str = "value", block_seconds: int = DEFAULT_BLOCK_SECONDS,
-                     prepared: bool = False) -> DataFrame:
-    """Features of every expanding window of every variable (long form).
+                     prepared: bool = False, max_timeshift: int | None = None, min_timeshift: int = 0,
+                     block_rows: int = 4096) -> DataFrame:
+    """Features of every rolled window of every variable (long form).
 
     ``settings``: tier name (``minimal``, ``efficient``, ``comprehensive``), a
     complexity level (0, 1, 2) or a dict ``{calculator: [params...] | None}``.
+    Windows are expanding by default; ``max_timeshift = m`` bounds them to the
+    last ``m + 1`` rows, and windows with at most ``min_timeshift`` rows are
+    not produced.
     """
     series = long.select(variable, order, value) if prepared else \
         prepare_series(long, null_policy, variable, order, value, block_seconds)
     specs = feature_specs(settings)
-    unknown = [s[0] for s in specs if s[0] not in NATIVE and s[0] not in CALCULATORS]
+    unknown = [s[0] for s in specs if s[0] not in CALCULATORS]
     if unknown:
         raise ValueError(f"unknown calculators: {sorted(set(unknown))}")
+    if max_timeshift is not None:
+        return bounded_features(series, specs, int(max_timeshift), int(min_timeshift), include_raw,
+                                variable, order, value, block_seconds, block_rows)
+    out = _expanding(series, specs, include_raw, variable, order, value, block_seconds)
+    if min_timeshift > 0:
+        ends = with_positions(series.select(variable, order), order, [variable], block_seconds, "_pos")
+        ends = ends.filter(F.col("_pos") >= min_timeshift).select(variable, order)
+        out = out.join(ends, [variable, order], "left_semi")
+    return out
+
+
+def _expanding(series, specs, include_raw, variable, order, value, block_seconds):
     parts = []
     native_specs = [s for s in specs if s[0] in NATIVE]
     if native_specs:
@@ -95,7 +111,7 @@ def array_features(series: DataFrame, specs: Sequence[tuple], variable: str = "v
         own = (pdf["b"] == pdf["g"]).to_numpy()
         idx = np.nonzero(own)[0]
         if len(idx) == 0:
-            return pd.DataFrame({"v": [], "t": [], "feature": [], "value": []})
+            return _empty(pdf)
         cols = _prefix_features(x, idx, specs)
         n = len(idx)
         return pd.DataFrame({
@@ -111,6 +127,96 @@ def array_features(series: DataFrame, specs: Sequence[tuple], variable: str = "v
                       F.when(F.isnan("value"), None).otherwise(F.col("value")).alias("value"))
 
 
+def bounded_features(series: DataFrame, specs: Sequence[tuple], max_timeshift: int, min_timeshift: int = 0,
+                     include_raw: bool = True, variable: str = "variable", order: str = "datetime",
+                     value: str = "value", block_seconds: int = DEFAULT_BLOCK_SECONDS,
+                     block_rows: int = 4096) -> DataFrame:
+    """Every calculator over windows of the last ``max_timeshift + 1`` rows.
+
+    Rows are numbered per variable (blocked positions, no single-task window),
+    cut into blocks of ``block_rows`` positions, and each block's group also
+    receives the ``max_timeshift`` rows before it (a halo).  A group therefore
+    holds at most ``block_rows + max_timeshift`` rows, however long or skewed
+    the series is.
+    """
+    specs = list(specs)
+    m, B = max_timeshift, int(block_rows)
+    if m < 0 or B < 1:
+        raise ValueError("max_timeshift must be >= 0 and block_rows >= 1")
+    rows = series.select(F.col(variable).alias("v"), F.col(order).alias("t"), F.col(value).cast("double").alias("x"))
+    rows = with_positions(rows, "t", ["v"], block_seconds, "pos")
+    first_g = F.floor(F.col("pos") / B)
+    last_g = F.floor((F.col("pos") + m) / B)
+    fan = rows.select("v", "t", "x", "pos", F.explode(F.sequence(first_g, last_g)).alias("g"))
+    names = [sp[2] for sp in specs] + ([None] if include_raw else [])
+    order_type = series.schema[order].dataType.simpleString()
+    schema = f"v string, t {order_type}, feature string, value double"
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos", kind="stable")
+        x = pdf["x"].to_numpy(dtype=float)
+        pos = pdf["pos"].to_numpy()
+        g = int(pdf["g"].iloc[0])
+        own = np.nonzero((pos // B == g) & (pos >= min_timeshift))[0]
+        if len(own) == 0:
+            return _empty(pdf)
+        vals = _sliding_features(x, own, m, specs)
+        if include_raw:
+            vals = [row + [x[e]] for row, e in zip(vals, own)]
+        var = pdf["v"].iloc[0]
+        feats = np.array([f"{var}__{n}" if n is not None else var for n in names], dtype=object)
+        return pd.DataFrame({
+            "v": np.repeat(var, len(own) * len(names)),
+            "t": np.repeat(pdf["t"].to_numpy()[own], len(names)),
+            "feature": np.tile(feats, len(own)),
+            "value": np.asarray(vals, dtype=float).reshape(-1),
+        })
+
+    out = fan.groupBy("v", "g").applyInPandas(run, schema)
+    return out.select(F.col("v").alias(variable), F.col("t").alias(order), "feature",
+                      F.when(F.isnan("value"), None).otherwise(F.col("value")).alias("value"))
+
+
+def _empty(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A typed empty result (keeps the timestamp dtype of ``t``)."""
+    out = pdf.iloc[0:0][["v", "t"]].copy()
+    out["feature"] = pd.Series(dtype=object)
+    out["value"] = pd.Series(dtype=float)
+    return out
+
+
+def _sliding_features(x: np.ndarray, ends: np.ndarray, m: int, specs) -> list[list[float]]:
+    """Feature values of ``x[max(e - m, 0): e + 1]`` for each end index ``e``.
+
+    Order statistics keep a sorted copy of the current window, updated by one
+    insertion and at most one removal per step.
+    """
+    order_specs = [i for i, s in enumerate(specs) if s[0] in _ORDER_STATS]
+    other = [i for i, s in enumerate(specs) if s[0] not in _ORDER_STATS]
+    other_specs = [specs[i] for i in other]
+    lo = max(int(ends[0]) - m, 0)
+    hi = int(ends[0])            # window is x[lo:hi+1]; srt holds x[lo:hi]
+    srt = sorted(x[lo:hi].tolist())
+    rows = []
+    for e in ends:
+        e = int(e)
+        while hi <= e:
+            bisect.insort(srt, x[hi])
+            hi += 1
+        while lo < e - m:
+            del srt[bisect.bisect_left(srt, x[lo])]
+            lo += 1
+        vals = [math.nan] * len(specs)
+        for i in order_specs:
+            calc, params, _ = specs[i]
+            vals[i] = _sorted_median(srt) if calc == "median" else _sorted_quantile(srt, params["q"])
+        if other_specs:
+            for i, v in zip(other, window_values(x[lo:e + 1], other_specs)):
+                vals[i] = v
+        rows.append(vals)
+    return rows
+
+
 def _prefix_features(x: np.ndarray, ends: np.ndarray, specs) -> list[list[float]]:
     """Feature values of ``x[:e+1]`` for each end index ``e``.
 

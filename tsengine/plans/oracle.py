@@ -300,6 +300,18 @@ FROM tg ORDER BY datetime DESC LIMIT {R.TAIL_ROWS}"""
     q["q34_autocorr"] = _with(TICKS, _aligned("al", R.HOUR)) + _autocorr_sql("al")
     q["q35_trend"] = _with(TICKS, _aligned("al", R.HOUR)) + _trend_sql("al")
     q["q39_locations"] = _with(TICKS, _aligned("al", R.HOUR)) + _locations_sql("al")
+    q["q42_bounded_windows"] = _with(TICKS, _aligned("al", R.HOUR)) + f""", s AS (
+  SELECT variable, datetime, CAST(value AS DOUBLE) AS x FROM al WHERE value IS NOT NULL),
+w AS (
+  SELECT variable, datetime, x, sum(x) OVER w AS sv, avg(x) OVER w AS mv, max(x) OVER w AS mx,
+         min(x) OVER w AS mn, CAST(count(*) OVER w AS DOUBLE) AS n
+  FROM s WINDOW w AS (PARTITION BY variable ORDER BY datetime ROWS BETWEEN {R.WINDOW_ROWS} PRECEDING AND CURRENT ROW))
+SELECT variable, datetime, variable || '__sum_values' AS feature, round(sv, 9) AS value FROM w
+UNION ALL SELECT variable, datetime, variable || '__mean', round(mv, 9) FROM w
+UNION ALL SELECT variable, datetime, variable || '__maximum', round(mx, 9) FROM w
+UNION ALL SELECT variable, datetime, variable || '__minimum', round(mn, 9) FROM w
+UNION ALL SELECT variable, datetime, variable || '__length', round(n, 9) FROM w
+UNION ALL SELECT variable, datetime, variable, round(x, 9) FROM w"""
     return q
 
 

@@ -348,4 +348,15 @@ def q41_efficient_features(spark, sf):
     return extract_features(aligned(spark, sf, DAY), "efficient", null_policy="drop")
 
 
+BOUNDED = {"sum_values": None, "mean": None, "maximum": None, "minimum": None, "length": None}
+WINDOW_ROWS = 24
+
+
+def q42_bounded_windows(spark, sf):
+    """Sliding windows of the last 25 rows (``max_timeshift=24``) on halo blocks."""
+    out = extract_features(aligned(spark, sf), BOUNDED, null_policy="drop", max_timeshift=WINDOW_ROWS,
+                           block_rows=64)
+    return _rounded(out)
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()}
