@@ -139,3 +139,24 @@ def test_driver_contract(spark):
     out = E.entry(spark)
     assert out.columns == ["variable", "datetime", "feature", "value"]
     assert out.count() > 0
+
+
+def test_end_to_end_forecast_and_searches(spark):
+    from tsengine.operators.search import sampled_search
+    from tsengine.plans.pipeline import forecast, market_series
+    from tsengine.sources.tables import events_ticks
+    sf = "/root/testdata/sf0.001"
+    long = market_series(events_ticks(spark, sf), ["purchase", "view"], timeframe=30, periods=6)
+    assert long.select("variable").distinct().count() == 6
+    from tsengine.plans.extract import extract_features
+    feats = extract_features(long, "minimal", null_policy="ffill")
+    sel, pred, metrics, model, names = forecast(spark, feats, "prices view", kind="log_return",
+                                                percent=True, level=0.5, max_iter=5)
+    assert "prices view" in sel.names and "lr" in sel.names
+    assert pred.count() >= 1 and set(pred.columns) == {"datetime", "actual", "predicted"}
+    assert metrics.first().n == pred.count()
+    from tsengine.operators.align import pivot_features
+    wide = pivot_features(sel.matrix.withColumnRenamed("feature", "variable"), names)
+    wide = wide.join(sel.targets.select("datetime", "y_future"), "datetime")
+    trials, params, _ = sampled_search(spark, wide, names, n_trials=2, n_splits=2, max_iter=3, parallelism=2)
+    assert trials.count() == 4 and {"learning_rate", "max_depth"} <= set(params)

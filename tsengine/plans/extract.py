@@ -32,6 +32,7 @@ from tsengine.functions.arrays import CALCULATORS, window_values
 from tsengine.functions.native import DEFAULT_BLOCK_SECONDS, NATIVE, native_features
 from tsengine.functions.settings import feature_specs
 from tsengine.operators.roll import prepare_series, with_positions
+from tsengine.session import materialize
 
 _ORDER_STATS = ("median", "quantile")
 
@@ -40,7 +41,7 @@ def extract_features(long: DataFrame, settings="minimal", null_policy: str = "dr
                      include_raw: bool = True, variable: str = "variable", order: str = "datetime",
                      value: str = "value", block_seconds: int = DEFAULT_BLOCK_SECONDS,
                      prepared: bool = False, max_timeshift: int | None = None, min_timeshift: int = 0,
-                     block_rows: int = 4096) -> DataFrame:
+                     block_rows: int = 4096, materialize_input: bool = True) -> DataFrame:
     """Features of every rolled window of every variable (long form).
 
     ``settings``: tier name (``minimal``, ``efficient``, ``comprehensive``), a
@@ -48,9 +49,16 @@ def extract_features(long: DataFrame, settings="minimal", null_policy: str = "dr
     Windows are expanding by default; ``max_timeshift = m`` bounds them to the
     last ``m + 1`` rows, and windows with at most ``min_timeshift`` rows are
     not produced.
+
+    The prepared series feeds several branches (block tables, running sums,
+    array groups, raw values); with ``materialize_input`` it is written once to
+    the shared checkpoint folder so the source scan, resampling and alignment
+    run once instead of once per branch.
     """
     series = long.select(variable, order, value) if prepared else \
         prepare_series(long, null_policy, variable, order, value, block_seconds)
+    if materialize_input:
+        series = materialize(series)
     specs = feature_specs(settings)
     unknown = [s[0] for s in specs if s[0] not in CALCULATORS]
     if unknown:
