@@ -195,7 +195,16 @@ def native_features(series: DataFrame, specs: Sequence[tuple], variable: str = "
     if plan.need_locations:
         rows = _extreme_locations(rows, wb)
         accc.update({c: F.col(c) for c in _LOC_COLS})
-    feats = plan.feature_columns(accc)
+    # shared quantities first (a2 and var alone; then std / mean from them), so
+    # feature formulas reference columns instead of repeating large expressions
+    base = plan.basics(accc)
+    rows = rows.select("*", base["_a2"].alias("_a2"), base["_total"].alias("_total"), base["_sq"].alias("_sq"))
+    n_col = F.col("_acc_n").cast("double")
+    sc_lit = F.lit(float(10 ** terms.scale) if terms.exact else 1.0)
+    rows = rows.select("*", (F.col("_a2") / (n_col * n_col * sc_lit * sc_lit)).alias("_var"),
+                       (F.col("_total") / (n_col * sc_lit)).alias("_mean"))
+    rows = rows.select("*", F.sqrt("_var").alias("_std"))
+    feats = plan.feature_columns(accc, {k: F.col(k) for k in ("_a2", "_var", "_std", "_total", "_mean", "_sq")})
     feats = [(name, _t_pvalue(c["t"], c["df"], c["p"]) if name.startswith('linear_trend__attr_"pvalue"') else c)
              for name, c in feats]
     long = rows.select(F.col("_v").alias(variable), F.col("_t").alias(order),
@@ -323,7 +332,8 @@ class _Plan:
         return build_double()
 
     # -- feature formulas ----------------------------------------------------
-    def feature_columns(self, acc: dict[str, Column]) -> list[tuple[str, Column]]:
+    def basics(self, acc: dict[str, Column]) -> dict[str, Column]:
+        """Quantities shared by many features (computed once as columns)."""
         t = self.t
         D = "decimal(38,0)"
         tm, ta, ts = F.try_multiply, F.try_add, F.try_subtract
@@ -333,15 +343,29 @@ class _Plan:
         sc = float(10 ** t.scale) if t.exact else 1.0
         s1, s2 = acc["s1"], acc["s2"]
         c = self._c()
-        S = lambda name, deg: t.to_double(acc[self.safe(name)], deg)
-
         a2 = self._exact(lambda: ts(tm(nD, s2), tm(s1, s1)), lambda: n * _dbl(s2) - _dbl(s1) * _dbl(s1))
-        var = a2 / (n * n * F.lit(sc * sc))
-        std = F.sqrt(var)
         total = self._exact(lambda: ta(tm(nD, c.cast(D)), s1), lambda: n * _dbl(c) + _dbl(s1))
-        mean = total / (n * F.lit(sc))
         sq = self._exact(lambda: ta(ta(s2, tm(tm(F.lit(2).cast(D), c.cast(D)), s1)), tm(nD, tm(c.cast(D), c.cast(D)))),
                          lambda: _dbl(s2) + F.lit(2.0) * _dbl(c) * _dbl(s1) + n * _dbl(c) * _dbl(c))
+        var = a2 / (n * n * F.lit(sc * sc))
+        return {"_a2": a2, "_var": var, "_std": F.sqrt(var), "_total": total,
+                "_mean": total / (n * F.lit(sc)), "_sq": sq}
+
+    def feature_columns(self, acc: dict[str, Column], basics: dict[str, Column] | None = None
+                        ) -> list[tuple[str, Column]]:
+        t = self.t
+        D = "decimal(38,0)"
+        tm, ta, ts = F.try_multiply, F.try_add, F.try_subtract
+        ni = acc["n"]
+        n = _dbl(ni)
+        nD = ni.cast(D) if t.exact else n
+        sc = float(10 ** t.scale) if t.exact else 1.0
+        s1, s2 = acc["s1"], acc["s2"]
+        c = self._c()
+        S = lambda name, deg: t.to_double(acc[self.safe(name)], deg)
+
+        b = basics if basics is not None else self.basics(acc)
+        a2, var, std, total, mean, sq = (b[k] for k in ("_a2", "_var", "_std", "_total", "_mean", "_sq"))
         mx, mn = acc["xmax"], acc["xmin"]
         head = F.col("_series_head")
         out: list[tuple[str, Column]] = []
