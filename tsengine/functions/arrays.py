@@ -474,6 +474,15 @@ def f_ar_coefficient(x, p):
     return float(beta[c])
 
 
+def _corridor(x, ql, qh):
+    """Values inside the quantile corridor ``[q(ql), q(qh)]`` (first quantile bin,
+    lowest edge included); None when the two edges coincide (no corridor)."""
+    lo, hi = np.quantile(x, [ql, qh])
+    if not lo < hi:
+        return None
+    return (x >= lo) & (x <= hi)
+
+
 def f_change_quantiles(x, p):
     ql, qh = p["ql"], p["qh"]
     if ql >= qh:
@@ -481,11 +490,9 @@ def f_change_quantiles(x, p):
     div = np.diff(x)
     if p["isabs"]:
         div = np.abs(div)
-    try:
-        cat = pd.qcut(x, [ql, qh], labels=False)
-    except ValueError:
+    inside = _corridor(x, ql, qh)
+    if inside is None:
         return 0.0
-    inside = cat == 0
     ind = (inside & np.roll(inside, 1))[1:]
     if np.sum(ind) == 0:
         return 0.0
@@ -972,6 +979,26 @@ def _m_energy_ratio_by_chunks(x, plist):
     return out
 
 
+def _m_change_quantiles(x, plist):
+    masks = {}
+    diffs = {False: np.diff(x), True: np.abs(np.diff(x))}
+    out = []
+    for p in plist:
+        ql, qh = p["ql"], p["qh"]
+        if ql >= qh:
+            out.append(0.0)
+            continue
+        if (ql, qh) not in masks:
+            inside = _corridor(x, ql, qh)
+            masks[(ql, qh)] = None if inside is None else (inside & np.roll(inside, 1))[1:]
+        ind = masks[(ql, qh)]
+        if ind is None or np.sum(ind) == 0:
+            out.append(0.0)
+            continue
+        out.append(float(getattr(np, p["f_agg"])(diffs[bool(p["isabs"])][ind])))
+    return out
+
+
 BATCHED = {name[3:]: fn for name, fn in globals().items() if name.startswith("_m_") and callable(fn)}
 
 _ERRORS = (ValueError, ZeroDivisionError, FloatingPointError, np.linalg.LinAlgError, IndexError)

@@ -91,17 +91,21 @@ def payload_to_ticks(payload: DataFrame, metrics: Sequence[str] = DEFAULT_METRIC
 
 
 def ticks_to_payload(ticks: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS,
-                     coin: str = "coin", ts: str = "ts", seq: str = "seq") -> DataFrame:
-    """Inverse of :func:`payload_to_ticks`: one JSON document per coin and UTC day.
+                     coin: str = "coin", ts: str = "ts", seq: str = "seq", period: str = "day") -> DataFrame:
+    """Inverse of :func:`payload_to_ticks`: one JSON document per coin and period.
 
-    Used to land data in the provider's format.  A document covers one day
-    range, as a provider response does, so no document grows with the history.
-    Returns ``coin, day DATE, payload STRING``.
+    Used to land data in the provider's format.  A document covers one range
+    (a UTC day by default, as a provider response does; ``period='hour'`` for
+    very dense coins), so no document grows with the history.
+    Returns ``coin, day TIMESTAMP (period start), payload STRING``.
     """
     ms = F.unix_millis(F.col(ts).cast("timestamp")).cast("double")
     pairs = [F.array(ms, F.col(m).cast("double")).alias(m) for m in metrics]
     order = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))
-    rows = ticks.select(coin, F.to_date(ts).alias("day"), F.struct(order.alias("o"), *pairs).alias("r"))
+    if period not in ("day", "hour"):
+        raise ValueError("period must be 'day' or 'hour'")
+    start = F.date_trunc(period, F.col(ts).cast("timestamp"))
+    rows = ticks.select(coin, start.alias("day"), F.struct(order.alias("o"), *pairs).alias("r"))
     doc = rows.groupBy(coin, "day").agg(F.array_sort(F.collect_list("r")).alias("rs"))
     body = F.struct(*[F.transform("rs", _field(m)).alias(m) for m in metrics])
     return doc.select(F.col(coin).alias("coin"), "day", F.to_json(body).alias("payload"))
