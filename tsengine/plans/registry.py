@@ -35,7 +35,7 @@ from tsengine.sources.tables import (
 
 # Fixed query parameters.
 METRICS = ("prices", "market_caps", "total_volumes")
-COINS = ("purchase", "view", "click")
+COINS = ("purchase", "view", "click", "error", "signup")   # every event type; base coin first
 HOUR = 3600
 DAY = 86_400
 ODD_STEP = 35 * 60          # does not divide a day: exercises the day anchor
