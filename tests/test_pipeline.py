@@ -160,3 +160,23 @@ def test_end_to_end_forecast_and_searches(spark):
     wide = wide.join(sel.targets.select("datetime", "y_future"), "datetime")
     trials, params, _ = sampled_search(spark, wide, names, n_trials=2, n_splits=2, max_iter=3, parallelism=2)
     assert trials.count() == 4 and {"learning_rate", "max_depth"} <= set(params)
+
+
+def test_early_stopping_train_objective_and_sinks(spark, tmp_path):
+    from tsengine.operators.evaluate import actual_vs_predicted
+    from tsengine.operators.search import assemble, fit_gbt, sampled_search
+    from tsengine.sources.sinks import write_stage
+    rows = [(D[i % 20] + dt.timedelta(days=i // 20), float(i % 7), float(i % 5), float((i % 7) * 2 + i % 5))
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "datetime timestamp_ntz, a double, b double, y_future double")
+    model = fit_gbt(assemble(df, ["a", "b"]), {"max_depth": 3}, max_iter=10, validation_fraction=0.2)
+    assert model.getNumTrees >= 1
+    trials, _, _ = sampled_search(spark, df, ["a", "b"], n_trials=1, n_splits=2, max_iter=3,
+                                  objective="train", parallelism=1)
+    assert trials.count() == 2
+    pred = model.transform(assemble(df, ["a", "b"]))
+    both = actual_vs_predicted(df, pred)
+    assert both.count() == 60 and set(both.columns) == {"datetime", "actual", "predicted"}
+    out = str(tmp_path / "stage")
+    write_stage(spark.createDataFrame([("x", 1.0)], "variable string, value double"), out)
+    assert spark.read.parquet(out).count() == 1

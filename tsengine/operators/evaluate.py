@@ -35,6 +35,14 @@ def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "
                     (F.col("_sae").cast("double") / nd).alias("mae"), "mape", std.alias("std"))
 
 
+def actual_vs_predicted(actual: DataFrame, predicted: DataFrame, order: str = "datetime",
+                        actual_col: str = "y_future", predicted_col: str = "prediction") -> DataFrame:
+    """Actual and predicted series aligned on ``order`` (full outer join)."""
+    a = actual.select(order, F.col(actual_col).alias("actual"))
+    p = predicted.select(order, F.col(predicted_col).alias("predicted"))
+    return a.join(p, order, "full_outer")
+
+
 def score_ratio(score: float, std: float) -> float | None:
     """Search score divided by the target's sample std (None when std is 0)."""
     return None if not std else score / std

@@ -85,8 +85,22 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 
 def fit_gbt(train: DataFrame, params: dict, label: str = "y_future", features_col: str = "features",
-            max_iter: int = 100, seed: int = 7):
-    model = GBTRegressor(featuresCol=features_col, labelCol=label, seed=seed, **gbt_params(params, max_iter))
+            max_iter: int = 100, seed: int = 7, validation_fraction: float | None = None,
+            order: str = "datetime", validation_tol: float = 0.01):
+    """Fit a boosted-tree regressor.
+
+    With ``validation_fraction`` the last rows of ``train`` (by ``order``) are a
+    validation set and boosting stops early when the validation error stops
+    improving (Spark stops at the first iteration whose gain is below
+    ``validation_tol``; the reference waits a fixed number of rounds).
+    """
+    kwargs = gbt_params(params, max_iter)
+    if validation_fraction:
+        from tsengine.operators.split import time_split
+        train = time_split(train, order, validation_fraction).withColumn(
+            "_val", F.col("split") == "test").drop("split")
+        kwargs.update(validationIndicatorCol="_val", validationTol=validation_tol)
+    model = GBTRegressor(featuresCol=features_col, labelCol=label, seed=seed, **kwargs)
     return model.fit(train)
 
 
@@ -133,7 +147,8 @@ def _draw_space(space: dict, n: int, seed: int) -> list[dict]:
 
 
 def _run_trials(spark: SparkSession, matrix: DataFrame, features: Sequence[str], draws: list[dict],
-                n_splits: int, label: str, order: str, max_iter: int, parallelism: int) -> DataFrame:
+                n_splits: int, label: str, order: str, max_iter: int, parallelism: int,
+                objective: str = "validation", validation_fraction: float | None = None) -> DataFrame:
     data = assemble(matrix, features).select(order, label, "features")
     folds = time_folds(data, order, n_splits).persist()
     jobs = [(t, f) for t in range(len(draws)) for f in range(n_splits)]
@@ -141,8 +156,11 @@ def _run_trials(spark: SparkSession, matrix: DataFrame, features: Sequence[str],
     def run(job):
         t, f = job
         fold = folds.filter(F.col("fold") == f)
-        model = fit_gbt(fold.filter(F.col("role") == "train"), draws[t], label, max_iter=max_iter)
-        mae = _mae(predict(model, fold.filter(F.col("role") == "test"), order, label))
+        train = fold.filter(F.col("role") == "train")
+        model = fit_gbt(train, draws[t], label, max_iter=max_iter, validation_fraction=validation_fraction,
+                        order=order)
+        scored = train if objective == "train" else fold.filter(F.col("role") == "test")
+        mae = _mae(predict(model, scored, order, label))
         return (t, f, {k: str(v) for k, v in draws[t].items()}, -float(mae))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -159,13 +177,17 @@ def best_trial(trials: DataFrame) -> DataFrame:
 
 def random_search(spark: SparkSession, matrix: DataFrame, features: Sequence[str], grid: dict | None = None,
                   n_iter: int = 20, n_splits: int = 5, label: str = "y_future", order: str = "datetime",
-                  max_iter: int = 100, seed: int = 42, parallelism: int = 4):
+                  max_iter: int = 100, seed: int = 42, parallelism: int = 4,
+                  validation_fraction: float | None = None):
     """Random draws without replacement from ``grid``; returns ``(trials, best_params, refit_model)``.
 
-    The score is the negative mean absolute error on each fold's test rows.
+    The score is the negative mean absolute error on each fold's test rows;
+    ``validation_fraction`` turns on early stopping on the tail of each
+    training part (never on the fold's test rows).
     """
     draws = _draw_grid(grid or DEFAULT_GRID, n_iter, seed)
-    trials = _run_trials(spark, matrix, features, draws, n_splits, label, order, max_iter, parallelism)
+    trials = _run_trials(spark, matrix, features, draws, n_splits, label, order, max_iter, parallelism,
+                         "validation", validation_fraction)
     best = best_trial(trials).first()
     params = draws[best["trial"]]
     model = fit_gbt(assemble(matrix, features), params, label, max_iter=max_iter)
@@ -174,10 +196,19 @@ def random_search(spark: SparkSession, matrix: DataFrame, features: Sequence[str
 
 def sampled_search(spark: SparkSession, matrix: DataFrame, features: Sequence[str], space: dict | None = None,
                    n_trials: int = 50, n_splits: int = 5, label: str = "y_future", order: str = "datetime",
-                   max_iter: int = 100, seed: int = 42, parallelism: int = 4):
-    """Log-uniform / uniform / integer draws from ``space``; same outputs as :func:`random_search`."""
+                   max_iter: int = 100, seed: int = 42, parallelism: int = 4, objective: str = "validation",
+                   validation_fraction: float | None = None):
+    """Log-uniform / uniform / integer draws from ``space``; same outputs as :func:`random_search`.
+
+    ``objective='train'`` scores each draw on its own training rows (the
+    reference's objective: the last training metric); ``'validation'`` (default)
+    scores it on the fold's later test rows.
+    """
+    if objective not in ("train", "validation"):
+        raise ValueError("objective must be 'train' or 'validation'")
     draws = _draw_space(space or DEFAULT_SPACE, n_trials, seed)
-    trials = _run_trials(spark, matrix, features, draws, n_splits, label, order, max_iter, parallelism)
+    trials = _run_trials(spark, matrix, features, draws, n_splits, label, order, max_iter, parallelism,
+                         objective, validation_fraction)
     best = best_trial(trials).first()
     params = draws[best["trial"]]
     model = fit_gbt(assemble(matrix, features), params, label, max_iter=max_iter)
