@@ -102,3 +102,32 @@ def test_top_n_and_lookup(spark):
     assert [r.id for r in lookup_ids(lst, req).collect()] == ["2", "1", "2"]
     with pytest.raises(KeyError):
         lookup_ids(lst, spark.createDataFrame([(0, "Doge")], "pos int, name string"))
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 1000])
+def test_dense_grid_chunks_match_pandas(spark, chunk):
+    idx = pd.date_range("2024-01-01 00:03", periods=40, freq="13min")
+    rows = [("a", t.to_pydatetime(), i, float(i)) for i, t in enumerate(idx) if i % 4]
+    got = resample_last(ticks(spark, rows), 600, grid_chunk=chunk).orderBy("bin").toPandas()
+    s = pd.Series([r[3] for r in rows], index=[pd.Timestamp(r[1]) for r in rows]).resample("10min").last()
+    assert list(got["bin"]) == list(s.index)
+    assert [None if pd.isna(v) else v for v in got["prices"]] == [None if pd.isna(v) else v for v in s]
+
+
+@pytest.mark.parametrize("block", [60, 3600, 86_400 * 30])
+def test_positions_and_shifts_match_window_functions(spark, block):
+    from pyspark.sql import Window
+
+    from tsengine.operators.roll import shift_rows, with_positions
+    rows = [(k, T(2024, 1, 1) + dt.timedelta(minutes=7 * i + 3 * (k == "b")), float(i))
+            for k in ("a", "b") for i in range(50) if (i * 7) % 11]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double")
+    w = Window.partitionBy("k").orderBy("t")
+    exp = df.select("k", "t", (F.row_number().over(w) - 1).alias("pos"),
+                    F.lag("v", 2).over(w).alias("lag2"), F.lead("v", 1).over(w).alias("lead1"))
+    got = with_positions(df, "t", ["k"], block)
+    got = shift_rows(got, "t", ["v"], 2, ["k"], block_seconds=block).withColumnRenamed("v_lag2", "lag2")
+    got = shift_rows(got, "t", ["v"], -1, ["k"], block_seconds=block).withColumnRenamed("v_lead1", "lead1")
+    a = sorted(tuple(r) for r in got.select("k", "t", "pos", "lag2", "lead1").collect())
+    b = sorted(tuple(r) for r in exp.collect())
+    assert a == b
