@@ -207,11 +207,15 @@ def native_features(series: DataFrame, specs: Sequence[tuple], variable: str = "
     feats = plan.feature_columns(accc, {k: F.col(k) for k in ("_a2", "_var", "_std", "_total", "_mean", "_sq")})
     feats = [(name, _t_pvalue(c["t"], c["df"], c["p"]) if name.startswith('linear_trend__attr_"pvalue"') else c)
              for name, c in feats]
-    long = rows.select(F.col("_v").alias(variable), F.col("_t").alias(order),
-                       F.explode(F.array(*[F.struct(F.lit(name).alias("feature"), c.alias("value"))
-                                           for name, c in feats])).alias("_f"))
-    return long.select(variable, order, F.concat(F.col(variable), F.lit("__"), F.col("_f.feature")).alias("feature"),
-                       F.col("_f.value").alias("value"))
+    # one column per feature, then an unpivot of plain column references: each
+    # feature formula stays a separately compiled expression (a single array of
+    # all formulas would exceed the generated-code size limit)
+    wide = rows.select(F.col("_v").alias(variable), F.col("_t").alias(order),
+                       *[c.alias(f"_f{i}") for i, (_, c) in enumerate(feats)])
+    long = wide.unpivot([variable, order], [f"_f{i}" for i in range(len(feats))], "_k", "value")
+    names = F.create_map(*[x for i, (name, _) in enumerate(feats) for x in (F.lit(f"_f{i}"), F.lit(name))])
+    return long.select(variable, order, F.concat(F.col(variable), F.lit("__"), names[F.col("_k")]).alias("feature"),
+                       F.col("value"))
 
 
 _LOC_COLS = ("_first_max", "_last_max", "_first_min", "_last_min")
