@@ -312,6 +312,19 @@ UNION ALL SELECT variable, datetime, variable || '__maximum', round(mx, 9) FROM
 UNION ALL SELECT variable, datetime, variable || '__minimum', round(mn, 9) FROM w
 UNION ALL SELECT variable, datetime, variable || '__length', round(n, 9) FROM w
 UNION ALL SELECT variable, datetime, variable, round(x, 9) FROM w"""
+    qs = [.1, .2, .3, .4, .6, .7, .8, .9]
+    qcols = ",\n         ".join(f"quantile_cont(x, {q}) OVER w AS q{i}" for i, q in enumerate(qs))
+    qrows = "\nUNION ALL ".join(
+        [f"SELECT variable, datetime, variable || '__median' AS feature, round(med, 9) AS value FROM w"]
+        + [f"SELECT variable, datetime, variable || '__quantile__q_{q}', round(q{i}, 9) FROM w"
+           for i, q in enumerate(qs)])
+    q["q43_running_quantiles"] = _with(TICKS, _aligned("al", R.HOUR)) + f""", s AS (
+  SELECT variable, datetime, CAST(value AS DOUBLE) AS x FROM al WHERE value IS NOT NULL),
+w AS (
+  SELECT variable, datetime, median(x) OVER w AS med,
+         {qcols}
+  FROM s WINDOW w AS (PARTITION BY variable ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+{qrows}"""
     return q
 
 

@@ -359,4 +359,12 @@ def q42_bounded_windows(spark, sf):
     return _rounded(out)
 
 
+QUANTILES = {"median": None, "quantile": [{"q": q} for q in [.1, .2, .3, .4, .6, .7, .8, .9]]}
+
+
+def q43_running_quantiles(spark, sf):
+    """Running median and quantiles (array path: sorted prefix per series block)."""
+    return _rounded(_features(spark, sf, QUANTILES))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()}
