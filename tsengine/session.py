@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,9 +47,36 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tsengine`` importable in Python workers (Pandas UDFs are pickled by reference).
+
+    The package is zipped once per SparkContext and added with ``addPyFile``,
+    which distributes it to every executor (the same as ``--py-files``).
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="tsengine-pyfiles-"), "tsengine.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage (``DataFrame.checkpoint``).
 
