@@ -325,6 +325,13 @@ w AS (
          {qcols}
   FROM s WINDOW w AS (PARTITION BY variable ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 {qrows}"""
+    dec = {"q01_time_range_scan": list(_METRICS), "q05_resample_last": list(_METRICS),
+           "q06_resample_dense_anchor": list(_METRICS),
+           "q07_wide_left_join": [f"{m}" if r == 0 else f"{m} {c}" for r, c in enumerate(_COINS) for m in _METRICS],
+           "q08_unpivot": ["value"], "q10_ffill": ["value"], "q12_drop_policy": ["value"]}
+    for key, cols in dec.items():
+        casts = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in cols)
+        q[key] = f"SELECT * REPLACE ({casts}) FROM (\n{q[key]}\n)"
     return q
 
 

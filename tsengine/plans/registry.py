@@ -47,6 +47,14 @@ SPLITS = 5
 ROUND = 12                  # decimals kept for outputs of transcendental functions
 
 
+def as_double(df: DataFrame) -> DataFrame:
+    """Fixed-point output columns as DOUBLE (exact sums happen before; this only
+    fixes the result type so every consumer sees plain floating-point values)."""
+    from pyspark.sql.types import DecimalType
+    return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def coins(spark: SparkSession, sf: str) -> list[str]:
     return list(COINS)
 
@@ -73,7 +81,7 @@ def minimal_features(spark: SparkSession, sf: str, step: int = HOUR, keep: bool
 
 # --- sources ---------------------------------------------------------------
 
-def q01_time_range_scan(spark, sf):
+def _q01_time_range_scan(spark, sf):
     return time_range(events_ticks(spark, sf), AS_OF, RANGE_DAYS)
 
 
@@ -97,20 +105,20 @@ def q04_id_lookup(spark, sf):
 
 # --- resampling, alignment, reshaping ---------------------------------------
 
-def q05_resample_last(spark, sf):
+def _q05_resample_last(spark, sf):
     return binned(spark, sf, HOUR, dense=False)
 
 
-def q06_resample_dense_anchor(spark, sf):
+def _q06_resample_dense_anchor(spark, sf):
     return binned(spark, sf, ODD_STEP, dense=True)
 
 
-def q07_wide_left_join(spark, sf):
+def _q07_wide_left_join(spark, sf):
     cs = coins(spark, sf)
     return wide_join(binned(spark, sf), cs, METRICS)
 
 
-def q08_unpivot(spark, sf):
+def _q08_unpivot(spark, sf):
     cs = coins(spark, sf)
     wide = wide_join(binned(spark, sf), cs, METRICS)
     return melt_long(wide, ["datetime"])
@@ -123,7 +131,7 @@ def q09_roll_windows(spark, sf):
     return roll_lengths(series)
 
 
-def q10_ffill(spark, sf):
+def _q10_ffill(spark, sf):
     return prepare_series(aligned(spark, sf), "ffill")
 
 
@@ -131,7 +139,7 @@ def q11_minimal_features(spark, sf):
     return minimal_features(spark, sf)
 
 
-def q12_drop_policy(spark, sf):
+def _q12_drop_policy(spark, sf):
     return prepare_series(aligned(spark, sf), "drop")
 
 
@@ -367,4 +375,32 @@ def q43_running_quantiles(spark, sf):
     return _rounded(_features(spark, sf, QUANTILES))
 
 
+def q01_time_range_scan(spark, sf):
+    return as_double(_q01_time_range_scan(spark, sf))
+
+
+def q05_resample_last(spark, sf):
+    return as_double(_q05_resample_last(spark, sf))
+
+
+def q06_resample_dense_anchor(spark, sf):
+    return as_double(_q06_resample_dense_anchor(spark, sf))
+
+
+def q07_wide_left_join(spark, sf):
+    return as_double(_q07_wide_left_join(spark, sf))
+
+
+def q08_unpivot(spark, sf):
+    return as_double(_q08_unpivot(spark, sf))
+
+
+def q10_ffill(spark, sf):
+    return as_double(_q10_ffill(spark, sf))
+
+
+def q12_drop_policy(spark, sf):
+    return as_double(_q12_drop_policy(spark, sf))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()}
