@@ -131,3 +131,12 @@ def test_positions_and_shifts_match_window_functions(spark, block):
     a = sorted(tuple(r) for r in got.select("k", "t", "pos", "lag2", "lead1").collect())
     b = sorted(tuple(r) for r in exp.collect())
     assert a == b
+
+
+def test_display_zone_across_dst(spark):
+    from tsengine.sources.market import display_zone
+    utc = [T(2024, 3, 31, 0, 30), T(2024, 3, 31, 1, 30), T(2024, 10, 27, 0, 30), T(2024, 10, 27, 1, 30)]
+    df = spark.createDataFrame([(t,) for t in utc], "bin timestamp_ntz")
+    got = [r.cet for r in df.select(display_zone("bin").alias("cet")).orderBy("bin").collect()]
+    # spring forward skips 02:00-03:00 local; in autumn 02:30 local occurs twice
+    assert got == [T(2024, 3, 31, 1, 30), T(2024, 3, 31, 3, 30), T(2024, 10, 27, 2, 30), T(2024, 10, 27, 2, 30)]
