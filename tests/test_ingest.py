@@ -140,3 +140,12 @@ def test_display_zone_across_dst(spark):
     got = [r.cet for r in df.select(display_zone("bin").alias("cet")).orderBy("bin").collect()]
     # spring forward skips 02:00-03:00 local; in autumn 02:30 local occurs twice
     assert got == [T(2024, 3, 31, 1, 30), T(2024, 3, 31, 3, 30), T(2024, 10, 27, 2, 30), T(2024, 10, 27, 2, 30)]
+
+
+def test_equal_timestamps_break_ties_by_seq(spark):
+    t = T(2024, 1, 1, 0, 10)
+    rows = [("a", t, 7, 1.0), ("a", t, 9, 2.0), ("a", t, 8, 3.0), ("a", T(2024, 1, 1, 0, 5), 10, None)]
+    df = ticks(spark, rows)
+    for shuffled in (df, df.orderBy(F.rand(1)).repartition(3)):
+        out = resample_last(shuffled, 3600).collect()
+        assert [(r.bin, r.prices) for r in out] == [(T(2024, 1, 1), 2.0)]
