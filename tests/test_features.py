@@ -259,3 +259,12 @@ def test_min_timeshift_on_expanding(spark):
     out = extract_features(df, {"mean": None}, prepared=True, min_timeshift=4)
     n_rows = len(rows) - 2 * 4
     assert out.count() == 2 * n_rows  # mean + raw value per kept window end
+
+
+def test_empty_and_single_row_series(spark):
+    schema = "variable string, datetime timestamp_ntz, value double"
+    empty = spark.createDataFrame([], schema)
+    assert extract_features(empty, "minimal").count() == 0
+    one = spark.createDataFrame([("v", dt.datetime(2024, 1, 1), 4.0)], schema)
+    out = {r.feature: r.value for r in extract_features(one, "minimal").collect()}
+    assert len(out) == 11 and out["v__variance"] == 0.0 and out["v__median"] == 4.0 and out["v"] == 4.0
