@@ -397,7 +397,7 @@ def fit(docs: DataFrame, text: str = "text", learn: Column | None = None) -> Mod
              .select("shard", F.col("w").alias("k"), "c")
              .sortWithinPartitions("shard", "k"))
     # inside a shard the leading bits are equal, so signed order is unsigned order
-    sizes = {r.shard: r for r in vocab.mapInArrow(_write_vocab(model.store), "shard int, n long, total long").collect()}
+    sizes = {r.shard: r for r in vocab.mapInArrow(_write_vocab(model.store), "shard long, n long, total long").collect()}
     n = [sizes[s].n if s in sizes else 0 for s in range(1 << bits)]
     model.base = [0, *np.cumsum(n).tolist()[:-1]]
     model.size, model.total = sum(n), sum(r.total for r in sizes.values())
