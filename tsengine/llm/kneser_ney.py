@@ -34,7 +34,7 @@ from tsengine.llm._common import (_MIXERS, as_long, keyed_text, mix64, run_dir,
 
 END_HASH = np.uint64(0x5E7D0FEE5E7D0FEE)
 SLICE = 2 << 20
-FLUSH = 4_000_000
+FLUSH = 3_000_000        # tokens whose pairs a task holds at a time
 RANGE_BITS = 16          # ids per file of the dense arrays: 2**16
 BIG = 255                # counts from here on stand in the overflow arrays
 
@@ -227,28 +227,34 @@ def _word_counts(batches):
 
 def _pair_counts(model: Model):
     def run(batches):
-        model_cache = model
         parts, held = [], 0
 
         def flush():
-            ctx, word, c = parts_arrays(parts)
-            key, first, back = np.unique(bigram_key(ctx, word), return_index=True, return_inverse=True)
-            n = np.bincount(back, c, len(key)).astype(np.int64)
-            ctx, word = ctx[first], word[first]
-            _, count = context_counts(model_cache, ctx)
-            return _emit(("shard", "ctx", "word", "c"),
-                         (model_cache.shard(ctx, word, count).astype(np.int32), ctx, word, n))
+            ctx, word = parts_arrays(parts)
+            parts.clear()
+            key = bigram_key(ctx, word)
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([np.ones(1, bool), key[1:] != key[:-1]]))
+            n = np.diff(np.append(first, len(key)))
+            del key
+            ctx, word = ctx[order[first]], word[order[first]]
+            del order
+            for i in range(0, len(n), 500_000):
+                c, w, k = ctx[i:i + 500_000], word[i:i + 500_000], n[i:i + 500_000]
+                shard = model.shard(c, w, context_counts(model, c)[1]).astype(np.int32)
+                yield from _emit(("shard", "ctx", "word", "c"), (shard, c, w, k))
 
         for b in text_slices(batches, max_bytes=SLICE):
-            t, offsets, before = tokens(b.column("text"))
-            ids, _ = model_cache.lookup(t)
-            ctx = np.concatenate([np.full(1, model_cache.size), ids[:-1]])
-            ctx[offsets[:-1]] = model_cache.size
-            parts.append((ctx, ids, np.ones(len(ids), np.int64)))
+            t, offsets, _ = tokens(b.column("text"))
+            ids, _ = model.lookup(t)
+            ctx = np.concatenate([np.full(1, model.size), ids[:-1]])
+            ctx[offsets[:-1]] = model.size
+            parts.append((ctx, ids))
             held += len(ids)
             if held > FLUSH:
                 yield from flush()
-                parts, held = [], 0
+                held = 0
         if parts:
             yield from flush()
     return run
@@ -304,18 +310,21 @@ def _write_pairs(store: Store):
     names = ("id", "c", "n1", "n2", "n3", "n4", "cont")
 
     def run(batches):
-        held, rows, now = [], 0, None
+        held: list = []
+        rows, now = 0, None
         files: dict[str, list] = {}
 
         def stats():
             ctx, word, c = parts_arrays(held)
-            one, zero = np.ones(len(c), np.int64), np.zeros(len(c), np.int64)
-            cls = [(c == i).astype(np.int64) for i in (1, 2, 3, 4)]
-            more = (c >= 3).astype(np.int64)
-            as_ctx = _summed([(ctx, c, cls[0], cls[1], more, zero, zero)], 1)
-            as_word = _summed([(word, zero, zero, zero, zero, zero, one)], 1)
-            total = [np.array([-1])] + [np.array([x.sum()]) for x in (c, *cls, zero)]
-            return _summed([as_ctx, as_word, total], 1)
+            held.clear()
+            u, back = np.unique(ctx, return_inverse=True)
+            zero = np.zeros(len(u), np.int64)
+            cls = [np.bincount(back[x], minlength=len(u)) for x in (c == 1, c == 2, c >= 3)]
+            yield from _emit(names, (u, np.bincount(back, c, len(u)).astype(np.int64), *cls, zero, zero))
+            u, n = np.unique(word, return_counts=True)
+            zero = np.zeros(len(u), np.int64)
+            yield from _emit(names, (u, zero, zero, zero, zero, zero, n))
+            yield _batch(names, [np.array([x]) for x in (-1, 0, *[int((c == i).sum()) for i in (1, 2, 3, 4)], 0)])
 
         def close():
             key = np.concatenate(files["key"])
@@ -340,13 +349,13 @@ def _write_pairs(store: Store):
                 files["count"].append(c[lo:hi])
             held.append((ctx, word, c))
             rows += len(c)
-            if rows > FLUSH // 4:
-                yield from _emit(names, stats())
-                held, rows = [], 0
+            if rows > FLUSH // 3:
+                yield from stats()
+                rows = 0
         if now is not None:
             close()
         if held:
-            yield from _emit(names, stats())
+            yield from stats()
     return run
 
 
