@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsengine.llm import kneser_ney, near_dup
+from tsengine.llm import (decontaminate, html_text, kneser_ney, language_id, near_dup, piece_sampling,
+                          private_spans, token_counts, topk, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,36 @@ def held_out(key) -> F.Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % 5 == 1
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document: place, fingerprint distance, similarity."""
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document; ``n_*`` count the base spans, ``n_added``
+    the model's."""
+    docs = _table(spark, sf_dir, "documents")
+    found = private_spans.detect(docs, private_spans.fit(docs))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in private_spans.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"),
+                        F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by line, crossing tokens going to the line with most of them."""
+    counted = token_counts.count_tokens(_table(spark, sf_dir, "documents"), rule="largest")
+    return counted.select("doc_id", "n_tokens", "n_bytes", F.size("sections").cast("long").alias("n_sections"), "sections")
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kneser-Ney scores of every document under the model of the training fold."""
     docs = _table(spark, sf_dir, "documents")
@@ -37,9 +68,89 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", k=2, percent=80)
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, listed rule and verdict of every page's URL."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document (declared label, source as host) and of
+    every page (markup, address suffix, host), under one text model."""
+    docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
+    model = language_id.fit_text(docs)
+    judged = language_id.classify(docs.select("doc_id", "text", "lang", "source"), model, "text",
+                                  declared=docs["lang"], host=docs["source"])
+    evidence = language_id.page_evidence(pages)
+    rows = pages.select("page_id", *[c.alias(n) for n, c in evidence.items()])
+    page = language_id.classify(rows, model, "text", rows["declared"], rows["suffix"], rows["host"], rows["domain"])
+    out = ("language", "language_p", "accepted")
+    none = F.lit(None).cast("long")
+    return (judged.select("doc_id", none.alias("page_id"), *out)
+            .unionByName(page.select(none.alias("doc_id"), "page_id", *out)))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentation of every document and whether decoding restores it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = piece_sampling.decode(piece_sampling.encode(docs, "doc_id", "text"))
+    return coded.select("doc_id", F.length("text").cast("long").alias("n_chars"),
+                        F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
+                        (F.col("decoded") == F.col("text")).alias("lossless"))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = html_text.extract(_table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every query vector (id divisible by 50)."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, k=5)
+
+
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_pii": op2_pii,
+    "op3_token_counts": op3_token_counts,
     "op4_lm_scoring": op4_lm_scoring,
+    "op5_url_filters": op5_url_filters,
+    "op6_language_id": op6_language_id,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_html_extraction": op9_html_extraction,
+    "op10_exact_topk": op10_exact_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Every pair of documents that share a shingle, then reachability by id.
+_OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+        ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END)) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g
+      JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+      WHERE a.doc_id <> b.doc_id AND least(na.n, nb.n) * 100 >= 80 * greatest(na.n, nb.n)
+      GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
+r AS (SELECT doc_id AS a, doc_id AS c FROM d UNION SELECT e.a, r.c FROM r JOIN e ON e.b = r.a AND r.c < e.a),
+m AS (SELECT a, min(c) AS c FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+FROM d JOIN m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
+
+_OP10_SQL = """
+WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+           FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_url_filters": url_filter.oracle_sql(),
+    "op8_minhash_near_dedup": _OP8_SQL,
+    "op10_exact_topk": _OP10_SQL,
+}
