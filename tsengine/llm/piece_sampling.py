@@ -13,7 +13,7 @@ character outside the vocabulary, and the mark itself when the text holds it,
 becomes its UTF-8 byte pieces, so decoding restores every text.
 
 No piece crosses from a non-mark to a mark, so the lattice falls into chunks
-(marks and what follows); equal chunks of a batch share their tables.
+(marks and what follows); a process keeps the tables of the chunks it has seen.
 
 Edge cases: a null text gives null pieces, an empty one an empty list; a null
 key draws with a fixed key; repeated rows get equal results; other columns
@@ -23,6 +23,7 @@ stay as they are (one named like an output column is replaced).
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ from pyspark.sql import types as T
 from tsengine.llm._common import _MIXERS, mix64, text_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 4 << 20
+SLICE = 2 << 20
+KEPT_CHUNKS = 300_000     # chunks whose tables a process keeps; then it starts anew
 MARK, RAW_MARK = 0x2581, 0x110000
 _CHUNK = re.compile(" +[^ \n]*|\n+[^ \n]*")
 _vocabularies: dict = {}
@@ -73,7 +75,7 @@ class Vocabulary:
         self.byte_weight = -np.log(self.size * harmonic)
         key = np.array([a << 21 | c for a, c in edges], np.int64)
         self._table(key, np.array(list(edges.values()), np.int64))
-        self.piece = np.full(len(edges) + 1, -1, np.int64)
+        self.piece = np.full(len(edges) + 1, -1, np.int32)
         self.weight = np.zeros(len(edges) + 1)
         for node, (i, w) in ends.items():
             self.piece[node], self.weight[node] = i, w
@@ -82,7 +84,7 @@ class Vocabulary:
         """The trie's edges as a hash table with linear probing."""
         size = 1 << int(np.ceil(np.log2(max(len(key), 1) * 4)))
         self.shift = np.uint64(64 - int(np.log2(size)))
-        self.keys, self.to = np.full(size + 64, -1, np.int64), np.zeros(size + 64, np.int64)
+        self.keys, self.to = np.full(size + 64, -1, np.int64), np.zeros(size + 64, np.int32)
         for k, t, at in zip(key.tolist(), to.tolist(), self._slot(key).tolist()):
             while self.keys[at] >= 0:
                 at += 1
@@ -93,16 +95,17 @@ class Vocabulary:
 
     def follow(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
         """The trie node behind each (node, character), or -1."""
-        key = node << 21 | char
+        key = node.astype(np.int64) << 21 | char
         at = self._slot(key)
-        out = np.full(len(key), -1, np.int64)
-        open_ = np.arange(len(key))
+        seen = self.keys[at]
+        out = np.where(seen == key, self.to[at], np.int32(-1))
+        open_ = np.flatnonzero((seen != key) & (seen >= 0))
         while len(open_):
-            seen = self.keys[at]
-            hit = seen == key
-            out[open_[hit]] = self.to[at[hit]]
-            more = ~hit & (seen >= 0)
-            open_, at, key = open_[more], at[more] + 1, key[more]
+            at[open_] += 1
+            seen = self.keys[at[open_]]
+            hit = seen == key[open_]
+            out[open_[hit]] = self.to[at[open_[hit]]]
+            open_ = open_[~hit & (seen >= 0)]
         return out
 
 
@@ -116,47 +119,46 @@ def lattice(v: Vocabulary, chunks: list[str], alpha: float):
     """Incoming pieces of every place of the chunks: (first place of each
     chunk, its length, where each place's pieces begin, their cumulative
     probabilities, the places they start at, piece ids)."""
-    code = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int64)
+    code = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int32)
     code = np.where(code == MARK, RAW_MARK, np.where(code == 32, MARK, code))
-    size = np.array([len(c) for c in chunks], np.int64)
-    end_of = np.repeat(np.cumsum(size), size)
-    place, node = np.arange(len(code)), np.zeros(len(code), np.int64)
+    size = np.array([len(c) for c in chunks], np.int32)
+    end_of = np.repeat(np.cumsum(size, dtype=np.int32), size)
+    place, node = np.arange(len(code), dtype=np.int32), np.zeros(len(code), np.int32)
     starts, ends, pieces, weights = [], [], [], []
     single = np.zeros(len(code), bool)
     step = 0
     while len(place):
-        at = place + step
-        inside = at < end_of[place]
-        place, node, at = place[inside], node[inside], at[inside]
-        node = v.follow(node, code[at])
-        hit = node >= 0
+        at = place + np.int32(step)
+        inside = np.flatnonzero(at < end_of[place])
+        place, node = place[inside], v.follow(node[inside], code[at[inside]])
+        hit = np.flatnonzero(node >= 0)
         place, node = place[hit], node[hit]
         piece = v.piece[node]
-        real = piece >= 0
+        real = np.flatnonzero(piece >= 0)
         starts.append(place[real])
-        ends.append(place[real] + step + 1)
+        ends.append(starts[-1] + np.int32(step + 1))
         pieces.append(piece[real])
         weights.append(v.weight[node[real]])
         if not step:
-            single[place[real]] = True
+            single[starts[-1]] = True
         step += 1
-    lone = np.flatnonzero(~single)
-    char = np.where(code[lone] == RAW_MARK, MARK, code[lone])
+    lone = np.flatnonzero(~single).astype(np.int32)
+    char = np.where(code[lone] == RAW_MARK, np.int32(MARK), code[lone])
     starts.append(lone)
-    ends.append(lone + 1)
-    pieces.append(v.size + char)
+    ends.append(lone + np.int32(1))
+    pieces.append(char + np.int32(v.size))
     weights.append(v.byte_weight * _utf8_len(char))
     start, end = np.concatenate(starts), np.concatenate(ends)
     piece, weight = np.concatenate(pieces), np.concatenate(weights) * alpha
     order = np.argsort(end, kind="stable")               # a few sorted runs: cheap
     start, end, piece, weight = start[order], end[order], piece[order], weight[order]
-    first = np.cumsum(size) - size
-    slot = np.repeat(np.arange(len(size)), size)         # a chunk of n characters has n + 1 places
+    first = np.cumsum(size, dtype=np.int32) - size
+    slot = np.repeat(np.arange(len(size), dtype=np.int32), size)         # a chunk of n characters has n + 1 places
     from_slot, to_slot = start + slot[start], end + slot[start]
     head = np.flatnonzero(np.concatenate([np.ones(1, bool), to_slot[1:] != to_slot[:-1]]))
     width = np.diff(np.append(head, len(to_slot)))
     # forward: places in order of their distance from the chunk's start
-    far = (to_slot - first[slot[start]] - slot[start])[head]
+    far = end[head] - first[slot[start[head]]]
     longest = int(far.max(initial=0))
     turn = np.argsort(far.astype(np.int16) if longest < 2**15 else far, kind="stable")
     bounds = np.searchsorted(far[turn], np.arange(1, longest + 2))
@@ -176,9 +178,55 @@ def lattice(v: Vocabulary, chunks: list[str], alpha: float):
     run = np.cumsum(probability)
     share = run - np.repeat(run[head] - probability[head], width)
     share[head + width - 1] = 2.0                        # the last piece takes what rounding leaves
-    where = np.zeros(len(alpha_log), np.int64)
+    where = np.zeros(len(alpha_log), np.int32)
     where[to_slot[head]] = head
-    return first + np.arange(len(size)), size, where, share, from_slot, piece
+    return first + np.arange(len(size), dtype=np.int32), size, where, share, from_slot, piece
+
+
+class _Column:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype):
+        self.room, self.n = np.empty(1 << 12, dtype), 0
+
+    def extend(self, x: np.ndarray) -> None:
+        if self.n + len(x) > len(self.room):
+            room = np.empty(2 * (self.n + len(x)), self.room.dtype)
+            room[:self.n] = self.room[:self.n]
+            self.room = room
+        self.room[self.n:self.n + len(x)] = x
+        self.n += len(x)
+
+
+class Tables:
+    """Lattices of the chunks seen so far, found by the chunk's number."""
+
+    def __init__(self, v: Vocabulary, alpha: float):
+        self.v, self.alpha = v, alpha
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.first, self.size, self.where, self.start, self.piece = (_Column(np.int32) for _ in range(5))
+        self.share = _Column(np.float64)
+
+    def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(chunk numbers of all texts, chunks of each text); unknown chunks are added."""
+        if len(self.ids) > KEPT_CHUNKS:
+            self.clear()
+        ids, known = self.ids, len(self.ids)
+        found, counts = [], []
+        for t in texts:
+            c = _CHUNK.findall(" " + t) if t else []
+            found.extend([ids.setdefault(x, len(ids)) for x in c])
+            counts.append(len(c))
+        if len(ids) > known:
+            first, size, where, share, start, piece = lattice(self.v, list(islice(ids, known, None)), self.alpha)
+            places, edges = np.int32(self.where.n), np.int32(self.piece.n)
+            for column, new in ((self.first, first + places), (self.size, size), (self.where, where + edges),
+                                (self.start, start + places), (self.piece, piece), (self.share, share)):
+                column.extend(new)
+        return np.array(found, np.int32), np.array(counts, np.int64)
 
 
 def _utf8_len(char: np.ndarray) -> np.ndarray:
@@ -199,26 +247,21 @@ def _byte_pieces(v: Vocabulary, out: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return flat, width
 
 
-def sample(v: Vocabulary, texts: list[str], keys: np.ndarray, alpha: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def sample(tables: Tables, texts: list[str], keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(pieces of all texts, offsets by text)."""
-    ids: dict[str, int] = {}
-    found, counts = [], []
-    for t in texts:
-        c = _CHUNK.findall(" " + t) if t else []
-        found.extend([ids.setdefault(x, len(ids)) for x in c])
-        counts.append(len(c))
-    chunk, counts = np.array(found, np.int64), np.array(counts, np.int64)
+    v = tables.v
+    chunk, counts = tables.number(texts)
     at = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
     if not len(chunk):
         return np.empty(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-    first, size, where, share, start, piece = lattice(v, list(ids), alpha)
+    where, share, start, piece = (c.room for c in (tables.where, tables.share, tables.start, tables.piece))
     row_seed = mix64(keys.view(np.uint64) * _MIXERS[8] + np.uint64(seed))
     number = (np.arange(len(chunk)) - np.repeat(at[:-1], counts)).astype(np.uint64)
     chunk_seed = mix64(np.repeat(row_seed, counts) + number * _MIXERS[9])
-    live = np.arange(len(chunk))
-    origin = first[chunk]
-    place = origin + size[chunk]
-    drawn, length, step = [], np.zeros(len(chunk), np.int64), 0
+    live = np.arange(len(chunk), dtype=np.int32)
+    origin = tables.first.room[chunk]
+    place = origin + tables.size.room[chunk]
+    drawn, length, step = [], np.zeros(len(chunk), np.int32), 0
     while len(live):
         turn = np.uint64(step * int(_MIXERS[10]) % 2**64)
         u = (mix64(chunk_seed[live] + turn) >> np.uint64(11)) * 2.0**-53
@@ -228,12 +271,13 @@ def sample(v: Vocabulary, texts: list[str], keys: np.ndarray, alpha: float, seed
             e[behind] += 1
             behind = behind[share[e[behind]] <= u[behind]]
         drawn.append((live, piece[e]))
-        place[live] = start[e]
+        back_to = start[e]
+        place[live] = back_to
         length[live] += 1
-        live = live[start[e] > origin[live]]
+        live = live[back_to > origin[live]]
         step += 1
-    last = np.cumsum(length) - 1
-    out = np.empty(int(length.sum()), np.int64)
+    last = np.cumsum(length, dtype=np.int64) - 1
+    out = np.empty(int(length.sum()), np.int32)
     for back, (who, what) in enumerate(drawn):
         out[last[who] - back] = what
     flat, width = _byte_pieces(v, out)
@@ -253,11 +297,11 @@ def spell(v: Vocabulary, pieces: np.ndarray, offsets: np.ndarray) -> list[bytes]
 
 def _encode(path: str, key: str, text: str, out: str, names: list[str], alpha: float, seed: int):
     def run(batches):
-        v = vocabulary(path)
+        tables = Tables(vocabulary(path), alpha)
         for b in text_slices(batches, text, SLICE):
             texts = b.column(text)
             keys = b.column(key).cast(pa.int64()).fill_null(-1).to_numpy()
-            flat, offsets = sample(v, texts.fill_null("").to_pylist(), keys, alpha, seed)
+            flat, offsets = sample(tables, texts.fill_null("").to_pylist(), keys, seed)
             null = np.append(texts.is_null().to_numpy(zero_copy_only=False), False)
             pieces = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), mask=null), pa.array(flat))
             cols = {n: b.column(n) for n in b.schema.names if n != out}
