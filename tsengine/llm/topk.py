@@ -6,10 +6,12 @@ matrix, summed in Spark) puts most of a product into the first coordinates.  A
 task reads its vectors block by block, longest first, and drops
 
 * the rest of its vectors, once ``|q| |x|`` is under every query's bound,
-* a pair whose partial product over the leading rotated coordinates plus
-  ``|q_rest| |x_rest|`` (Cauchy-Schwarz) is under the query's bound.
+* a pair whose partial product over the leading rotated coordinates (those that
+  hold ``LEAD`` of the squared length) plus ``|q_rest| |x_rest|``
+  (Cauchy-Schwarz) is under the query's bound.
 
-The integer product of the survivors decides.  A query's bound starts at its
+The integer products of the survivors decide, taken as one exact matrix product
+over the rows and columns that still hold any.  A query's bound starts at its
 k-th best score among the longest vectors and rises with what the task finds.
 Queries come in blocks of ``QUERY_BLOCK``, one pass each.
 
@@ -33,6 +35,7 @@ from tsengine.llm._common import save_table
 QUERY_BLOCK = 4_096
 SEED_ROWS = 2_048
 SCAN_ROWS = 2_048
+LEAD = 0.75            # share of the squared length in the leading rotated coordinates
 SLACK = 1e-9          # relative, for the rounding of the rotated products
 SCHEMA = "query_id long, vec_id long, score long"
 
@@ -69,14 +72,17 @@ def _gram(dim: int):
     return run
 
 
-def rotation(vectors: DataFrame, dim: int) -> np.ndarray:
-    """Right singular vectors of all vectors, strongest first (dim x dim)."""
+def rotation(vectors: DataFrame, dim: int) -> tuple[np.ndarray, int]:
+    """Right singular vectors of all vectors, strongest first (dim x dim), and
+    how many of them hold ``LEAD`` of the squared length."""
     rows = (vectors.mapInArrow(_gram(dim), "i long, j long, x double")
             .groupBy("i", "j").agg(F.sum("x").alias("x")).collect())
     gram = np.zeros((dim, dim))
     for r in rows:
         gram[r.i, r.j] = r.x
-    return np.linalg.eigh(gram)[1][:, ::-1].copy()
+    energy, turn = np.linalg.eigh(gram)
+    share = np.cumsum(np.maximum(energy[::-1], 0))
+    return turn[:, ::-1].copy(), int(np.searchsorted(share, LEAD * share[-1])) + 1
 
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -108,15 +114,14 @@ class _Best:
         self.query, self.vec, self.score = query[keep], vec[keep], score[keep]
 
 
-def _scan(q_ids, q, turn, k, bound):
-    """Sorted vectors -> each query's best k in this partition."""
+def _scan(q_ids, q, turn, lead, k, bound):
+    """Sorted vectors -> each query's best k in this partition.  ``lead``: how
+    many rotated coordinates the partial products take."""
     dim = q.shape[1]
-    steps = sorted({max(1, dim // 4), max(1, dim // 2)}) if dim else []
     q_norm = np.sqrt((q.astype(float) ** 2).sum(axis=1))
     q_turn = q @ turn
-
-    def rest(m, s):
-        return np.sqrt(np.maximum((m[:, s:] ** 2).sum(axis=1), 0))
+    q_rest = np.sqrt((q_turn[:, lead:] ** 2).sum(axis=1))
+    q_top = float(np.abs(q).max(initial=0))
 
     def run(batches):
         best = _Best(q_ids, k, bound)
@@ -127,18 +132,21 @@ def _scan(q_ids, q, turn, k, bound):
             if not len(live):
                 break
             x_turn = x @ turn
-            slack = SLACK * q_norm[live, None] * norm + SLACK
-            pairs = np.ones((len(live), len(ids)), bool)
-            for s in steps:
-                top = q_turn[live, :s] @ x_turn[:, :s].T + np.outer(rest(q_turn[live], s), rest(x_turn, s))
-                pairs &= top + slack >= best.bound[live, None]
-            qi, xi = np.nonzero(pairs)
-            qi = live[qi]
-            other = q_ids[qi] != ids[xi]
-            qi, xi = qi[other], xi[other]
-            for c in range(0, len(qi), 500_000):
-                a, e = qi[c:c + 500_000], xi[c:c + 500_000]
-                best.add(a, ids[e], products(q[a], x[e]))
+            least = best.bound[live, None] - SLACK * (1 + q_norm[live, None] * norm[0])
+            upper = q_turn[live, :lead] @ x_turn[:, :lead].T
+            upper += np.outer(q_rest[live], np.sqrt((x_turn[:, lead:] ** 2).sum(axis=1)))
+            open_ = upper >= least
+            rows, cols = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+            qs = live[rows]
+            if q_top * float(np.abs(x).max(initial=0)) * max(dim, 1) < 2**53:      # exact in float64
+                score = q[qs].astype(float) @ x[cols].T.astype(float)
+                r, c = np.nonzero((score >= best.bound[qs, None]) & open_[np.ix_(rows, cols)])
+                score = score[r, c].astype(np.int64)
+            else:
+                r, c = np.nonzero(open_[np.ix_(rows, cols)])
+                score = products(q[qs[r]], x[cols[c]])
+            other = q_ids[qs[r]] != ids[cols[c]]
+            best.add(qs[r][other], ids[cols[c]][other], score[other])
         yield pa.RecordBatch.from_arrays(
             [pa.array(q_ids[best.query]), pa.array(best.vec), pa.array(best.score)], names=["query_id", "vec_id", "score"])
     return run
@@ -165,7 +173,7 @@ def top_k(df: DataFrame, is_query, k: int = 5, key: str = "vec_id", vector: str
     by_length = [F.desc("norm2"), F.asc("vec_id")]
     vectors = save_table(vectors.repartitionByRange(*by_length).sortWithinPartitions(*by_length), "vectors")
     dim = vectors.agg(F.max(F.size("v"))).first()[0] or 0
-    turn = rotation(vectors, dim) if dim else np.zeros((0, 0))
+    turn, lead = rotation(vectors, dim) if dim else (np.zeros((0, 0)), 0)
     longest = vectors.orderBy(*by_length).limit(SEED_ROWS).select("vec_id", "v").collect()
     seed_ids = np.array([r.vec_id for r in longest], np.int64)
     seeds = np.array([[*r.v, *[0] * (dim - len(r.v))] for r in longest], np.int64).reshape(len(longest), dim)
@@ -178,7 +186,7 @@ def top_k(df: DataFrame, is_query, k: int = 5, key: str = "vec_id", vector: str
             if len(others) >= k:
                 s = products(np.broadcast_to(q[i], (len(others), dim)), seeds[others])
                 bound[i] = np.partition(s, len(s) - k)[len(s) - k]
-        part = vectors.mapInArrow(_scan(ids, q, turn, k, bound), SCHEMA)
+        part = vectors.mapInArrow(_scan(ids, q, turn, lead, k, bound), SCHEMA)
         found = part if found is None else found.union(part)
     if found is None:
         found = spark.createDataFrame([], SCHEMA)
