@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsengine.llm import decontaminate, language_id, near_dup, piece_sampling, private_spans
-from tsengine.llm._common import save_table
+from tsengine.llm._common import bound_batches, save_table
 
 BROADCAST_IDS = 500_000
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without text in any of the known languages."""
+    bound_batches(spark)
     model = language_id.fit_text(docs)
     judged = language_id.classify(docs, model, "text", declared=docs["lang"], host=docs["source"])
     return judged.where("accepted").select(*docs.columns)
@@ -30,6 +31,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group (five-word shingles, 0.8)."""
+    bound_batches(spark)
     gone = save_table(near_dup.near_duplicates(docs, "doc_id", "text").where("not kept").select("doc_id").distinct(),
                       "dropped")
     if gone.count() <= BROADCAST_IDS:
@@ -39,11 +41,13 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark passage."""
+    bound_batches(spark)
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks personal data in the texts and counts their characters anew."""
+    bound_batches(spark)
     masked = private_spans.redact(docs, private_spans.fit(docs))
     kind = docs.schema["n_chars"].dataType
     return masked.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
@@ -52,6 +56,7 @@ def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds sampled pieces; ``text`` is what they decode to, and ``lossless``
     tells that this is the text they came from."""
+    bound_batches(spark)
     coded = piece_sampling.decode(piece_sampling.encode(docs, "doc_id", "text"))
     keep = [F.col("decoded").alias(c) if c == "text" else F.col(c) for c in docs.columns]
     return coded.select(*keep, "pieces", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))

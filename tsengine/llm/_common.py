@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -21,6 +22,21 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB, so that a task's memory does not follow
+    the length of the rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps idle Python workers."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def save_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts the lineage;
     a lost executor rereads the files)."""
@@ -41,18 +57,21 @@ def text_slices(batches, column: str = "text",
                 max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice holds about ``max_bytes`` of text
     (one row at least), which bounds the arrays made from it."""
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        size = pc.binary_length(batch.column(column)).fill_null(0)
-        ends = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64))
-        i = 0
-        while i < n:
-            base = ends[i - 1] if i else 0
-            j = max(i + 1, int(np.searchsorted(ends, base + max_bytes, "right")))
-            yield batch.slice(i, j - i)
-            i = j
+    try:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            size = pc.binary_length(batch.column(column)).fill_null(0)
+            ends = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64))
+            i = 0
+            while i < n:
+                base = ends[i - 1] if i else 0
+                j = max(i + 1, int(np.searchsorted(ends, base + max_bytes, "right")))
+                yield batch.slice(i, j - i)
+                i = j
+    finally:
+        give_back()
 
 
 # ---------------------------------------------------------------- word hashes

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from tsengine.llm import (decontaminate, html_text, kneser_ney, language_id, near_dup, piece_sampling,
                           private_spans, token_counts, topk, url_filter)
+from tsengine.llm._common import bound_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
