@@ -57,7 +57,7 @@ def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Adds sampled pieces; ``text`` is what they decode to, and ``lossless``
     tells that this is the text they came from."""
     bound_batches(spark)
-    coded = piece_sampling.decode(piece_sampling.encode(docs, "doc_id", "text"))
+    coded = piece_sampling.encode(docs, "doc_id", "text", decoded="decoded")
     keep = [F.col("decoded").alias(c) if c == "text" else F.col(c) for c in docs.columns]
     return coded.select(*keep, "pieces", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 

@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 from tsengine.llm._common import _MIXERS, mix64, text_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 2 << 20
-KEPT_CHUNKS = 300_000     # chunks whose tables a process keeps; then it starts anew
+SLICE = 1 << 20
+KEPT_CHUNKS = 200_000     # chunks whose tables a process keeps; then it starts anew
 MARK, RAW_MARK = 0x2581, 0x110000
 _CHUNK = re.compile(" +[^ \n]*|\n+[^ \n]*")
 _vocabularies: dict = {}
@@ -61,13 +61,18 @@ class Vocabulary:
         self.raw_len = np.array([len(x) for x in raw], np.int64)
         self.raw_at = np.cumsum(self.raw_len) - self.raw_len
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
+        self.names = names
+        self.ordinary = [i for i in range(self.size) if not byte[i] and not special[i]]
+
+    def lattice_tables(self) -> None:
+        """The trie of the pieces and their weights; only encoding needs them."""
+        names = self.names
         if any(re.search("[^▁]▁|.\n|\n.", n) for n in names):
             raise ValueError("a piece crosses a chunk's edge")
         harmonic = float(np.sum(1.0 / np.arange(1, self.size + 1)))
         edges: dict[tuple[int, int], int] = {}
         ends: dict[int, tuple[int, float]] = {}
-        ordinary = [i for i in range(self.size) if not byte[i] and not special[i]]
-        for rank, i in enumerate(ordinary):
+        for rank, i in enumerate(self.ordinary):
             node = 0
             for c in names[i]:
                 node = edges.setdefault((node, ord(c)), len(edges) + 1)
@@ -109,9 +114,11 @@ class Vocabulary:
         return out
 
 
-def vocabulary(path: str) -> Vocabulary:
+def vocabulary(path: str, encoding: bool = False) -> Vocabulary:
     if path not in _vocabularies:
         _vocabularies[path] = Vocabulary(path)
+    if encoding and not hasattr(_vocabularies[path], "weight"):
+        _vocabularies[path].lattice_tables()
     return _vocabularies[path]
 
 
@@ -295,25 +302,36 @@ def spell(v: Vocabulary, pieces: np.ndarray, offsets: np.ndarray) -> list[bytes]
     return [raw[a + 1:b] for a, b in zip(cut[:-1], cut[1:])]
 
 
-def _encode(path: str, key: str, text: str, out: str, names: list[str], alpha: float, seed: int):
+def _encode(path: str, key: str, text: str, out: str, decoded: str | None, names: list[str], alpha: float, seed: int):
     def run(batches):
-        tables = Tables(vocabulary(path), alpha)
+        tables = Tables(vocabulary(path, encoding=True), alpha)
         for b in text_slices(batches, text, SLICE):
             texts = b.column(text)
             keys = b.column(key).cast(pa.int64()).fill_null(-1).to_numpy()
             flat, offsets = sample(tables, texts.fill_null("").to_pylist(), keys, seed)
             null = np.append(texts.is_null().to_numpy(zero_copy_only=False), False)
             pieces = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), mask=null), pa.array(flat))
-            cols = {n: b.column(n) for n in b.schema.names if n != out}
-            yield pa.RecordBatch.from_arrays([cols.get(n, pieces) for n in names], names=names)
+            cols = {n: b.column(n) for n in b.schema.names} | {out: pieces}
+            if decoded:
+                cols[decoded] = _restored(tables.v, flat, offsets, null[:-1])
+            yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
     return run
 
 
+def _restored(v: Vocabulary, flat: np.ndarray, offsets: np.ndarray, null: np.ndarray) -> pa.Array:
+    texts = spell(v, flat.astype(np.int64), offsets)
+    return pa.array([None if x else t.decode("utf-8", "replace") for t, x in zip(texts, null)], pa.string())
+
+
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "pieces", alpha: float = 1.0,
-           seed: int = 17, model: str = MODEL) -> DataFrame:
-    """``df`` with a column ``out`` of sampled piece ids."""
-    schema = T.StructType([f for f in df.schema.fields if f.name != out]).add(out, T.ArrayType(T.IntegerType(), False))
-    return df.mapInArrow(_encode(model, key, text, out, schema.names, alpha, seed), schema)
+           seed: int = 17, model: str = MODEL, decoded: str | None = None) -> DataFrame:
+    """``df`` with a column ``out`` of sampled piece ids and, if ``decoded``
+    names one, a column of the text these ids spell (``decode`` in the same task)."""
+    schema = T.StructType([f for f in df.schema.fields if f.name not in (out, decoded)])
+    schema = schema.add(out, T.ArrayType(T.IntegerType(), False))
+    if decoded:
+        schema = schema.add(decoded, T.StringType())
+    return df.mapInArrow(_encode(model, key, text, out, decoded, schema.names, alpha, seed), schema)
 
 
 def _decode(path: str, pieces: str, out: str, names: list[str]):
@@ -323,11 +341,10 @@ def _decode(path: str, pieces: str, out: str, names: list[str]):
             for i in range(0, big.num_rows, 1000):
                 b = big.slice(i, 1000)
                 col = b.column(pieces)
-                flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 n = pc.list_value_length(col).fill_null(0).to_numpy(zero_copy_only=False)
-                texts = spell(v, flat, np.concatenate([np.zeros(1, np.int64), np.cumsum(n)]))
-                null = col.is_null().to_numpy(zero_copy_only=False)
-                decoded = pa.array([None if x else t.decode("utf-8", "replace") for t, x in zip(texts, null)], pa.string())
+                decoded = _restored(v, col.flatten().to_numpy(zero_copy_only=False),
+                                    np.concatenate([np.zeros(1, np.int64), np.cumsum(n)]),
+                                    col.is_null().to_numpy(zero_copy_only=False))
                 cols = {c: b.column(c) for c in b.schema.names if c != out}
                 yield pa.RecordBatch.from_arrays([cols.get(c, decoded) for c in names], names=names)
     return run

@@ -94,7 +94,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled segmentation of every document and whether decoding restores it."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = piece_sampling.decode(piece_sampling.encode(docs, "doc_id", "text"))
+    coded = piece_sampling.encode(docs, "doc_id", "text", decoded="decoded")
     return coded.select("doc_id", F.length("text").cast("long").alias("n_chars"),
                         F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
                         (F.col("decoded") == F.col("text")).alias("lossless"))
