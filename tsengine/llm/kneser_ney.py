@@ -141,7 +141,9 @@ class Model:
         for r, lo, hi in _runs(ids[order] >> RANGE_BITS):
             if r >= 0:
                 at = order[lo:hi]
-                out[at] = self.store.array(f"word-{r}.{name}", np.float64)[ids[at] & ((1 << RANGE_BITS) - 1)]
+                values = self.store.array(f"word-{r}.{name}", np.float64)
+                if len(values):         # there are none without training rows
+                    out[at] = values[ids[at] & ((1 << RANGE_BITS) - 1)]
         return out
 
     def unigram(self, cont: np.ndarray) -> np.ndarray:
