@@ -43,8 +43,8 @@ def main() -> None:
         "minimal_features_hourly": R.q11_minimal_features,
         "minimal_features_5min": minimal_5min,
         "efficient_native_hourly": efficient_native_hourly,
-        "impute_daily": R.q18_impute,
-        "relevance_daily": R.q20_relevance,
+        "impute_hourly": R.q18_impute,
+        "relevance_hourly": R.q20_relevance,
         "targets_hourly": R.q16_target_log_return,
     }
     # warm-up: JVM, codegen caches, Python workers

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from tsengine.operators.align import align_long, melt_long, pivot_features, variable_names, wide_join
 from tsengine.operators.resample import resample_last
 from tsengine.sources.catalog import lookup_ids, top_n
-from tsengine.sources.market import bin_step_seconds, parse_payload, payload_to_ticks, ticks_to_payload, time_range
+from tsengine.operators.roll import prepare_series
+from tsengine.sources.market import (
+    bin_step_seconds, parse_payload, payload_to_ticks, read_market_chart, ticks_to_payload, time_range,
+)
 
 T = dt.datetime
 
@@ -149,3 +152,34 @@ def test_equal_timestamps_break_ties_by_seq(spark):
     for shuffled in (df, df.orderBy(F.rand(1)).repartition(3)):
         out = resample_last(shuffled, 3600).collect()
         assert [(r.bin, r.prices) for r in out] == [(T(2024, 1, 1), 2.0)]
+
+
+@pytest.mark.parametrize("doc", ['{"prices": [[1, 2.0]', '{"error": "no such coin"}', None])
+def test_bad_documents_raise(spark, doc):
+    good = '{"prices": [[0, 1.0]], "market_caps": [[0, 1.0]], "total_volumes": [[0, 1.0]]}'
+    df = spark.createDataFrame([("a", good), ("b", doc)], "coin string, payload string")
+    with pytest.raises(Exception, match="not a market-chart document"):
+        payload_to_ticks(parse_payload(df, "payload")).collect()
+
+
+def test_landed_files_round_trip(spark, tmp_path):
+    rows = [("a", T(2024, 1, 1, h), h, float(h), 2.0, 3.0) for h in range(3)] + [("b", T(2024, 1, 2), 0, 7.0, 8.0, 9.0)]
+    df = spark.createDataFrame(rows, "coin string, ts timestamp_ntz, seq bigint, prices double, market_caps double, total_volumes double")
+    path = str(tmp_path / "landed")
+    ticks_to_payload(df).select("coin", "payload").write.option("maxRecordsPerFile", 1).partitionBy("coin").text(path)
+    assert sorted(payload_to_ticks(read_market_chart(spark, path)).collect()) == sorted(df.collect())
+
+
+@pytest.mark.parametrize("policy, want", [("drop", [1.0, 3.0]), ("ffill", [1.0, 1.0, 3.0, 3.0])])
+def test_nan_counts_as_null(spark, policy, want):
+    rows = [("v", T(2024, 1, 1, h), x) for h, x in enumerate([1.0, float("nan"), 3.0, None])]
+    df = spark.createDataFrame(rows, "variable string, datetime timestamp_ntz, value double")
+    assert [r.value for r in prepare_series(df, policy).orderBy("datetime").collect()] == want
+
+
+def test_null_sort_key_raises(spark):
+    df = spark.createDataFrame([("v", T(2024, 1, 1), 1.0), ("v", None, 2.0)],
+                               "variable string, datetime timestamp_ntz, value double")
+    for policy in ("drop", "ffill"):
+        with pytest.raises(Exception, match="NULL sort key"):
+            prepare_series(df, policy).collect()

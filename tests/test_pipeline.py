@@ -180,3 +180,16 @@ def test_early_stopping_train_objective_and_sinks(spark, tmp_path):
     out = str(tmp_path / "stage")
     write_stage(spark.createDataFrame([("x", 1.0)], "variable string, value double"), out)
     assert spark.read.parquet(out).count() == 1
+
+
+@pytest.mark.parametrize("p, relevant", [([0.004] + [0.9] * 9, 0), ([0.013, 0.0131, 0.0132, 0.0133], 4),
+                                         ([0.0001, 0.2, 0.3], 1)])
+def test_fdr_is_step_up(spark, p, relevant):
+    t = spark.createDataFrame([(f"f{i}", "real", 10, 0.1, x) for i, x in enumerate(p)],
+                              "feature string, type string, n bigint, stat double, p_value double")
+    out = fdr_select(t, 0.05).collect()
+    m, cm = len(p), sum(1 / i for i in range(1, len(p) + 1))
+    for r in out:
+        want = min([1.0] + [x * m * cm / (k + 1) for k, x in enumerate(sorted(p)) if x >= r.p_value])
+        assert r.p_adj == pytest.approx(want) and r.relevant == (r.p_adj <= 0.05)
+    assert sum(r.relevant for r in out) == relevant

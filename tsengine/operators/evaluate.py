@@ -13,11 +13,11 @@ def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "
                        by: Sequence[str] = ()) -> DataFrame:
     """``n, r2, mae, mape, std`` (per ``by`` group).
 
-    Sums are taken in the input type, so fixed-point input gives exact sums;
-    ``r2 = 1 - SSres / SStot`` with ``SStot = sum(y^2) - sum(y)^2 / n``;
-    rows whose actual value is 0 have no percentage error and are left out of
-    ``mape``; ``std`` is the sample standard deviation of ``actual`` from the same sums
-    (exact for fixed-point input; for doubles prefer centred data).
+    ``r2 = 1 - SSres / SStot``; ``std`` is the sample standard deviation of
+    ``actual``.  Fixed-point input is summed exactly
+    (``SStot = sum(y^2) - sum(y)^2 / n``); floating-point input takes Spark's
+    ``var_samp``, which does not cancel.  Rows whose actual value is 0 have no
+    percentage error and are left out of ``mape``; ``n_zero_actual`` counts them.
     """
     y, p = F.col(actual), F.col(predicted)
     e = y - p
@@ -25,14 +25,18 @@ def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "
     aggs = [n.alias("n"), F.sum(e * e).alias("_sse"), F.sum(y).alias("_sy"),
             F.sum(y * y).alias("_syy"), F.sum(F.abs(e)).alias("_sae"),
             F.avg(F.try_divide(F.abs(e).cast("double"), F.abs(y).cast("double"))).alias("mape")]
+    aggs += [F.var_samp(y).alias("_var"), F.count_if(y == 0).alias("n_zero_actual")]
     g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     nd = F.col("n").cast("double")
-    sstot_n = (F.col("n") * F.col("_syy") - F.col("_sy") * F.col("_sy")).cast("double")  # n * SStot
+    if isinstance(df.schema[actual].dataType, (T.DoubleType, T.FloatType)):
+        sstot_n = F.col("_var") * nd * (nd - 1)
+    else:
+        sstot_n = (F.col("n") * F.col("_syy") - F.col("_sy") * F.col("_sy")).cast("double")  # n * SStot
     r2 = F.lit(1.0) - F.try_divide(F.col("_sse").cast("double") * nd, sstot_n)
     # sample std from the same sums: sqrt((n*syy - sy^2) / (n (n-1)))
     std = F.sqrt(F.try_divide(sstot_n, nd * (nd - 1)))
     return g.select(*by, F.col("n").cast("bigint").alias("n"), r2.alias("r2"),
-                    (F.col("_sae").cast("double") / nd).alias("mae"), "mape", std.alias("std"))
+                    (F.col("_sae").cast("double") / nd).alias("mae"), "mape", std.alias("std"), "n_zero_actual")
 
 
 def actual_vs_predicted(actual: DataFrame, predicted: DataFrame, order: str = "datetime",

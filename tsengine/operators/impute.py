@@ -40,8 +40,8 @@ def impute(long: DataFrame, index: DataFrame, names: Sequence[str], order: str =
     src = src.join(index, order, "left_semi")
     filled = cells.join(src, [order, feature], "left")
     stats = impute_stats(src, feature, value)
-    # one row per feature: bounded by the settings, not by the data
-    out = filled.join(F.broadcast(stats), feature, "left")
+    # one row per feature, and features grow with the variables: Spark picks the join by its size
+    out = filled.join(stats, feature, "left")
     v = F.col(value)
     med, lo, hi = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("median", "min", "max"))
     fixed = (F.when(v.isNull() | F.isnan(v), med)

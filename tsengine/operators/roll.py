@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tsengine.functions.native import DEFAULT_BLOCK_SECONDS
 
@@ -28,6 +29,13 @@ def _block(order: str, block_seconds: int):
     return F.floor(F.unix_micros(F.col(order).cast("timestamp")) / F.lit(span))
 
 
+def nan_to_null(df: DataFrame, column: str):
+    """The column with NaN as NULL (other types unchanged)."""
+    c = F.col(column)
+    kind = df.schema[column].dataType
+    return F.when(~F.isnan(c), c) if isinstance(kind, (T.DoubleType, T.FloatType)) else c
+
+
 def prepare_series(long: DataFrame, null_policy: str = "drop", variable: str = "variable",
                    order: str = "datetime", value: str = "value",
                    block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
@@ -38,10 +46,14 @@ def prepare_series(long: DataFrame, null_policy: str = "drop", variable: str = "
     * ``ffill``: a null takes the last non-null value **of the same
       variable**; nulls before a variable's first value stay null and are
       removed (no value leaks from one series into the next).
+
+    NaN counts as NULL under either policy.  A row whose sort key is NULL
+    raises: it has no place in any window.
     """
     if null_policy not in NULL_POLICIES:
         raise ValueError(f"null_policy must be one of {NULL_POLICIES}")
-    src = long.select(variable, order, value).filter(F.col(order).isNotNull())
+    at = F.coalesce(F.col(order), F.raise_error(F.lit(f"NULL sort key in {order}")).cast(long.schema[order].dataType))
+    src = long.select(variable, at.alias(order), nan_to_null(long, value).alias(value))
     if null_policy == "drop":
         return src.filter(F.col(value).isNotNull())
     rows = src.withColumn("_b", _block(order, block_seconds))
@@ -106,9 +118,3 @@ def roll_lengths(series: DataFrame, variable: str = "variable", order: str = "da
         length = F.least(length, F.lit(max_timeshift + 1))
     out = pos.select(variable, F.col(order).alias("end"), length.cast("bigint").alias("length"))
     return out.filter(F.col("length") > min_timeshift)
-
-
-def roll_frame(variable: str = "variable", order: str = "datetime", max_timeshift: int | None = None):
-    """The window spec of a rolled window, for ad-hoc running aggregates."""
-    lo = Window.unboundedPreceding if max_timeshift is None else -int(max_timeshift)
-    return Window.partitionBy(variable).orderBy(order).rowsBetween(lo, 0)

@@ -5,11 +5,10 @@
    constant feature -> not tested; two distinct values -> two-sample
    Kolmogorov-Smirnov of the target split by the feature; otherwise Kendall
    tau-b with its asymptotic p-value.
-2. ``fdr_select``: the dependent-tests procedure over the tested features,
-   expressed with window functions over the (one row per feature) table:
-   sort by p, ``T_k = level * k / (m * c(k))`` with ``c(k) = sum_{i<=k} 1/i``;
-   features before the first ``p_(k) > T_k`` are relevant.  ``p_adj`` is the
-   Benjamini-Yekutieli adjusted p-value ``min_{j>=k} p_(j) m c(m) / j``.
+2. ``fdr_select``: the Benjamini-Yekutieli step-up procedure over the m tested
+   features, expressed with window functions over the (one row per feature)
+   table: ``p_adj = min_{j>=k} p_(j) m c(m) / j`` with ``c(m) = sum_{i<=m} 1/i``;
+   features with ``p_adj <= level`` are relevant.
 3. ``select_features``: names of relevant features plus ``always_keep``.
 """
 
@@ -56,29 +55,22 @@ def relevance_table(matrix_long: DataFrame, target: DataFrame, order: str = "dat
 
 
 def fdr_select(table: DataFrame, level: float = 0.05) -> DataFrame:
-    """Add ``rank, p_adj, relevant`` (dependent-tests FDR procedure at ``level``).
+    """Add ``rank, p_adj, relevant`` (Benjamini-Yekutieli step-up at ``level``).
 
     Constant features are never relevant and do not count in ``m``.
     """
     tested = table.filter(F.col("p_value").isNotNull())
-    # The relevance table has one row per feature (bounded by the settings), so
-    # ordering it in one partition is cheap.
-    w = Window.orderBy("p_value", "feature")
-    k = F.row_number().over(w)
-    ranked = tested.select("*", k.cast("bigint").alias("rank"), F.count(F.lit(1)).over(Window.partitionBy()).alias("m"))
-    ck = F.sum(F.lit(1.0) / F.col("rank")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = ranked.withColumn("_ck", ck)
-    cm = F.max("_ck").over(Window.partitionBy())
-    ranked = ranked.withColumn("_thresh", F.lit(level) * F.col("rank") / (F.col("m") * F.col("_ck")))
-    ranked = ranked.withColumn("_fail", F.when(F.col("p_value") > F.col("_thresh"), F.col("rank")))
-    first_fail = F.min("_fail").over(Window.partitionBy())
-    raw_adj = F.col("p_value") * F.col("m") * cm / F.col("rank")
-    ranked = ranked.withColumn("_raw", raw_adj)
-    tail = Window.orderBy(F.col("p_value").desc(), F.col("feature").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ranked.select(
-        "feature", "type", "n", "stat", "p_value", "rank",
-        F.least(F.min("_raw").over(tail), F.lit(1.0)).alias("p_adj"),
-        (F.col("rank") < F.coalesce(first_fail, F.col("m") + 1)).alias("relevant"))
+    # The relevance table has one row per feature, so ordering it in one
+    # partition is cheap.
+    rank = F.row_number().over(Window.orderBy("p_value", "feature"))
+    whole = Window.partitionBy()
+    ranked = tested.select("*", rank.cast("bigint").alias("rank"))
+    cm = F.sum(F.lit(1.0) / F.col("rank")).over(whole)
+    ranked = ranked.withColumn("_raw", F.col("p_value") * F.count(F.lit(1)).over(whole) * cm / F.col("rank"))
+    tail = Window.orderBy(F.col("rank").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    p_adj = F.least(F.min("_raw").over(tail), F.lit(1.0))
+    ranked = (ranked.select("feature", "type", "n", "stat", "p_value", "rank", p_adj.alias("p_adj"))
+              .withColumn("relevant", F.col("p_adj") <= F.lit(level)))
     untested = table.filter(F.col("p_value").isNull()).select(
         "feature", "type", "n", "stat", "p_value", F.lit(None).cast("bigint").alias("rank"),
         F.lit(None).cast("double").alias("p_adj"), F.lit(False).alias("relevant"))

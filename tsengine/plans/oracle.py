@@ -123,10 +123,10 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _daily_matrix() -> str:
-    """Imputed daily matrix ``m (datetime, feature, value)`` and targets ``tg``."""
+def _matrix() -> str:
+    """Imputed hourly matrix ``m (datetime, feature, value)`` and targets ``tg``."""
     return ",\n".join([
-        TICKS, _aligned("al", R.DAY), _minimal("fe", "al"), _targets("tg", "fe", "prices", "price"),
+        TICKS, _aligned("al", R.HOUR), _minimal("fe", "al"), _targets("tg", "fe", "prices", "price"),
         """names AS (SELECT DISTINCT feature FROM fe),
 src AS (SELECT datetime, feature, value FROM fe WHERE datetime IN (SELECT datetime FROM tg)),
 cells AS (SELECT tg.datetime, names.feature FROM tg CROSS JOIN names),
@@ -144,7 +144,9 @@ m AS (
 
 
 def _relevance() -> str:
-    """``rel (feature, type, n, stat)``: Kendall tau-b by pairs, KS statistic by ECDFs."""
+    """``rel (feature, type, n, stat, p_value)``: Kendall tau-b by pairs with its
+    normal approximation (erf as a series), KS by ECDFs with its exact
+    distribution (lattice paths that stay inside the observed distance)."""
     return """cy AS (SELECT m.datetime, m.feature, m.value AS x, CAST(tg.y_future AS DOUBLE) AS y
            FROM m JOIN tg USING (datetime)),
 kinds AS (SELECT feature, count(*) AS n, count(DISTINCT x) AS nx FROM cy GROUP BY feature),
@@ -172,11 +174,41 @@ ecdf AS (
 ks AS (
   SELECT e.feature, CAST(max(abs(e.c1 * s.n2 - e.c2 * s.n1)) AS DOUBLE) / CAST(s.n1 * s.n2 AS DOUBLE) AS stat
   FROM ecdf e JOIN sizes s USING (feature) GROUP BY e.feature, s.n1, s.n2),
+tiex AS (SELECT feature, sum(c * (c - 1) // 2) AS t, sum(c * (c - 1) * (c - 2)) AS t0, sum(c * (c - 1) * (2 * c + 5)) AS t1
+         FROM (SELECT feature, x, count(*) AS c FROM cy GROUP BY feature, x) GROUP BY feature),
+tiey AS (SELECT feature, sum(c * (c - 1) // 2) AS t, sum(c * (c - 1) * (c - 2)) AS t0, sum(c * (c - 1) * (2 * c + 5)) AS t1
+         FROM (SELECT feature, y, count(*) AS c FROM cy GROUP BY feature, y) GROUP BY feature),
+za AS (
+  SELECT k.feature, abs(CAST(p.s AS DOUBLE)) / sqrt(
+           (CAST(k.n * (k.n - 1) * (2 * k.n + 5) - a.t1 - b.t1 AS DOUBLE)) / 18
+           + 2 * CAST(a.t AS DOUBLE) * b.t / (k.n * (k.n - 1))
+           + CASE WHEN k.n > 2 THEN CAST(a.t0 AS DOUBLE) * b.t0 / (9 * CAST(k.n AS DOUBLE) * (k.n - 1) * (k.n - 2)) ELSE 0 END)
+           / sqrt(2.0) AS z
+  FROM kinds k JOIN pairs p USING (feature) JOIN tiex a USING (feature) JOIN tiey b USING (feature) WHERE k.nx > 2),
+erf(feature, k, z, term, total) AS (
+  SELECT feature, 0, z, z, z FROM za
+  UNION ALL SELECT feature, k + 1, z, term * 2 * z * z / (2 * k + 3), total + term * 2 * z * z / (2 * k + 3)
+  FROM erf WHERE k < 250),
+kp AS (SELECT feature, greatest(0.0, 1 - 2 / sqrt(pi()) * exp(-z * z) * total) AS p FROM erf WHERE k = 250),
+far AS (SELECT e.feature, s.n1, s.n2, max(abs(e.c1 * s.n2 - e.c2 * s.n1)) AS d
+        FROM ecdf e JOIN sizes s USING (feature) GROUP BY e.feature, s.n1, s.n2),
+walk(feature, step, i, paths, n1, n2, d) AS (
+  SELECT feature, 0, 0, CAST(1 AS DOUBLE), n1, n2, d FROM far
+  UNION ALL SELECT feature, step, i, sum(paths) / 2, n1, n2, d FROM (
+    SELECT w.feature, w.step + 1 AS step, w.i + m.up AS i, w.paths, w.n1, w.n2, w.d
+    FROM walk w, (VALUES (0), (1)) m(up)) q
+  WHERE i <= n1 AND step - i <= n2 AND abs(i * n2 - (step - i) * n1) < d
+  GROUP BY feature, step, i, n1, n2, d),
+bp AS (SELECT f.feature, 1 - coalesce(max(w.paths), 0) / (   -- paths are halved at every step
+         SELECT exp(sum(ln(CAST(f.n1 + j AS DOUBLE) / j)) - (f.n1 + f.n2) * ln(2.0)) FROM range(1, CAST(f.n2 AS BIGINT) + 1) r(j)) AS p
+       FROM far f LEFT JOIN walk w ON w.feature = f.feature AND w.step = f.n1 + f.n2 GROUP BY f.feature, f.n1, f.n2),
 rel AS (
   SELECT k.feature,
          CASE WHEN k.nx <= 1 THEN 'constant' WHEN k.nx = 2 THEN 'binary' ELSE 'real' END AS type,
-         k.n, CASE WHEN k.nx = 2 THEN ks.stat WHEN k.nx > 2 THEN greatest(-1.0, least(1.0, tau.stat)) END AS stat
-  FROM kinds k LEFT JOIN tau USING (feature) LEFT JOIN ks USING (feature))"""
+         k.n, CASE WHEN k.nx = 2 THEN ks.stat WHEN k.nx > 2 THEN greatest(-1.0, least(1.0, tau.stat)) END AS stat,
+         CASE WHEN k.nx = 2 THEN bp.p WHEN k.nx > 2 THEN kp.p END AS p_value
+  FROM kinds k LEFT JOIN tau USING (feature) LEFT JOIN ks USING (feature)
+       LEFT JOIN kp USING (feature) LEFT JOIN bp USING (feature))"""
 
 
 def _hourly_features() -> str:
@@ -245,21 +277,27 @@ UNION ALL SELECT variable, datetime, variable, CAST(value AS DOUBLE) FROM w"""
             f"SELECT datetime, target, round(lr, {_R}) AS lr, round(vol, {_R}) AS vol, " \
             f"round(y_future, {_R}) AS y_future FROM tg"
 
-    q["q18_impute"] = _with(_daily_matrix()) + "SELECT datetime, feature, value FROM m"
-    q["q20_relevance"] = _with(_daily_matrix(), _relevance()) + "SELECT feature, type, n, stat FROM rel"
-    q["q22_fdr"] = _with(_daily_matrix(), _relevance()) + f""", sc AS (
-  SELECT feature, type, CASE WHEN type = 'constant' THEN NULL ELSE round(1.0 - abs(stat), {_R}) END AS p_value FROM rel),
-t AS (SELECT * FROM sc WHERE p_value IS NOT NULL),
-rk AS (SELECT feature, p_value, row_number() OVER (ORDER BY p_value, feature) AS rank, count(*) OVER () AS m FROM t),
-ck AS (SELECT *, sum(1.0 / rank) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM rk),
-th AS (SELECT *, max(c) OVER () AS cm, 0.10 * rank / (m * c) AS thresh FROM ck),
-ff AS (SELECT *, min(CASE WHEN p_value > thresh THEN rank END) OVER () AS first_fail,
-              p_value * m * cm / rank AS raw FROM th)
-SELECT feature, rank,
-       round(least(min(raw) OVER (ORDER BY p_value DESC, feature DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 1.0), {_R}) AS p_adj,
-       rank < coalesce(first_fail, m + 1) AS relevant
-FROM ff
-UNION ALL SELECT feature, NULL, NULL, false FROM sc WHERE p_value IS NULL"""
+    q["q18_impute"] = _with(_matrix()) + "SELECT datetime, feature, value FROM m"
+    rel = _with(_matrix(), _relevance()).replace("WITH ", "WITH RECURSIVE ", 1)
+    q["q20_relevance"] = rel + f"SELECT feature, type, n, stat, round(p_value, {R.P_ROUND}) AS p_value FROM rel"
+    by = f""", rk AS (SELECT *, row_number() OVER (ORDER BY p_value, feature) AS rank, count(*) OVER () AS m
+        FROM rel WHERE p_value IS NOT NULL),
+cm AS (SELECT sum(1.0::DOUBLE / rank) AS c FROM rk),
+adj AS (SELECT a.feature, least(1.0, min(b.p_value * b.m * cm.c / b.rank)) AS p_adj
+        FROM rk a JOIN rk b ON b.rank >= a.rank, cm GROUP BY a.feature),
+fdr AS (SELECT rel.*, rk.rank, adj.p_adj, coalesce(adj.p_adj <= {R.FDR_LEVEL}, false) AS relevant
+        FROM rel LEFT JOIN rk USING (feature) LEFT JOIN adj USING (feature))
+"""
+    q["q22_fdr"] = rel + by + f"SELECT feature, rank, round(p_adj, {R.P_ROUND}) AS p_adj, relevant FROM fdr"
+    q["q23_select"] = rel + by + f"""SELECT feature, type, n, round(stat, {R.P_ROUND}) AS stat,
+       round(p_value, {R.P_ROUND}) AS p_value, rank, round(p_adj, {R.P_ROUND}) AS p_adj, relevant,
+       relevant OR feature = 'prices' AS kept FROM fdr"""
+
+    q["q44_nan_as_null"] = _with(TICKS, _aligned("al", R.HOUR)) + """, f AS (
+  SELECT variable, datetime, last_value(CASE WHEN hour(datetime) % 5 <> 0 THEN CAST(value AS DOUBLE) END IGNORE NULLS)
+           OVER (PARTITION BY variable ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
+  FROM al)
+SELECT variable, datetime, value FROM f WHERE value IS NOT NULL"""
 
     idx = _with(_hourly_features(), _targets("tg", "fe", R.TARGET, "price"))
     q["q24_time_split"] = idx + """, p AS (SELECT datetime, row_number() OVER (ORDER BY datetime) - 1 AS pos, count(*) OVER () AS n FROM tg)

@@ -11,6 +11,7 @@ names match the oracle SQL in ``tsengine.plans.oracle``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +27,9 @@ from tsengine.operators.select import fdr_select, relevance_table, select_featur
 from tsengine.operators.split import time_folds, time_split
 from tsengine.operators.target import add_target
 from tsengine.plans.extract import extract_features
-from tsengine.session import materialize
+from tsengine.session import checkpoint_dir, materialize
 from tsengine.sources.catalog import lookup_ids, top_coin_ids, top_n
-from tsengine.sources.market import display_zone, parse_payload, payload_to_ticks, ticks_to_payload, time_range
+from tsengine.sources.market import display_zone, payload_to_ticks, read_market_chart, ticks_to_payload, time_range
 from tsengine.sources.tables import (
     customer_markets, events_markets, events_ticks, table,
 )
@@ -44,6 +45,8 @@ RANGE_DAYS = 7
 TARGET = "prices view"      # a suffixed (non-base) variable
 TAIL_ROWS = 30
 SPLITS = 5
+FDR_LEVEL = 0.10
+P_ROUND = 9                 # decimals kept for p-values
 ROUND = 12                  # decimals kept for outputs of transcendental functions
 
 
@@ -86,9 +89,11 @@ def _q01_time_range_scan(spark, sf):
 
 
 def q02_market_chart_json(spark, sf):
+    # land one document per coin and day in the shared folder, then read the files
     docs = ticks_to_payload(events_ticks(spark, sf))
-    parsed = parse_payload(docs, "payload")
-    return payload_to_ticks(parsed.drop("day"))
+    landed = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    (docs.select("coin", "payload").write.option("maxRecordsPerFile", 1).partitionBy("coin").text(landed))
+    return payload_to_ticks(read_market_chart(spark, landed))
 
 
 def q03_top_n(spark, sf):
@@ -172,8 +177,8 @@ def q17_target_volatility(spark, sf):
     return _target(spark, sf, "volatility")
 
 
-def _daily_matrix(spark, sf):
-    feats = minimal_features(spark, sf, DAY, keep=True)
+def _matrix(spark, sf, step=HOUR):
+    feats = minimal_features(spark, sf, step, keep=True)
     targets = materialize(add_target(feats, "prices", "price", periods=1))
     index = targets.select("datetime")
     names = sorted(r[0] for r in feats.select("feature").distinct().collect())
@@ -181,31 +186,37 @@ def _daily_matrix(spark, sf):
 
 
 def q18_impute(spark, sf):
-    return _daily_matrix(spark, sf)[0]
+    return _matrix(spark, sf)[0]
 
 
 # --- selection ---------------------------------------------------------------
 
+def _round_columns(df, *columns):
+    return df.withColumns({c: F.round(c, P_ROUND) for c in columns})
+
+
 def q20_relevance(spark, sf):
-    m, targets = _daily_matrix(spark, sf)
-    return relevance_table(m, targets).select("feature", "type", "n", "stat")
+    m, targets = _matrix(spark, sf)
+    return _round_columns(relevance_table(m, targets), "p_value")
 
 
 def q22_fdr(spark, sf):
-    m, targets = _daily_matrix(spark, sf)
-    rel = relevance_table(m, targets)
-    # a score in [0, 1] computable by both engines stands in for the p-value
-    scores = rel.select("feature", "type", "n", "stat",
-                        F.when(F.col("type") == "constant", None)
-                        .otherwise(F.round(F.lit(1.0) - F.abs("stat"), ROUND)).alias("p_value"))
-    out = fdr_select(scores, 0.10)
-    return out.select("feature", "rank", F.round("p_adj", ROUND).alias("p_adj"), "relevant")
+    m, targets = _matrix(spark, sf)
+    out = fdr_select(relevance_table(m, targets), FDR_LEVEL)
+    return _round_columns(out, "p_adj").select("feature", "rank", "p_adj", "relevant")
 
 
 def q23_select(spark, sf):
-    m, targets = _daily_matrix(spark, sf)
-    names, table_ = select_features(m, targets, 0.10, always_keep=["prices"])
-    return table_
+    m, targets = _matrix(spark, sf)
+    names, table_ = select_features(m, targets, FDR_LEVEL, always_keep=["prices"])
+    kept = table_.withColumn("kept", F.col("feature").isin(names))
+    return _round_columns(kept, "stat", "p_value", "p_adj")
+
+
+def q44_nan_as_null(spark, sf):
+    """Forward fill of a DOUBLE series where every fifth hour of the day is NaN."""
+    x = F.when(F.hour("datetime") % 5 == 0, float("nan")).otherwise(F.col("value").cast("double"))
+    return prepare_series(aligned(spark, sf).withColumn("value", x), "ffill")
 
 
 # --- splits, evaluation -------------------------------------------------------
@@ -244,7 +255,7 @@ def q28_tail(spark, sf):
 # --- models (rows-only checks) -------------------------------------------------
 
 def _model_data(spark, sf):
-    m, targets = _daily_matrix(spark, sf)
+    m, targets = _matrix(spark, sf, DAY)
     names = sorted(r[0] for r in m.select("feature").distinct().collect())
     wide = pivot_features(m.withColumnRenamed("feature", "variable"), names)
     wide = wide.join(targets.select("datetime", "y_future"), "datetime")

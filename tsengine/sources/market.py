@@ -57,11 +57,21 @@ def read_market_chart(spark: SparkSession, path: str,
 
 
 def parse_payload(df: DataFrame, json_col: str, metrics: Sequence[str] = DEFAULT_METRICS) -> DataFrame:
-    """Typed parse of a payload text column (``from_json`` with a declared schema)."""
-    doc = F.from_json(F.col(json_col), payload_schema(metrics))
+    """Typed parse of a payload text column (``from_json`` with a declared schema).
+
+    A document that is NULL, malformed, or lacks a metric array (an error
+    object, say) raises with its first characters: it must not vanish.
+    """
+    text = F.col(json_col)
+    doc = F.from_json(text, payload_schema(metrics))
     keep = [c for c in df.columns if c != json_col]
-    return df.select(*keep, doc.alias("_doc")).select(
-        *keep, *[F.col("_doc")[m].alias(m) for m in metrics])
+    bad = F.concat(F.lit("not a market-chart document: "), F.coalesce(F.substring(text, 1, 80), F.lit("NULL")))
+
+    def present(m):
+        # inside each array's expression, so that pruning columns cannot remove the check
+        return F.coalesce(F.col("_doc")[m], F.raise_error(bad).cast(_PAIRS)).alias(m)
+
+    return df.select(*keep, text, doc.alias("_doc")).select(*keep, *[present(m) for m in metrics])
 
 
 def payload_to_ticks(payload: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS,
