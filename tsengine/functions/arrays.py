@@ -208,73 +208,67 @@ def _adf(x):
 # ---------------------------------------------------------------------------
 
 
-def _relmax_rows(m):
-    left = np.concatenate([m[:, :1], m[:, :-1]], axis=1)
-    right = np.concatenate([m[:, 1:], m[:, -1:]], axis=1)
-    return (m > left) & (m > right)
-
-
 def _cwt_peaks(x, n):
-    widths = np.arange(1, n + 1, dtype=float)
+    """Ridges of the wavelet transform over widths 1..n that count as peaks.
+
+    A ridge starts at a local maximum (over time) of a coarse scale and is
+    followed to finer ones: each scale's maxima extend the nearest ridge within
+    a quarter of the width, or start one; a ridge idle for more than one scale
+    ends.  It counts if it spans a quarter of the scales and its finest point is
+    at least the local noise (10th percentile of the finest scale around it).
+    """
     if len(x) == 0:
         return 0
-    matr = _cwt(np.asarray(x, dtype=float), widths)
-    max_dist = widths / 4.0
-    gap_thresh = math.ceil(widths[0])
-    relmax = _relmax_rows(matr)
-    has = np.nonzero(relmax.any(axis=1))[0]
-    if len(has) == 0:
-        return 0
-    start = has[-1]
-    lines = [[[start], [c], 0] for c in np.nonzero(relmax[start])[0]]
-    final = []
-    for row in range(start - 1, -1, -1):
-        this_cols = np.nonzero(relmax[row])[0]
-        for ln in lines:
-            ln[2] += 1
-        prev_cols = np.array([ln[1][-1] for ln in lines])
-        for col in this_cols:
-            target = None
-            if len(prev_cols) > 0:
-                diffs = np.abs(col - prev_cols)
-                closest = int(np.argmin(diffs))
-                if diffs[closest] <= max_dist[row]:
-                    target = lines[closest]
-            if target is not None:
-                target[1].append(col)
-                target[0].append(row)
-                target[2] = 0
-            else:
-                lines.append([[row], [col], 0])
-        for i in range(len(lines) - 1, -1, -1):
-            if lines[i][2] > gap_thresh:
-                final.append(lines[i])
-                del lines[i]
-    ridges = []
-    for ln in final + lines:
-        order = np.argsort(ln[0])
-        ridges.append((np.asarray(ln[0])[order], np.asarray(ln[1])[order]))
-    npts = matr.shape[1]
-    min_length = math.ceil(matr.shape[0] / 4)
-    window = int(math.ceil(npts / 20))
-    hf, odd = divmod(window, 2)
-    row_one = matr[0]
-    noises = np.empty_like(row_one)
-    for i in range(npts):
-        lo, hi = max(i - hf, 0), min(i + hf + odd, npts)
-        noises[i] = np.percentile(row_one[lo:hi], 10)
+    scales = _cwt(np.asarray(x, dtype=float), np.arange(1, n + 1, dtype=float))
+    tip, idle, length, finest = (np.empty(0, np.int64) for _ in range(4))
+    done: list[np.ndarray] = []
+    for level in range(n - 1, -1, -1):
+        y = scales[level]
+        top = np.ones(len(y), bool)
+        top[1:] &= y[1:] > y[:-1]
+        top[:-1] &= y[:-1] > y[1:]
+        top[[0, -1]] = False                                   # a border has one neighbour only
+        at = np.flatnonzero(top)
+        idle = idle + 1
+        if len(tip) and len(at):
+            gap = np.abs(at[:, None] - tip)
+            own = gap.argmin(axis=1)
+            joined = gap[np.arange(len(at)), own] <= (level + 1) / 4
+            length += np.bincount(own[joined], minlength=len(tip))
+            tip[own[joined]], finest[own[joined]], idle[own[joined]] = at[joined], level, 0
+            at = at[~joined]
+        tip, idle = np.append(tip, at), np.append(idle, np.zeros(len(at), np.int64))
+        length, finest = np.append(length, np.ones(len(at), np.int64)), np.append(finest, np.full(len(at), level))
+        ended = idle > 1
+        done.append(np.stack([length, finest, tip])[:, ended])
+        tip, idle, length, finest = (v[~ended] for v in (tip, idle, length, finest))
+    done.append(np.stack([length, finest, tip]))
+    length, finest, tip = np.concatenate(done, axis=1)
+    long = length >= math.ceil(n / 4)
+    width = math.ceil(scales.shape[1] / 20)
     count = 0
-    for rows, cols in ridges:
-        if len(rows) < min_length:
-            continue
+    for level, at in zip(finest[long], tip[long]):
+        around = scales[0, max(at - width // 2, 0):at + width // 2 + width % 2]
         with np.errstate(divide="ignore", invalid="ignore"):
-            snr = abs(matr[rows[0], cols[0]] / noises[cols[0]])
-        if snr < 1:
-            continue
-        count += 1
+            count += not abs(scales[level, at] / np.percentile(around, 10)) < 1
     return count
 
 
+def _template_matches(x, m, tolerance):
+    """For each run of m values, how many other runs stay within the tolerance
+    at every place; by the distance between the two runs, in O(n) memory."""
+    n = len(x) - m + 1
+    out = np.zeros(max(n, 0), np.int64)
+    for shift in range(1, n):
+        close = np.abs(x[shift:] - x[:-shift]) <= tolerance
+        both = close[:n - shift].copy()
+        for k in range(1, m):
+            both &= close[k:k + n - shift]
+        out[:n - shift] += both
+        out[shift:] += both
+    return out
+
+
 # ---------------------------------------------------------------------------
 # calculators: fn(x, params) -> float
 # ---------------------------------------------------------------------------
@@ -351,15 +345,12 @@ def f_ratio_value_number_to_time_series_length(x, p):
 
 
 def f_sample_entropy(x, p):
-    tol = 0.2 * np.std(x)
-    xm = _into_subchunks(x, 2)
-    if len(xm) == 0:
+    """-ln of the share of pairs of runs of 2 that also match as runs of 3."""
+    tolerance = 0.2 * np.std(x)
+    pairs, longer = (int(_template_matches(x, m, tolerance).sum()) for m in (2, 3))
+    if not pairs:
         return math.nan
-    B = np.sum([np.sum(np.abs(r - xm).max(axis=1) <= tol) - 1 for r in xm])
-    xm1 = _into_subchunks(x, 3)
-    A = np.sum([np.sum(np.abs(r - xm1).max(axis=1) <= tol) - 1 for r in xm1]) if len(xm1) else 0
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return float(-np.log(A / B)) if B > 0 else math.nan
+    return -math.log(longer / pairs) if longer else math.inf
 
 
 def f_benford_correlation(x, p):
@@ -538,36 +529,37 @@ def f_fft_aggregated(x, p):
 
 
 def f_approximate_entropy(x, p):
-    m = p["m"]
-    N = x.size
-    r = p["r"] * np.std(x)
-    if N <= m + 1:
+    """Difference of the mean log shares of matching runs of m and m + 1 values."""
+    if x.size <= p["m"] + 1:
         return 0.0
-
-    def phi(mm):
-        xr = np.array([x[i:i + mm] for i in range(N - mm + 1)])
-        C = np.sum(np.max(np.abs(xr[:, None] - xr[None, :]), axis=2) <= r, axis=0) / (N - mm + 1)
-        return np.sum(np.log(C)) / (N - mm + 1.0)
-
-    return float(abs(phi(m) - phi(m + 1)))
+    mean_log = []
+    for m in (p["m"], p["m"] + 1):
+        share = (_template_matches(x, m, p["r"] * np.std(x)) + 1) / (x.size - m + 1)     # a run matches itself
+        mean_log.append(float(np.log(share).mean()))
+    return abs(mean_log[0] - mean_log[1])
 
 
 def _friedrich(x, m, r):
+    """Polynomial of degree m through the mean steps of r equally filled value classes."""
+    none = [math.nan] * (m + 1)
     if len(x) < 2:
-        return [math.nan] * (m + 1)
-    df = pd.DataFrame({"signal": x[:-1], "delta": np.diff(x)})
-    try:
-        df["q"] = pd.qcut(df.signal, r)
-    except (ValueError, IndexError):
-        return [math.nan] * (m + 1)
-    g = df.groupby("q", observed=True)
-    res = pd.DataFrame({"xm": g.signal.mean(), "ym": g.delta.mean()}).dropna()
-    try:
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore")  # ill-conditioned fits still return coefficients
-            return list(np.polyfit(res.xm, res.ym, deg=m))
-    except (np.linalg.LinAlgError, ValueError, TypeError):
-        return [math.nan] * (m + 1)
+        return none
+    here, step = np.asarray(x[:-1], float), np.diff(x)
+    edges = np.percentile(here, 100 * np.linspace(0, 1, r + 1))
+    if np.any(np.diff(edges) <= 0):
+        return none
+    cls = np.maximum(np.searchsorted(edges, here, "left") - 1, 0)
+    size = np.bincount(cls, minlength=r)
+    some = size > 0
+    if some.sum() < 1:
+        return none
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # ill-conditioned fits still return coefficients
+        try:
+            return list(np.polyfit(np.bincount(cls, here, r)[some] / size[some],
+                                   np.bincount(cls, step, r)[some] / size[some], m))
+        except np.linalg.LinAlgError:
+            return none
 
 
 def f_friedrich_coefficients(x, p):
@@ -612,20 +604,18 @@ def f_ratio_beyond_r_sigma(x, p):
 
 
 def f_lempel_ziv_complexity(x, p):
+    """Phrases of the incremental parsing of the binned values, per value: a
+    phrase is the shortest run not seen as a phrase yet (kept in a tree)."""
     edges = np.linspace(np.min(x), np.max(x), p["bins"] + 1)[1:]
-    seq = np.searchsorted(edges, x, side="left")
-    seen = set()
-    n = len(seq)
-    ind, inc = 0, 1
-    while ind + inc <= n:
-        sub = tuple(seq[ind:ind + inc])
-        if sub in seen:
-            inc += 1
+    tree: dict = {}
+    node, phrases = tree, 0
+    for symbol in np.searchsorted(edges, x, side="left").tolist():
+        if symbol in node:
+            node = node[symbol]
         else:
-            seen.add(sub)
-            ind += inc
-            inc = 1
-    return float(len(seen) / n)
+            node[symbol] = {}
+            node, phrases = tree, phrases + 1
+    return phrases / len(x)
 
 
 def f_fourier_entropy(x, p):
