@@ -14,16 +14,22 @@ into blocks of ``block_seconds``:
 3. per-row terms get in-block running sums; block totals are summed into an
    exclusive prefix over the small block table and added back.
 
-Only one shuffle of the rows happens (step 1); every join afterwards is with
-a block table that is smaller than the data by the block length.
+The rows are shuffled by ``(variable, block)`` (step 1); every join afterwards
+is with a block table that is smaller than the data by the block length.
 
 Fixed-point (DECIMAL) input is summed on unscaled integers in
 ``DECIMAL(38,0)``, so sums are exact and independent of summation order;
-double input is summed in double.
+double input is summed in double.  Terms of degree 3 and 4 are also summed in
+double: a window whose exact sum leaves 38 digits takes that sum.  A sum of
+squares beyond 38 digits raises.
+
+Bounded windows (``bounded_native``) take the same terms and formulas over
+frames of ``max_timeshift`` preceding rows on halo blocks.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 import numpy as np
@@ -96,6 +102,13 @@ class _Terms:
             out = (out * c).cast(self.num_type) if self.exact else out * c
         return out
 
+    def try_mul(self, *cs: Column) -> Column:
+        """A product that is NULL where it leaves the summation domain."""
+        out = cs[0]
+        for c in cs[1:]:
+            out = F.try_multiply(out, c)
+        return out
+
     def to_double(self, c: Column, degree: int) -> Column:
         """A sum of degree-``degree`` terms back in value units, as double."""
         if self.exact and self.scale and degree:
@@ -173,18 +186,23 @@ def native_features(series: DataFrame, specs: Sequence[tuple], variable: str = "
     extremes = [F.min("xmin").over(run).alias("xmin__r"), F.max("xmax").over(run).alias("xmax__r")]
     if plan.need_locations:
         extremes += [F.min("xmin").over(run_excl).alias("xmin__e"), F.max("xmax").over(run_excl).alias("xmax__e")]
-    rows = rows.select("*", *[F.sum(n).over(run).alias(f"{n}__r") for n in sums], *extremes)
+    rows = rows.select("*", *[plan.sum(n).over(run).alias(f"{n}__r") for n in sums], *extremes)
 
     tot = rows.groupBy("_v", "_b").agg(
-        *[F.sum(n).alias(n) for n in sums], F.min("xmin").alias("xmin"), F.max("xmax").alias("xmax"))
+        *[plan.sum(n).alias(n) for n in sums], F.min("xmin").alias("xmin"), F.max("xmax").alias("xmax"))
+    for n in plan.high:      # a block total beyond 38 digits is NULL; the sums after it count it as lost
+        tot = tot.withColumn(_LOST, F.col(_LOST) + F.col(n).isNull().cast("bigint"))
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    first = F.count(F.lit(1)).over(before) == 0
+    zero = F.lit(0).cast(terms.num_type)
     tot = tot.select("_v", "_b",
-                     *[F.sum(n).over(before).alias(f"{n}__p") for n in sums],
+                     *[F.when(first, zero).otherwise(plan.sum(n).over(before)).alias(f"{n}__p") for n in sums],
                      F.min("xmin").over(before).alias("xmin__p"), F.max("xmax").over(before).alias("xmax__p"))
     rows = rows.join(tot, ["_v", "_b"])
 
-    zero = F.lit(0).cast(terms.num_type)
-    acc = {n: F.col(f"{n}__r") + F.coalesce(F.col(f"{n}__p"), zero) for n in sums}
+    acc = {n: F.col(f"{n}__r") + F.col(f"{n}__p") for n in sums if n not in plan.high}
+    for n in plan.high:
+        acc[n] = F.when(acc[_LOST] == 0, F.try_add(f"{n}__r", f"{n}__p"))
     acc["xmin"] = F.least(F.col("xmin__r"), F.col("xmin__p"))
     acc["xmax"] = F.greatest(F.col("xmax__r"), F.col("xmax__p"))
     keep = ["_v", "_b", "_t", "_x", "_series_head", "_pos", *[f"_lag{k}" for k in range(1, K + 1)]]
@@ -195,6 +213,12 @@ def native_features(series: DataFrame, specs: Sequence[tuple], variable: str = "
     if plan.need_locations:
         rows = _extreme_locations(rows, wb)
         accc.update({c: F.col(c) for c in _LOC_COLS})
+    return _feature_rows(rows, plan, accc, variable, order)
+
+
+def _feature_rows(rows: DataFrame, plan: "_Plan", accc: dict[str, Column], variable: str, order: str) -> DataFrame:
+    """Long features from rows that hold the windows' sums."""
+    terms = plan.t
     # shared quantities first (a2 and var alone; then std / mean from them), so
     # feature formulas reference columns instead of repeating large expressions
     base = plan.basics(accc)
@@ -218,6 +242,55 @@ def native_features(series: DataFrame, specs: Sequence[tuple], variable: str = "
                        F.col("value"))
 
 
+def bounded_native(rows: DataFrame, specs: Sequence[tuple], value_type: T.DataType, max_timeshift: int,
+                   min_timeshift: int, block_rows: int, variable: str, order: str) -> DataFrame:
+    """Long features over windows of the last ``max_timeshift + 1`` rows.
+
+    ``rows`` holds ``_v, _t, _x, _pos`` (0-based position in the variable).
+    Each block of ``block_rows`` positions also gets the ``max_timeshift`` rows
+    before it, so a task sorts and frames at most that many rows of a series.
+    A term that reaches ``k`` rows back is summed over the frame without its
+    first ``k`` rows.
+    """
+    m, B = max_timeshift, block_rows
+    terms = _Terms(value_type)
+    K = max(lags_needed(specs), 2)
+    fan = rows.select("*", F.explode(F.sequence(F.floor(F.col("_pos") / B), F.floor((F.col("_pos") + m) / B))).alias("_b"))
+    w = Window.partitionBy("_v", "_b").orderBy("_pos")
+    frame = w.rowsBetween(-m, 0)
+    fan = fan.select("*", F.first("_x").over(w).alias("_centre"),
+                     *[F.lag("_x", k).over(w).alias(f"_lag{k}") for k in range(1, K + 1)],
+                     F.array(*[F.nth_value("_x", k).over(frame) for k in range(1, K + 1)]).alias("_series_head"))
+    plan = _Plan(specs, terms, K, centre="_centre")
+    row_terms = plan.row_terms()
+    fan = fan.select("*", *[c.alias(n) for n, c in row_terms.items()])
+    sums = []
+    for n in row_terms:
+        if n in ("xmin", "xmax"):
+            continue
+        back = plan.reach(n)
+        total = plan.sum(n).over(w.rowsBetween(back - m, 0)) if back <= m else F.lit(0).cast(terms.num_type)
+        sums.append(total.alias(f"_acc_{n}"))
+    sums += [F.min("xmin").over(frame).alias("_acc_xmin"), F.max("xmax").over(frame).alias("_acc_xmax")]
+    lo = F.greatest(F.col("_pos") - m, F.lit(0))
+    if plan.need_locations:
+        x = F.col("_x").cast("double")
+        for name, pick, key in (("_first_max", F.max_by, -F.col("_pos")), ("_last_max", F.max_by, F.col("_pos")),
+                                ("_first_min", F.min_by, F.col("_pos")), ("_last_min", F.min_by, -F.col("_pos"))):
+            sums.append((pick("_pos", F.struct(x, key)).over(frame) - lo).alias(name))
+    fan = fan.select("*", *sums).filter((F.floor(F.col("_pos") / B) == F.col("_b")) & (F.col("_pos") >= min_timeshift))
+    acc = {n: F.col(f"_acc_{n}") for n in row_terms}
+    for n in plan.high:
+        acc[n] = F.when(acc[_LOST] == 0, acc[n])
+    if "sxi" in acc:     # positions count from the start of the window
+        start = lo.cast(terms.num_type)
+        acc["sxi"] = (acc["sxi"] - acc["s1"] * start).cast(terms.num_type)
+    if plan.need_locations:
+        acc.update({c: F.col(c) for c in _LOC_COLS})
+    return _feature_rows(fan, plan, acc, variable, order)
+
+
+_LOST = "lost"       # counts rows (and block totals) without an exact term of degree 3 or 4
 _LOC_COLS = ("_first_max", "_last_max", "_first_min", "_last_min")
 
 
@@ -259,8 +332,9 @@ class _Plan:
     lose little to cancellation.
     """
 
-    def __init__(self, specs, terms: _Terms, K: int):
-        self.specs, self.t, self.K = specs, terms, K
+    def __init__(self, specs, terms: _Terms, K: int, centre: str | None = None):
+        self.specs, self.t, self.K, self.centre = specs, terms, K, centre
+        self.high: list[str] = []       # exact terms of degree 3 and 4; "<name>__d" holds their double twin
         calcs = {s[0] for s in specs}
         self.calcs = calcs
         self.need_locations = bool(calcs & {"first_location_of_maximum", "last_location_of_maximum",
@@ -268,7 +342,21 @@ class _Plan:
                                             "has_duplicate_max", "has_duplicate_min"})
 
     def _c(self) -> Column:
-        return self.t.unit(F.element_at(F.col("_series_head"), 1))
+        return self.t.unit(F.col(self.centre) if self.centre else F.element_at(F.col("_series_head"), 1))
+
+    def sum(self, name: str) -> Column:
+        return F.try_sum(F.col(name)) if name in self.high else F.sum(name)
+
+    def reach(self, name: str) -> int:
+        """How many rows before its own a term reads."""
+        kind, _, lag = name.removesuffix("__d").partition("_")
+        if kind in ("c3", "tra"):
+            return 2 * int(lag)
+        return int(lag) if kind == "ac" else int(kind in ("sad", "sdd", "nc"))
+
+    def _double(self, acc: dict[str, Column], name: str) -> Column:
+        """A sum in the summation domain as double (the twin's where the exact one is lost)."""
+        return F.coalesce(_dbl(acc[name]), acc[f"{name}__d"]) if name in self.high else _dbl(acc[name])
 
     # -- per-row terms -----------------------------------------------------
     def row_terms(self) -> dict[str, Column]:
@@ -285,10 +373,30 @@ class _Plan:
             "xmin": F.col("_x").cast("double"), "xmax": F.col("_x").cast("double"),
         }
         calcs = self.calcs
+        lost = []
+
+        def high(name, build, *needs):
+            """A term of degree 3 or 4; 0 where a value it needs is missing."""
+            if name in out:
+                return
+            there = F.lit(True)
+            for c in needs:
+                there = there & c.isNotNull()
+            if not t.exact:
+                out[name] = F.when(there, build(t.mul, lambda a, b: a - b)).otherwise(0.0)
+                return
+            exact = build(t.try_mul, F.try_subtract)
+            out[name] = F.when(there, F.coalesce(exact, zero)).otherwise(zero)
+            rough = build(lambda *cs: t_double.mul(*[_dbl(c) for c in cs]), lambda a, b: a - b)
+            out[f"{name}__d"] = F.when(there, rough).otherwise(0.0)
+            self.high.append(name)
+            lost.append(there & exact.isNull())
+
+        t_double = _Terms(T.DoubleType())
         if calcs & {"skewness", "kurtosis"}:
-            out["s3"] = t.mul(d, d, d)
+            high("s3", lambda mul, sub: mul(d, d, d))
         if "kurtosis" in calcs:
-            out["s4"] = t.mul(d, d, d, d)
+            high("s4", lambda mul, sub: mul(d, d, d, d))
         if calcs & {"absolute_sum_of_changes", "mean_abs_change"}:
             out["sad"] = F.coalesce(F.abs(u - ul[1]).cast(t.num_type), zero)
         if "cid_ce" in calcs:
@@ -300,11 +408,10 @@ class _Plan:
         for calc, params, _ in self.specs:
             if calc == "c3":
                 k = params["lag"]
-                out.setdefault(f"c3_{k}", F.coalesce(t.mul(u, ul[k], ul[2 * k]), zero))
+                high(f"c3_{k}", lambda mul, sub, k=k: mul(u, ul[k], ul[2 * k]), ul[2 * k])
             elif calc == "time_reversal_asymmetry_statistic":
                 k = params["lag"]
-                v = t.mul(u, u, ul[k]) - t.mul(ul[k], ul[2 * k], ul[2 * k])
-                out.setdefault(f"tra_{k}", F.coalesce(v.cast(t.num_type) if t.exact else v, zero))
+                high(f"tra_{k}", lambda mul, sub, k=k: sub(mul(u, u, ul[k]), mul(ul[k], ul[2 * k], ul[2 * k])), ul[2 * k])
             elif calc == "autocorrelation" and params["lag"] > 0:
                 k = params["lag"]
                 out.setdefault(f"ac_{k}", F.coalesce(t.mul(d, dl[k]), zero))
@@ -321,6 +428,8 @@ class _Plan:
                 m = params["m"]
                 cross = (x > F.lit(m)) != (F.col("_lag1") > F.lit(m))
                 out.setdefault(f"nc_{m}", F.when(cross, one).otherwise(0))
+        if lost:
+            out[_LOST] = F.when(functools.reduce(lambda a, b: a | b, lost), one).otherwise(0)
         return {self.safe(k): v for k, v in out.items()}
 
     @staticmethod
@@ -329,8 +438,8 @@ class _Plan:
 
     # -- exact-if-possible polynomial combinations -------------------------
     def _exact(self, build_exact, build_double) -> Column:
-        """An integer combination of sums: exact DECIMAL(38,0) arithmetic with
-        overflow checks for decimal input (falling back to double), else double."""
+        """An integer combination of sums: exact DECIMAL(38,0) arithmetic for
+        decimal input (the double form where that leaves 38 digits), else double."""
         if self.t.exact:
             return F.coalesce(_dbl(build_exact()), build_double())
         return build_double()
@@ -366,7 +475,7 @@ class _Plan:
         sc = float(10 ** t.scale) if t.exact else 1.0
         s1, s2 = acc["s1"], acc["s2"]
         c = self._c()
-        S = lambda name, deg: t.to_double(acc[self.safe(name)], deg)
+        S = lambda name, deg: t.to_double(self._double(acc, self.safe(name)), deg)
 
         b = basics if basics is not None else self.basics(acc)
         a2, var, std, total, mean, sq = (b[k] for k in ("_a2", "_var", "_std", "_total", "_mean", "_sq"))
@@ -413,7 +522,7 @@ class _Plan:
                 a3 = self._exact(
                     lambda: ta(ts(tm(tm(nD, nD), s3), tm(tm(tm(F.lit(3).cast(D), nD), s1), s2)),
                                tm(tm(tm(F.lit(2).cast(D), s1), s1), s1)),
-                    lambda: n * n * _dbl(s3) - F.lit(3.0) * n * _dbl(s1) * _dbl(s2)
+                    lambda: n * n * self._double(acc, "s3") - F.lit(3.0) * n * _dbl(s1) * _dbl(s2)
                     + F.lit(2.0) * _dbl(s1) * _dbl(s1) * _dbl(s1))
                 v = (F.when(n < 3, F.lit(None).cast("double")).when(a2 == 0, F.lit(0.0))
                      .otherwise(F.sqrt(n) * F.sqrt(n - 1) / (n - 2) * a3 / (a2 * F.sqrt(a2))))
@@ -423,7 +532,7 @@ class _Plan:
                     lambda: ts(ta(ts(tm(tm(tm(nD, nD), nD), s4), tm(tm(tm(tm(F.lit(4).cast(D), nD), nD), s1), s3)),
                                   tm(tm(tm(tm(F.lit(6).cast(D), nD), s1), s1), s2)),
                                tm(tm(tm(tm(F.lit(3).cast(D), s1), s1), s1), s1)),
-                    lambda: n * n * n * _dbl(s4) - F.lit(4.0) * n * n * _dbl(s1) * _dbl(s3)
+                    lambda: n * n * n * self._double(acc, "s4") - F.lit(4.0) * n * n * _dbl(s1) * self._double(acc, "s3")
                     + F.lit(6.0) * n * _dbl(s1) * _dbl(s1) * _dbl(s2) - F.lit(3.0) * _dbl(s1) * _dbl(s1) * _dbl(s1) * _dbl(s1))
                 num = (n + 1) * (n - 1) * a4
                 den = (n - 2) * (n - 3) * a2 * a2

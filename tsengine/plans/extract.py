@@ -19,6 +19,7 @@ Two engines share the work:
 from __future__ import annotations
 
 import bisect
+import functools
 import math
 from collections.abc import Sequence
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsengine.functions.arrays import CALCULATORS, window_values
-from tsengine.functions.native import DEFAULT_BLOCK_SECONDS, NATIVE, native_features
+from tsengine.functions.native import DEFAULT_BLOCK_SECONDS, NATIVE, bounded_native, native_features
 from tsengine.functions.settings import feature_specs
 from tsengine.operators.roll import prepare_series, with_positions
 from tsengine.session import materialize
@@ -145,20 +146,38 @@ def bounded_features(series: DataFrame, specs: Sequence[tuple], max_timeshift: i
     cut into blocks of ``block_rows`` positions, and each block's group also
     receives the ``max_timeshift`` rows before it (a halo).  A group therefore
     holds at most ``block_rows + max_timeshift`` rows, however long or skewed
-    the series is.
+    the series is.  Running-sum calculators are window frames over the blocks;
+    the others are array calculators.
     """
-    specs = list(specs)
     m, B = max_timeshift, int(block_rows)
     if m < 0 or B < 1:
         raise ValueError("max_timeshift must be >= 0 and block_rows >= 1")
-    rows = series.select(F.col(variable).alias("v"), F.col(order).alias("t"), F.col(value).cast("double").alias("x"))
-    rows = with_positions(rows, "t", ["v"], block_seconds, "pos")
+    rows = series.select(F.col(variable).alias("_v"), F.col(order).alias("_t"), F.col(value).alias("_x"))
+    rows = with_positions(rows, "_t", ["_v"], block_seconds, "_pos")
+    parts = []
+    framed = [s for s in specs if s[0] in NATIVE]
+    if framed:
+        parts.append(bounded_native(rows, framed, series.schema[value].dataType, m, min_timeshift, B, variable, order))
+    specs = [s for s in specs if s[0] not in NATIVE]
+    if specs:
+        parts.append(_bounded_arrays(rows, specs, m, min_timeshift, B, variable, order))
+    if include_raw:
+        parts.append(rows.filter(F.col("_pos") >= min_timeshift).select(
+            F.col("_v").alias(variable), F.col("_t").alias(order), F.col("_v").alias("feature"),
+            F.col("_x").cast("double").alias("value")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _bounded_arrays(rows: DataFrame, specs: list[tuple], m: int, min_timeshift: int, B: int, variable: str,
+                    order: str) -> DataFrame:
+    """Array calculators over bounded windows, one group per halo block."""
+    rows = rows.select(F.col("_v").alias("v"), F.col("_t").alias("t"), F.col("_x").cast("double").alias("x"),
+                       F.col("_pos").alias("pos"))
     first_g = F.floor(F.col("pos") / B)
     last_g = F.floor((F.col("pos") + m) / B)
     fan = rows.select("v", "t", "x", "pos", F.explode(F.sequence(first_g, last_g)).alias("g"))
-    names = [sp[2] for sp in specs] + ([None] if include_raw else [])
-    order_type = series.schema[order].dataType.simpleString()
-    schema = f"v string, t {order_type}, feature string, value double"
+    names = [sp[2] for sp in specs]
+    schema = f"v string, t {rows.schema['t'].dataType.simpleString()}, feature string, value double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos", kind="stable")
@@ -169,10 +188,8 @@ def bounded_features(series: DataFrame, specs: Sequence[tuple], max_timeshift: i
         if len(own) == 0:
             return _empty(pdf)
         vals = _sliding_features(x, own, m, specs)
-        if include_raw:
-            vals = [row + [x[e]] for row, e in zip(vals, own)]
         var = pdf["v"].iloc[0]
-        feats = np.array([f"{var}__{n}" if n is not None else var for n in names], dtype=object)
+        feats = np.array([f"{var}__{n}" for n in names], dtype=object)
         return pd.DataFrame({
             "v": np.repeat(var, len(own) * len(names)),
             "t": np.repeat(pdf["t"].to_numpy()[own], len(names)),

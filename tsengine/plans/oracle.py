@@ -339,17 +339,19 @@ FROM tg ORDER BY datetime DESC LIMIT {R.TAIL_ROWS}"""
     q["q35_trend"] = _with(TICKS, _aligned("al", R.HOUR)) + _trend_sql("al")
     q["q39_locations"] = _with(TICKS, _aligned("al", R.HOUR)) + _locations_sql("al")
     q["q42_bounded_windows"] = _with(TICKS, _aligned("al", R.HOUR)) + f""", s AS (
-  SELECT variable, datetime, CAST(value AS DOUBLE) AS x FROM al WHERE value IS NOT NULL),
+  SELECT variable, datetime, CAST(value AS DOUBLE) AS x, CAST(value * 100 AS HUGEINT) AS u FROM al WHERE value IS NOT NULL),
 w AS (
-  SELECT variable, datetime, x, sum(x) OVER w AS sv, avg(x) OVER w AS mv, max(x) OVER w AS mx,
-         min(x) OVER w AS mn, CAST(count(*) OVER w AS DOUBLE) AS n
+  SELECT variable, datetime, x, sum(u) OVER w AS su, sum(u * u) OVER w AS suu, max(x) OVER w AS mx,
+         min(x) OVER w AS mn, count(*) OVER w AS n
   FROM s WINDOW w AS (PARTITION BY variable ORDER BY datetime ROWS BETWEEN {R.WINDOW_ROWS} PRECEDING AND CURRENT ROW))
-SELECT variable, datetime, variable || '__sum_values' AS feature, round(sv, 9) AS value FROM w
-UNION ALL SELECT variable, datetime, variable || '__mean', round(mv, 9) FROM w
-UNION ALL SELECT variable, datetime, variable || '__maximum', round(mx, 9) FROM w
-UNION ALL SELECT variable, datetime, variable || '__minimum', round(mn, 9) FROM w
-UNION ALL SELECT variable, datetime, variable || '__length', round(n, 9) FROM w
-UNION ALL SELECT variable, datetime, variable, round(x, 9) FROM w"""
+SELECT variable, datetime, variable || '__sum_values' AS feature, CAST(su AS DOUBLE) / CAST(100.0 AS DOUBLE) AS value FROM w
+UNION ALL SELECT variable, datetime, variable || '__mean', CAST(su AS DOUBLE) / (CAST(n AS DOUBLE) * CAST(100.0 AS DOUBLE)) FROM w
+UNION ALL SELECT variable, datetime, variable || '__variance', CAST(n * suu - su * su AS DOUBLE)
+  / (CAST(n AS DOUBLE) * CAST(n AS DOUBLE) * CAST(10000.0 AS DOUBLE)) FROM w
+UNION ALL SELECT variable, datetime, variable || '__maximum', mx FROM w
+UNION ALL SELECT variable, datetime, variable || '__minimum', mn FROM w
+UNION ALL SELECT variable, datetime, variable || '__length', CAST(n AS DOUBLE) FROM w
+UNION ALL SELECT variable, datetime, variable, x FROM w"""
     qs = [.1, .2, .3, .4, .6, .7, .8, .9]
     qcols = ",\n         ".join(f"quantile_cont(x, {q}) OVER w AS q{i}" for i, q in enumerate(qs))
     qrows = "\nUNION ALL ".join(

@@ -367,15 +367,13 @@ def q41_efficient_features(spark, sf):
     return extract_features(aligned(spark, sf, DAY), "efficient", null_policy="drop")
 
 
-BOUNDED = {"sum_values": None, "mean": None, "maximum": None, "minimum": None, "length": None}
+BOUNDED = {"sum_values": None, "mean": None, "maximum": None, "minimum": None, "length": None, "variance": None}
 WINDOW_ROWS = 24
 
 
 def q42_bounded_windows(spark, sf):
     """Sliding windows of the last 25 rows (``max_timeshift=24``) on halo blocks."""
-    out = extract_features(aligned(spark, sf), BOUNDED, null_policy="drop", max_timeshift=WINDOW_ROWS,
-                           block_rows=64)
-    return _rounded(out)
+    return extract_features(aligned(spark, sf), BOUNDED, null_policy="drop", max_timeshift=WINDOW_ROWS)
 
 
 QUANTILES = {"median": None, "quantile": [{"q": q} for q in [.1, .2, .3, .4, .6, .7, .8, .9]]}
