@@ -193,3 +193,25 @@ def test_fdr_is_step_up(spark, p, relevant):
         want = min([1.0] + [x * m * cm / (k + 1) for k, x in enumerate(sorted(p)) if x >= r.p_value])
         assert r.p_adj == pytest.approx(want) and r.relevant == (r.p_adj <= 0.05)
     assert sum(r.relevant for r in out) == relevant
+
+
+def test_search_rules(spark):
+    from tsengine.operators.search import effective_params, evaluation, gbt_params, random_search, stop_round
+    assert stop_round([5, 4, 3, 3.5, 3.2, 2], patience=2) == 3
+    assert stop_round([5, 4, 3, 3.5, 3.2, 2], patience=25) == 6
+    assert effective_params({"min_child_weight": 0.5, "max_depth": 3}) == {"min_child_weight": "1", "max_depth": "3"}
+    for bad in ({"learning_rate": 0}, {"learning_rate": 1.5}, {"max_depth": 31}):
+        with pytest.raises(ValueError):
+            gbt_params(bad)
+    pred = spark.createDataFrame([(2.0, 1.0), (0.0, 3.0), (4.0, 4.0)], "actual double, predicted double")
+    assert evaluation(pred, "mae") == pytest.approx(4 / 3)
+    assert evaluation(pred, "rmse") == pytest.approx((10 / 3) ** 0.5)
+    assert evaluation(pred, "mape") == pytest.approx(0.25)
+    with pytest.raises(ValueError):
+        random_search(spark, pred, ["predicted"], eval_metric="auc")
+
+
+def test_enough_features_counts_the_label():
+    from tsengine.operators.select import enough_features
+    assert not enough_features(["a", "b", "c", "d", "y_future"])
+    assert enough_features(["a", "b", "c", "d", "e", "y_future"])

@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 
 def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "predicted",
                        by: Sequence[str] = ()) -> DataFrame:
-    """``n, r2, mae, mape, std`` (per ``by`` group).
+    """``n, r2, mae, mape, std, mae_per_std`` (per ``by`` group).
 
     ``r2 = 1 - SSres / SStot``; ``std`` is the sample standard deviation of
-    ``actual``.  Fixed-point input is summed exactly
+    ``actual``, and ``mae_per_std`` the error in units of it.  Fixed-point input is summed exactly
     (``SStot = sum(y^2) - sum(y)^2 / n``); floating-point input takes Spark's
     ``var_samp``, which does not cancel.  Rows whose actual value is 0 have no
     percentage error and are left out of ``mape``; ``n_zero_actual`` counts them.
@@ -35,8 +35,9 @@ def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "
     r2 = F.lit(1.0) - F.try_divide(F.col("_sse").cast("double") * nd, sstot_n)
     # sample std from the same sums: sqrt((n*syy - sy^2) / (n (n-1)))
     std = F.sqrt(F.try_divide(sstot_n, nd * (nd - 1)))
-    return g.select(*by, F.col("n").cast("bigint").alias("n"), r2.alias("r2"),
-                    (F.col("_sae").cast("double") / nd).alias("mae"), "mape", std.alias("std"), "n_zero_actual")
+    mae = F.try_divide(F.col("_sae").cast("double"), nd)
+    return g.select(*by, F.col("n").cast("bigint").alias("n"), r2.alias("r2"), mae.alias("mae"), "mape",
+                    std.alias("std"), F.try_divide(mae, std).alias("mae_per_std"), "n_zero_actual")
 
 
 def actual_vs_predicted(actual: DataFrame, predicted: DataFrame, order: str = "datetime",
@@ -47,11 +48,6 @@ def actual_vs_predicted(actual: DataFrame, predicted: DataFrame, order: str = "d
     return a.join(p, order, "full_outer")
 
 
-def score_ratio(score: float, std: float) -> float | None:
-    """Search score divided by the target's sample std (None when std is 0)."""
-    return None if not std else score / std
-
-
 def importances(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
     """Feature importances of a tree model as ``feature, importance`` sorted descending."""
     vals = model.featureImportances.toArray().tolist()

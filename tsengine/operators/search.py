@@ -8,11 +8,12 @@ never sees later rows) and record a trials table
 the driver only loops over the (bounded) number of draws and folds.
 
 Parameter mapping from the reference's booster names:
-``learning_rate -> stepSize``, ``max_depth -> maxDepth`` (capped at 30),
+``learning_rate -> stepSize`` (in (0, 1]), ``max_depth -> maxDepth`` (at most 30),
 ``subsample -> subsamplingRate``, ``colsample_bytree -> featureSubsetStrategy``
 (a fraction, applied per split rather than per tree),
-``min_child_weight -> minInstancesPerNode`` (rounded up),
-``gamma -> minInfoGain``.  ``lambda``, ``alpha``, ``num_parallel_tree`` and
+``min_child_weight -> minInstancesPerNode`` (rounded up to whole rows; the
+trials table holds the value used), ``gamma -> minInfoGain``.  A value out of
+range raises.  ``lambda``, ``alpha``, ``num_parallel_tree`` and
 ``grow_policy`` have no equivalent; they are recorded in the trials table
 and otherwise ignored.
 """
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsengine.operators.split import time_folds
+from tsengine.operators.split import time_folds, time_split
 
 # The reference's random-search grid and sampled-search space.
 DEFAULT_GRID = {
@@ -52,6 +53,8 @@ DEFAULT_SPACE = {
     "learning_rate": ("log", 1e-8, 1.0),
     "gamma": ("log", 1e-8, 1.0),
 }
+EVAL_METRICS = ("mae", "rmse", "mape")
+PATIENCE = 25   # rounds without a gain before boosting stops
 UNMAPPED = ("lambda", "alpha", "num_parallel_tree", "grow_policy")
 
 TRIALS_SCHEMA = T.StructType([
@@ -64,9 +67,13 @@ def gbt_params(params: dict, max_iter: int = 100) -> dict:
     """Booster parameter names -> ``GBTRegressor`` keyword arguments."""
     out = {"maxIter": int(max_iter)}
     if "learning_rate" in params:
-        out["stepSize"] = float(min(max(params["learning_rate"], 1e-12), 1.0))
+        out["stepSize"] = float(params["learning_rate"])
+        if not 0.0 < out["stepSize"] <= 1.0:
+            raise ValueError(f"learning_rate must be in (0, 1]: {params['learning_rate']}")
     if "max_depth" in params:
-        out["maxDepth"] = int(min(int(params["max_depth"]), 30))
+        out["maxDepth"] = int(params["max_depth"])
+        if not 0 <= out["maxDepth"] <= 30:
+            raise ValueError(f"max_depth must be in 0..30: {params['max_depth']}")
     if "subsample" in params:
         out["subsamplingRate"] = float(params["subsample"])
     if "colsample_bytree" in params:
@@ -79,6 +86,14 @@ def gbt_params(params: dict, max_iter: int = 100) -> dict:
     return out
 
 
+def effective_params(params: dict) -> dict[str, str]:
+    """The draw as recorded: values as used, whole rows for ``min_child_weight``."""
+    used = {k: str(v) for k, v in params.items()}
+    if "min_child_weight" in params:
+        used["min_child_weight"] = str(gbt_params(params)["minInstancesPerNode"])
+    return used
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     """Fixed-order feature vector; invalid values raise (impute first)."""
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
@@ -86,22 +101,36 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 def fit_gbt(train: DataFrame, params: dict, label: str = "y_future", features_col: str = "features",
             max_iter: int = 100, seed: int = 7, validation_fraction: float | None = None,
-            order: str = "datetime", validation_tol: float = 0.01):
+            order: str = "datetime", patience: int = PATIENCE):
     """Fit a boosted-tree regressor.
 
     With ``validation_fraction`` the last rows of ``train`` (by ``order``) are a
-    validation set and boosting stops early when the validation error stops
-    improving (Spark stops at the first iteration whose gain is below
-    ``validation_tol``; the reference waits a fixed number of rounds).
+    validation set: boosting keeps the rounds up to the lowest absolute error
+    on it that no later one of the next ``patience`` rounds improves.  The
+    same seed grows the same trees, so the shorter model is a second fit.
     """
-    kwargs = gbt_params(params, max_iter)
-    if validation_fraction:
-        from tsengine.operators.split import time_split
-        train = time_split(train, order, validation_fraction).withColumn(
-            "_val", F.col("split") == "test").drop("split")
-        kwargs.update(validationIndicatorCol="_val", validationTol=validation_tol)
-    model = GBTRegressor(featuresCol=features_col, labelCol=label, seed=seed, **kwargs)
-    return model.fit(train)
+    def fit(data, rounds):
+        return GBTRegressor(featuresCol=features_col, labelCol=label, seed=seed,
+                            **gbt_params(params, rounds)).fit(data)
+
+    if not validation_fraction:
+        return fit(train, max_iter)
+    parts = time_split(train, order, validation_fraction)
+    head = parts.filter(F.col("split") == "train")
+    model = fit(head, max_iter)
+    rounds = stop_round(model.evaluateEachIteration(parts.filter(F.col("split") == "test"), "absolute"), patience)
+    return model if rounds == max_iter else fit(head, rounds)
+
+
+def stop_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
+    """Rounds to keep: up to the best error before ``patience`` rounds without a gain."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 def predict(model, df: DataFrame, order: str = "datetime", label: str = "y_future") -> DataFrame:
@@ -109,8 +138,21 @@ def predict(model, df: DataFrame, order: str = "datetime", label: str = "y_futur
     return model.transform(df).select(order, F.col(label).alias("actual"), F.col("prediction").alias("predicted"))
 
 
-def _mae(pred: DataFrame) -> float:
-    return pred.agg(F.avg(F.abs(F.col("actual") - F.col("predicted")))).first()[0]
+def evaluation(pred: DataFrame, eval_metric: str = "mae") -> float:
+    """``mae``, ``rmse`` or ``mape`` of ``actual, predicted`` (``mape`` leaves out rows whose actual value is 0)."""
+    error = F.abs(F.col("actual") - F.col("predicted")).cast("double")
+    value = {"mae": F.avg(error), "rmse": F.sqrt(F.avg(error * error)),
+             "mape": F.avg(F.try_divide(error, F.abs(F.col("actual")).cast("double")))}[check_metric(eval_metric)]
+    out = pred.agg(value).first()[0]
+    if out is None:
+        raise ValueError(f"no row to evaluate {eval_metric} on")
+    return float(out)
+
+
+def check_metric(name: str) -> str:
+    if name not in EVAL_METRICS:
+        raise ValueError(f"eval_metric must be one of {EVAL_METRICS}: {name!r}")
+    return name
 
 
 def _draw_grid(grid: dict, n_iter: int, seed: int) -> list[dict]:
@@ -148,8 +190,11 @@ def _draw_space(space: dict, n: int, seed: int) -> list[dict]:
 
 def _run_trials(spark: SparkSession, matrix: DataFrame, features: Sequence[str], draws: list[dict],
                 n_splits: int, label: str, order: str, max_iter: int, parallelism: int,
-                objective: str = "validation", validation_fraction: float | None = None) -> DataFrame:
-    data = assemble(matrix, features).select(order, label, "features")
+                objective: str, validation_fraction: float | None, eval_metric: str) -> DataFrame:
+    check_metric(eval_metric)
+    for d in draws:      # an impossible draw raises before the first fit
+        gbt_params(d, max_iter)
+    data = matrix.select(order, label, "features")
     folds = time_folds(data, order, n_splits).persist()
     jobs = [(t, f) for t in range(len(draws)) for f in range(n_splits)]
 
@@ -160,15 +205,28 @@ def _run_trials(spark: SparkSession, matrix: DataFrame, features: Sequence[str],
         model = fit_gbt(train, draws[t], label, max_iter=max_iter, validation_fraction=validation_fraction,
                         order=order)
         scored = train if objective == "train" else fold.filter(F.col("role") == "test")
-        mae = _mae(predict(model, scored, order, label))
-        return (t, f, {k: str(v) for k, v in draws[t].items()}, -float(mae))
+        return (t, f, effective_params(draws[t]), -evaluation(predict(model, scored, order, label), eval_metric))
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(run, jobs))
-    folds.unpersist()
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(run, jobs))
+    finally:
+        folds.unpersist()
     return spark.createDataFrame(rows, TRIALS_SCHEMA)
 
 
+def _search(spark, matrix, features, draws, n_splits, label, order, max_iter, parallelism, objective,
+            validation_fraction, eval_metric):
+    data = assemble(matrix, features).persist()
+    try:
+        trials = _run_trials(spark, data, features, draws, n_splits, label, order, max_iter, parallelism, objective,
+                             validation_fraction, eval_metric)
+        params = draws[best_trial(trials).first()["trial"]]
+        return trials, params, fit_gbt(data, params, label, max_iter=max_iter)
+    finally:
+        data.unpersist()
+
+
 def best_trial(trials: DataFrame) -> DataFrame:
     """``trial, params, score`` of the draw with the best mean fold score (larger is better)."""
     per = trials.groupBy("trial").agg(F.avg("metric").alias("score"), F.first("params").alias("params"))
@@ -178,26 +236,21 @@ def best_trial(trials: DataFrame) -> DataFrame:
 def random_search(spark: SparkSession, matrix: DataFrame, features: Sequence[str], grid: dict | None = None,
                   n_iter: int = 20, n_splits: int = 5, label: str = "y_future", order: str = "datetime",
                   max_iter: int = 100, seed: int = 42, parallelism: int = 4,
-                  validation_fraction: float | None = None):
+                  validation_fraction: float | None = None, eval_metric: str = "mae"):
     """Random draws without replacement from ``grid``; returns ``(trials, best_params, refit_model)``.
 
-    The score is the negative mean absolute error on each fold's test rows;
+    The score is the negative ``eval_metric`` on each fold's test rows;
     ``validation_fraction`` turns on early stopping on the tail of each
     training part (never on the fold's test rows).
     """
-    draws = _draw_grid(grid or DEFAULT_GRID, n_iter, seed)
-    trials = _run_trials(spark, matrix, features, draws, n_splits, label, order, max_iter, parallelism,
-                         "validation", validation_fraction)
-    best = best_trial(trials).first()
-    params = draws[best["trial"]]
-    model = fit_gbt(assemble(matrix, features), params, label, max_iter=max_iter)
-    return trials, params, model
+    return _search(spark, matrix, features, _draw_grid(grid or DEFAULT_GRID, n_iter, seed), n_splits, label, order,
+                   max_iter, parallelism, "validation", validation_fraction, eval_metric)
 
 
 def sampled_search(spark: SparkSession, matrix: DataFrame, features: Sequence[str], space: dict | None = None,
                    n_trials: int = 50, n_splits: int = 5, label: str = "y_future", order: str = "datetime",
                    max_iter: int = 100, seed: int = 42, parallelism: int = 4, objective: str = "validation",
-                   validation_fraction: float | None = None):
+                   validation_fraction: float | None = None, eval_metric: str = "mae"):
     """Log-uniform / uniform / integer draws from ``space``; same outputs as :func:`random_search`.
 
     ``objective='train'`` scores each draw on its own training rows (the
@@ -206,10 +259,5 @@ def sampled_search(spark: SparkSession, matrix: DataFrame, features: Sequence[st
     """
     if objective not in ("train", "validation"):
         raise ValueError("objective must be 'train' or 'validation'")
-    draws = _draw_space(space or DEFAULT_SPACE, n_trials, seed)
-    trials = _run_trials(spark, matrix, features, draws, n_splits, label, order, max_iter, parallelism,
-                         objective, validation_fraction)
-    best = best_trial(trials).first()
-    params = draws[best["trial"]]
-    model = fit_gbt(assemble(matrix, features), params, label, max_iter=max_iter)
-    return trials, params, model
+    return _search(spark, matrix, features, _draw_space(space or DEFAULT_SPACE, n_trials, seed), n_splits, label,
+                   order, max_iter, parallelism, objective, validation_fraction, eval_metric)

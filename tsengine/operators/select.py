@@ -98,5 +98,5 @@ def select_features(matrix_long: DataFrame, target: DataFrame, level: float = 0.
 
 
 def enough_features(names: Sequence[str], minimum: int = 5) -> bool:
-    """The reference's check: more than ``minimum`` kept names counts as enough."""
+    """More than ``minimum`` kept columns, the label included, count as enough."""
     return len(names) > minimum

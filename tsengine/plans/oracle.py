@@ -324,9 +324,33 @@ SELECT variable, n,
        round(1.0 - (CAST(sse AS DOUBLE) * CAST(n AS DOUBLE)) / sst, {_R}) AS r2,
        round(CAST(sae AS DOUBLE) / CAST(n AS DOUBLE), {_R}) AS mae,
        round(mape, {_R}) AS mape,
-       round(sqrt(sst / (CAST(n AS DOUBLE) * (CAST(n AS DOUBLE) - 1))), {_R}) AS std
+       round(sqrt(sst / (CAST(n AS DOUBLE) * (CAST(n AS DOUBLE) - 1))), {_R}) AS std,
+       round(CAST(sae AS DOUBLE) / CAST(n AS DOUBLE) / sqrt(sst / (CAST(n AS DOUBLE) * (CAST(n AS DOUBLE) - 1))), {_R}) AS mae_per_std
 FROM b"""
 
+    q["q45_market_path"] = _with(
+        TICKS.replace("ticks AS", "raw_ticks AS", 1),
+        f"""rk AS (SELECT event_type AS coin, row_number() OVER (ORDER BY sum(value) DESC, event_type) - 1 AS rnk
+       FROM events GROUP BY event_type QUALIFY rnk < {R.TOP_COINS}),
+landed AS (
+  SELECT coin, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts,
+         row_number() OVER (PARTITION BY coin, CAST(ts AS DATE) ORDER BY ts, seq) AS seq,
+         {", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in _METRICS)}
+  FROM raw_ticks WHERE coin IN (SELECT coin FROM rk)),
+ticks AS (SELECT * FROM landed WHERE ts >= TIMESTAMP '2024-01-13 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00')""",
+        _binned("b", R.HOUR, True),
+        """grid AS (SELECT g.bin, rk.coin, rk.rnk FROM rk CROSS JOIN (SELECT bin FROM b JOIN rk USING (coin) WHERE rnk = 0) g),
+j AS (SELECT grid.*, b.prices, b.market_caps, b.total_volumes FROM grid LEFT JOIN b USING (coin, bin))""") + \
+        "\nUNION ALL ".join(f"SELECT bin AS datetime, CASE WHEN rnk = 0 THEN '{m}' ELSE '{m} ' || coin END AS variable, "
+                            f"{m} AS value FROM j" for m in _METRICS)
+
+    q["q46_actual_vs_predicted"] = _with(TICKS, _aligned("al", R.HOUR)) + f""", s AS (
+  SELECT datetime, CAST(value AS DOUBLE) AS value, lead(CAST(value AS DOUBLE)) OVER (ORDER BY datetime) AS nxt,
+         row_number() OVER (ORDER BY datetime) AS pos, count(*) OVER () AS n
+  FROM al WHERE variable = '{R.TARGET}' AND value IS NOT NULL)
+SELECT datetime, nxt AS actual, CASE WHEN pos > n - CAST(floor(0.2 * n) AS BIGINT) THEN value END AS predicted
+FROM s WHERE nxt IS NOT NULL OR pos > n - CAST(floor(0.2 * n) AS BIGINT)"""
+
     q["q27_timezone"] = _with(TICKS, _binned("b", R.HOUR, False)) + \
         "SELECT coin, bin, timezone('CET', timezone('UTC', bin)) AS bin_cet FROM b"
     q["q28_tail"] = _with(_hourly_features(), _targets("tg", "fe", R.TARGET, "price")) + \

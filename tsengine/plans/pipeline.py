@@ -25,12 +25,13 @@ from tsengine.operators.evaluate import regression_metrics
 from tsengine.operators.impute import impute
 from tsengine.operators.resample import resample_last
 from tsengine.operators.search import assemble, fit_gbt, predict
-from tsengine.operators.select import select_features
+from tsengine.operators.select import enough_features, select_features
 from tsengine.operators.split import time_split
 from tsengine.operators.target import add_target, target_rows
 from tsengine.plans.extract import extract_features
 from tsengine.session import materialize
-from tsengine.sources.market import DEFAULT_METRICS, bin_step_seconds
+from tsengine.sources.catalog import top_coin_ids
+from tsengine.sources.market import DEFAULT_METRICS, bin_step_seconds, payload_to_ticks, read_market_chart, time_range
 
 
 def market_series(ticks: DataFrame, coins: Sequence[str], timeframe: float = 1, periods: int = 1,
@@ -46,6 +47,20 @@ def market_series(ticks: DataFrame, coins: Sequence[str], timeframe: float = 1,
     return align_long(binned, coins, metrics)
 
 
+def market_path(spark: SparkSession, landed: str, markets: DataFrame, n: int, as_of, timeframe: float,
+                periods: int = 1, metrics: Sequence[str] = DEFAULT_METRICS) -> DataFrame:
+    """Landed documents of the ``n`` top-ranked coins -> long aligned series of
+    the last ``timeframe`` days, sorted by variable and time.
+
+    The ranking is the coin universe, its first coin the base; files of other
+    coins are not read when they lie in ``coin=<id>`` folders.
+    """
+    coins = top_coin_ids(markets, n)
+    docs = read_market_chart(spark, landed, metrics, coins)
+    ticks = time_range(payload_to_ticks(docs, metrics), as_of, timeframe)
+    return market_series(ticks, coins, timeframe, periods, metrics).orderBy("variable", "datetime")
+
+
 @dataclass
 class SelectionResult:
     matrix: DataFrame            # imputed long matrix of the kept names (datetime, feature, value)
@@ -71,17 +86,18 @@ def select_stage(features: DataFrame, target: str, kind: str = "price", periods:
     always = [target, "lr", "vol"] if keep_targets else []
     kept, table = select_features(matrix, targets, level, always_keep=always, fit_until=fit_until)
     kept_matrix = matrix.filter(F.col("feature").isin(kept))
-    return SelectionResult(kept_matrix, targets, kept, table, len(kept) + 1 > 5)
+    return SelectionResult(kept_matrix, targets, kept, table, enough_features([*kept, "y_future"]))
 
 
 def forecast(spark: SparkSession, features: DataFrame, target: str, kind: str = "price",
              periods: int = 1, percent: bool = False, level: float = 0.05,
-             params: dict | None = None, max_iter: int = 20, test_fraction: float = 0.2):
+             params: dict | None = None, max_iter: int = 100, test_fraction: float = 0.2, fit_until=None):
     """Select, split by time, fit a boosted-tree model, predict and score.
 
+    ``fit_until`` keeps the selection from seeing rows from that time on.
     Returns ``(selection, predictions, metrics, model, feature_names)``.
     """
-    sel = select_stage(features, target, kind, periods, percent, level)
+    sel = select_stage(features, target, kind, periods, percent, level, fit_until=fit_until)
     feats = [n for n in sel.names if n != "y_future"]
     wide = pivot_features(sel.matrix.withColumnRenamed("feature", "variable"), feats)
     wide = wide.join(sel.targets.select("datetime", "y_future"), "datetime")

@@ -18,17 +18,18 @@ from pyspark.sql import functions as F
 
 from tsengine.functions.settings import COMPREHENSIVE, EFFICIENT
 from tsengine.operators.align import align_long, melt_long, pivot_features, wide_join
-from tsengine.operators.evaluate import importances, regression_metrics
+from tsengine.operators.evaluate import actual_vs_predicted, importances, regression_metrics
 from tsengine.operators.impute import impute
 from tsengine.operators.resample import resample_last
 from tsengine.operators.roll import prepare_series, roll_lengths, shift_rows
-from tsengine.operators.search import assemble, fit_gbt, predict, random_search
+from tsengine.operators.search import assemble, fit_gbt, predict, random_search, sampled_search
 from tsengine.operators.select import fdr_select, relevance_table, select_features
 from tsengine.operators.split import time_folds, time_split
 from tsengine.operators.target import add_target
 from tsengine.plans.extract import extract_features
+from tsengine.plans.pipeline import market_path
 from tsengine.session import checkpoint_dir, materialize
-from tsengine.sources.catalog import lookup_ids, top_coin_ids, top_n
+from tsengine.sources.catalog import lookup_ids, top_n
 from tsengine.sources.market import display_zone, payload_to_ticks, read_market_chart, ticks_to_payload, time_range
 from tsengine.sources.tables import (
     customer_markets, events_markets, events_ticks, table,
@@ -42,6 +43,7 @@ DAY = 86_400
 ODD_STEP = 35 * 60          # does not divide a day: exercises the day anchor
 AS_OF = dt.datetime(2024, 1, 20)
 RANGE_DAYS = 7
+TOP_COINS = 3
 TARGET = "prices view"      # a suffixed (non-base) variable
 TAIL_ROWS = 30
 SPLITS = 5
@@ -62,11 +64,6 @@ def coins(spark: SparkSession, sf: str) -> list[str]:
     return list(COINS)
 
 
-def ranked_coins(spark: SparkSession, sf: str, n: int = 3) -> list[str]:
-    """Coin universe from the ranking instead of a fixed list (pipeline use)."""
-    return top_coin_ids(events_markets(spark, sf), n)
-
-
 def binned(spark: SparkSession, sf: str, step: int = HOUR, dense: bool = True) -> DataFrame:
     return resample_last(events_ticks(spark, sf), step, values=list(METRICS), dense=dense)
 
@@ -89,11 +86,20 @@ def _q01_time_range_scan(spark, sf):
 
 
 def q02_market_chart_json(spark, sf):
-    # land one document per coin and day in the shared folder, then read the files
+    return payload_to_ticks(read_market_chart(spark, _landed(spark, sf)))
+
+
+def _landed(spark, sf):
+    """The stand-in's files: one document per coin and day in the shared folder."""
     docs = ticks_to_payload(events_ticks(spark, sf))
     landed = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
     (docs.select("coin", "payload").write.option("maxRecordsPerFile", 1).partitionBy("coin").text(landed))
-    return payload_to_ticks(read_market_chart(spark, landed))
+    return landed
+
+
+def q45_market_path(spark, sf):
+    """Ranking, landed files, time range, bins, alignment on the top coin, long and sorted."""
+    return market_path(spark, _landed(spark, sf), events_markets(spark, sf), TOP_COINS, AS_OF, RANGE_DAYS)
 
 
 def q03_top_n(spark, sf):
@@ -240,7 +246,17 @@ def q26_metrics(spark, sf):
         .filter(F.col("actual").isNotNull())
     m = regression_metrics(naive, by=["variable"])
     return m.select("variable", "n", F.round("r2", ROUND).alias("r2"), F.round("mae", ROUND).alias("mae"),
-                    F.round("mape", ROUND).alias("mape"), F.round("std", ROUND).alias("std"))
+                    F.round("mape", ROUND).alias("mape"), F.round("std", ROUND).alias("std"),
+                    F.round("mae_per_std", ROUND).alias("mae_per_std"))
+
+
+def q46_actual_vs_predicted(spark, sf):
+    """Next values of the target and the naive forecast of its last fifth, on one time axis."""
+    series = prepare_series(aligned(spark, sf).filter(F.col("variable") == TARGET), "drop")
+    nxt = materialize(shift_rows(series, "datetime", ["value"], -1, keys=["variable"], suffix="_next"))
+    test = time_split(nxt.select("datetime", "value")).filter("split = 'test'")
+    return as_double(actual_vs_predicted(nxt.filter(F.col("value_next").isNotNull()), test, "datetime",
+                                         "value_next", "value"))
 
 
 def q27_timezone(spark, sf):
@@ -275,6 +291,14 @@ def q30_random_search(spark, sf):
     return trials
 
 
+def q47_sampled_search(spark, sf):
+    wide, names = _model_data(spark, sf)
+    space = {"max_depth": ("int", 2, 5), "learning_rate": ("log", 0.01, 1.0)}
+    trials, _, _ = sampled_search(spark, wide, names, space, n_trials=2, n_splits=2, max_iter=5, parallelism=2,
+                                  eval_metric="mape")
+    return trials
+
+
 def q31_importances(spark, sf):
     wide, names = _model_data(spark, sf)
     model = fit_gbt(assemble(wide, names), {"max_depth": 3}, max_iter=5)

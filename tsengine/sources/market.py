@@ -42,17 +42,20 @@ def bin_step_seconds(timeframe: float, periods: int = 1, strict: bool = True) ->
 
 
 def read_market_chart(spark: SparkSession, path: str,
-                      metrics: Sequence[str] = DEFAULT_METRICS) -> DataFrame:
+                      metrics: Sequence[str] = DEFAULT_METRICS, coins: Sequence[str] | None = None) -> DataFrame:
     """Read landed payload files into ``(coin, <metric> array<array<double>>)``.
 
     Each file holds one document.  The coin id comes from the ``coin=<id>``
     directory (partition discovery), else from the file stem.  The schema is
-    declared, so no inference pass runs over the files.
+    declared, so no inference pass runs over the files.  ``coins`` keeps only
+    those coins' files.
     """
     raw = spark.read.text(path, wholetext=True)
     if "coin" not in raw.columns:
         stem = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.json)?$", 1)
         raw = raw.withColumn("coin", stem)
+    if coins is not None:
+        raw = raw.filter(F.col("coin").isin(list(coins)))
     return parse_payload(raw.select(F.col("coin").cast("string").alias("coin"), "value"), "value", metrics)
 
 
