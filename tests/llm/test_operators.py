@@ -402,6 +402,31 @@ def test_top_k_matches_brute_force(spark):
     assert len(topk.top_k(df.where("vec_id in (0, 1)"), lambda c: c % 50 == 0).collect()) == 1
 
 
+def test_top_k_whatever_order_the_files_are_read_in(spark):
+    """Many files in one read task, the largest file (Spark reads it first) of the shortest vectors."""
+    rnd = np.random.default_rng(9)
+    short = rnd.uniform(-1, 1, (3_000, 8)).round(4)
+    long = rnd.choice([-64.0, 64.0], (1_000, 8))
+    vecs = [(i, v.tolist()) for i, v in enumerate([*short, *long])]
+    ints = np.floor(256 * np.array([v for _, v in vecs])).astype(np.int64)
+    want = []
+    for q in range(0, len(vecs), 500):
+        s = ints @ ints[q]
+        best = sorted((-int(x), i) for i, x in enumerate(s) if i != q)[:5]
+        want += [(q, r + 1, i, -x) for r, (x, i) in enumerate(best)]
+    conf = {"spark.sql.files.minPartitionNum": "1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {n: spark.conf.get(n, None) for n in conf}
+    try:
+        for n, x in conf.items():
+            spark.conf.set(n, x)
+        df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>")
+        got = sorted(map(tuple, topk.top_k(df, lambda c: c % 500 == 0).collect()))
+    finally:
+        for n, x in old.items():
+            spark.conf.unset(n) if x is None else spark.conf.set(n, x)
+    assert got == want
+
+
 def test_registered_oracles_match(spark):
     con = duckdb.connect()
     for t in ("documents", "pages", "embeddings"):

@@ -3,9 +3,11 @@
 Components become integers ``floor(scale * x)``.  The vectors are written in
 descending order of length; a rotation from the SVD of all vectors (their Gram
 matrix, summed in Spark) puts most of a product into the first coordinates.  A
-task reads its vectors block by block, longest first, and drops
+task reads its vectors slice by slice and drops
 
-* the rest of its vectors, once ``|q| |x|`` is under every query's bound,
+* a slice, if ``|q| |x|`` of its longest vector is under every query's bound
+  (vectors of like length lie together, but a task may read a file of short
+  vectors before one of long vectors: nothing relies on the order),
 * a pair whose partial product over the leading rotated coordinates (those that
   hold ``LEAD`` of the squared length) plus ``|q_rest| |x_rest|``
   (Cauchy-Schwarz) is under the query's bound.
@@ -115,8 +117,8 @@ class _Best:
 
 
 def _scan(q_ids, q, turn, lead, k, bound):
-    """Sorted vectors -> each query's best k in this partition.  ``lead``: how
-    many rotated coordinates the partial products take."""
+    """Vectors, in any order -> each query's best k in this partition.  ``lead``:
+    how many rotated coordinates the partial products take."""
     dim = q.shape[1]
     q_norm = np.sqrt((q.astype(float) ** 2).sum(axis=1))
     q_turn = q @ turn
@@ -126,13 +128,13 @@ def _scan(q_ids, q, turn, lead, k, bound):
     def run(batches):
         best = _Best(q_ids, k, bound)
         for b in (b.slice(i, SCAN_ROWS) for b in batches for i in range(0, b.num_rows, SCAN_ROWS)):
-            ids, x = b.column("vec_id").to_numpy(), _matrix(b.column("v"), dim)
-            norm = np.sqrt(b.column("norm2").to_numpy())
-            live = np.flatnonzero(q_norm * norm[0] * (1 + SLACK) >= best.bound)
+            longest = float(np.sqrt(b.column("norm2").to_numpy().max()))
+            live = np.flatnonzero(q_norm * longest * (1 + SLACK) >= best.bound)
             if not len(live):
-                break
+                continue
+            ids, x = b.column("vec_id").to_numpy(), _matrix(b.column("v"), dim)
             x_turn = x @ turn
-            least = best.bound[live, None] - SLACK * (1 + q_norm[live, None] * norm[0])
+            least = best.bound[live, None] - SLACK * (1 + q_norm[live, None] * longest)
             upper = q_turn[live, :lead] @ x_turn[:, :lead].T
             upper += np.outer(q_rest[live], np.sqrt((x_turn[:, lead:] ** 2).sum(axis=1)))
             open_ = upper >= least
