@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -208,6 +209,30 @@ def test_marginals_sum_over_all_covers():
     assert len(lat.decode(w)) == sum(bool(lat.edges[e][2]) for e in max(every, key=lambda c: sum(score[x] for x in c)))
 
 
+def test_long_stretches_are_decoded_in_blocks(monkeypatch):
+    rnd = random.Random(6)
+    phone = lambda: f"+1 ({rnd.randrange(200, 999)}) {rnd.randrange(200, 999)}-{rnd.randrange(1000, 9999)}"
+    w = private_spans.train([(phone(), " ", " ") for _ in range(40)] + [(str(rnd.randrange(99)), " ", " ") for _ in range(20)])
+    table = private_spans.by_kind(w)
+    monkeypatch.setattr(private_spans, "BLOCK_ATOMS", 5)
+    found = 0
+    for _ in range(15):
+        t = " ".join(phone() if rnd.random() < 0.4 else str(rnd.randrange(10**6)) for _ in range(12))
+        got = private_spans.decode(t, "", "x", table)
+        assert got == private_spans.Lattice(t, "", "x").decode(w)
+        found += len(got)
+    assert found
+    monkeypatch.undo()
+    row = ",".join(str(rnd.randrange(10**6)) for _ in range(2_000)) + ", " + phone()
+    assert len(list(private_spans.stretches(row))) == 1
+    tracemalloc.start()
+    try:
+        private_spans.find_spans(row, w)
+        assert tracemalloc.get_traced_memory()[1] < 15e6          # as a whole lattice: over 50 MB
+    finally:
+        tracemalloc.stop()
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_allotment_matches_brute_force(spark, odd, rule):
     texts = [t for t, in odd.select("text").collect()] + ["a\nb\n\n c  \nd" * 20]

@@ -9,8 +9,11 @@ into atoms; every run of up to ``MAX_ATOMS`` atoms is a candidate entity of
 every kind, scored by features of the whole span (shape, digits, separators,
 checks, neighbours).  Bounded-length dynamic programming (forward-backward for
 training and for a span's probability, Viterbi for the boundaries and kinds)
-covers a stretch by entities and single outside atoms.  It is trained here, by
-gradient ascent on the likelihood of base spans, on stretches from at most
+covers a stretch by entities and single outside atoms.  It runs over a stretch
+of any length in blocks of ``BLOCK_ATOMS``: per atom only a cut, the forward,
+backward and Viterbi values stay, and the scores of one block at a time (a
+stretch of several blocks scores them again on the way back).  It is trained
+here, by gradient ascent on the likelihood of base spans, on stretches from at most
 ``SAMPLE_DOCS`` documents and at most ``SAMPLE_STRETCHES`` of them, taken in
 the order of a hash of the key.  A decoded span of probability ``least`` or
 more that overlaps no base span is added.
@@ -23,6 +26,8 @@ row by row; a sample without entities adds nothing; other columns are ignored
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_right
 from collections import defaultdict
 from math import exp, log
 
@@ -34,6 +39,7 @@ from tsengine.llm._common import keyed_text, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 16
+BLOCK_ATOMS = 1_024
 SAMPLE_DOCS = 20_000
 SAMPLE_STRETCHES = 1_500
 EPOCHS = 12
@@ -46,7 +52,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANY = re.compile("[0-9@]")
-_STRETCH = re.compile(r"\S*?[0-9@]\S*(?: [^\s0-9@]{0,3}[0-9@]\S*)*")
+_STRETCH = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?: [^\s0-9@]{0,3}+[0-9@]\S*+)*+")
 _ATOM = re.compile(r"[A-Za-z]+|[0-9]+|.", re.S)
 
 
@@ -108,8 +114,21 @@ def span_features(text: str, left: str, right: str) -> list[str]:
             f"plus={text[:1] == '+'}", f"left={_side(left)}", f"right={_side(right)}", "bias"]
 
 
+def candidates(text: str, cuts, i: int, before: str, after: str):
+    """(end, features) of the entities that may start at atom ``i``."""
+    n = len(cuts) - 1
+    first = text[cuts[i]]
+    if not (first.isalnum() or first in "+(_"):
+        return
+    for j in range(i + 1, min(n, i + MAX_ATOMS) + 1):
+        span = text[cuts[i]:cuts[j]]
+        if not (span[-1].isalnum() or span[-1] == ")") or not ("@" in span or sum(c.isdigit() for c in span) >= 4):
+            continue
+        yield j, span_features(span, text[cuts[i] - 1] if i else before, text[cuts[j]] if j < n else after)
+
+
 class Lattice:
-    """A stretch with its candidate spans: edges (i, j, kind, features)."""
+    """A whole (short) stretch with its candidate spans: edges (i, j, kind, features)."""
 
     def __init__(self, text: str, before: str = "", after: str = ""):
         cut = [m.end() for m in _ATOM.finditer(text)]
@@ -117,17 +136,8 @@ class Lattice:
         self.edges: list[tuple[int, int, str, list[str]]] = []
         n = len(cut)
         for i in range(n):
-            first = text[self.cuts[i]]
-            self.edges.append((i, i + 1, "", [f"out={_side(first)}"]))
-            if not (first.isalnum() or first in "+(_"):
-                continue
-            for j in range(i + 1, min(n, i + MAX_ATOMS) + 1):
-                span = text[self.cuts[i]:self.cuts[j]]
-                if not (span[-1].isalnum() or span[-1] == ")") or not ("@" in span or sum(c.isdigit() for c in span) >= 4):
-                    continue
-                left = text[self.cuts[i] - 1] if i else before
-                right = text[self.cuts[j]] if j < n else after
-                feats = span_features(span, left, right)
+            self.edges.append((i, i + 1, "", [f"out={_side(text[self.cuts[i]])}"]))
+            for j, feats in candidates(text, self.cuts, i, before, after):
                 self.edges.extend((i, j, k, [f"{k}:{f}" for f in feats]) for k in KINDS)
         self.size = n
 
@@ -169,6 +179,61 @@ def _add(a: float, b: float) -> float:
     return a if b == float("-inf") else a + log(1.0 + exp(b - a))
 
 
+def by_kind(w: dict) -> dict:
+    """The weights of each span feature for all kinds, and of the outside features."""
+    out: dict = {}
+    for name, x in w.items():
+        kind, _, feature = name.partition(":")
+        if kind in KINDS:
+            out.setdefault(feature, [0.0] * len(KINDS))[KINDS.index(kind)] = x
+        else:
+            out[name] = x
+    return out
+
+
+def decode(text: str, before: str, after: str, weights: dict) -> list[tuple[str, int, int, float]]:
+    """``Lattice.decode`` of a stretch of any length; ``weights``: from ``by_kind``."""
+    cuts = array("i", [0])
+    cuts.extend(m.end() for m in _ATOM.finditer(text))
+    n, none = len(cuts) - 1, (0.0,) * len(KINDS)
+
+    def edges(lo: int) -> list[tuple[int, int, int, float]]:
+        """(start, end, kind or -1, score) of a block's edges, in order of their start."""
+        out = []
+        for i in range(lo, min(n, lo + BLOCK_ATOMS)):
+            out.append((i, i + 1, -1, weights.get(f"out={_side(text[cuts[i]])}", 0.0)))
+            for j, feats in candidates(text, cuts, i, before, after):
+                per_kind = zip(*[weights.get(f, none) for f in feats])
+                out.extend((i, j, k, sum(x)) for k, x in enumerate(per_kind))
+        return out
+
+    low = float("-inf")
+    fwd, best = array("d", [0.0]) + array("d", [low]) * n, array("d", [0.0]) + array("d", [low]) * n
+    step, kind = array("b", [0]) * (n + 1), array("b", [-1]) * (n + 1)
+    block: list = []
+    for lo in range(0, n, BLOCK_ATOMS):
+        block = edges(lo)
+        for i, j, k, x in block:
+            fwd[j] = _add(fwd[j], fwd[i] + x)
+            if best[i] + x > best[j]:
+                best[j], step[j], kind[j] = best[i] + x, j - i, k
+    out, at = [], n                      # the best cover's entities, last first
+    while at:
+        if kind[at] >= 0:
+            out.append((at - step[at], at, kind[at]))
+        at -= step[at]
+    if not out:
+        return []
+    bwd, z, p, done = array("d", [low]) * n + array("d", [0.0]), fwd[n], [], 0
+    for lo in range((n - 1) // BLOCK_ATOMS * BLOCK_ATOMS, -1, -BLOCK_ATOMS):
+        for i, j, k, x in reversed(block if lo + BLOCK_ATOMS >= n else edges(lo)):
+            bwd[i] = _add(bwd[i], x + bwd[j])
+            if done < len(out) and out[done] == (i, j, k):
+                p.append(exp(min(0.0, fwd[i] + x + bwd[j] - z)))
+                done += 1
+    return [(KINDS[k], cuts[i], cuts[j], x) for (i, j, k), x in zip(reversed(out), reversed(p))]
+
+
 def train(sample: list[tuple[str, str, str]], epochs: int = EPOCHS, rate: float = 0.5) -> dict:
     """Weights from (stretch, character before, after), the stretch's base
     spans being the truth; AdaGrad on the log likelihood, fixed order."""
@@ -219,25 +284,35 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> dict:
     return train([(r.s, r.before, r.after) for r in sample])
 
 
-def find_spans(text: str, weights: dict, least: float = LEAST) -> list[tuple[str, int, int, bool, float]]:
-    """Base spans, then the model's additions, by kind and place."""
+def find_spans(text: str, weights: dict, least: float = LEAST,
+               table: dict | None = None) -> list[tuple[str, int, int, bool, float]]:
+    """Base spans, then the model's additions, by kind and place.  ``table``:
+    ``by_kind(weights)``, for callers with many texts."""
     if not _ANY.search(text):
         return []
+    table = by_kind(weights) if table is None else table
     base = base_spans(text)
     out = [(k, a, b, True, 1.0) for k, a, b in base]
+    starts, ends = array("q"), array("q")            # what the base spans cover, disjoint
+    for a, b in sorted((a, b) for _, a, b in base):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     for at, s in stretches(text):
-        end = at + len(s)
-        near = [(a, b) for _, a, b in base if a < end and b > at]
-        for kind, a, b, p in Lattice(s, text[at - 1:at], text[end:end + 1]).decode(weights):
-            if p >= least and all(at + b <= x or at + a >= y for x, y in near):
+        for kind, a, b, p in decode(s, text[at - 1:at], text[at + len(s):at + len(s) + 1], table):
+            near = bisect_right(starts, at + b - 1) - 1          # the last to start before the entity's end
+            if p >= least and (near < 0 or ends[near] <= at + a):
                 out.append((kind, at + a, at + b, False, p))
     return sorted(out, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
 
 
 def _spans(weights: dict, least: float):
     def run(batches):
+        table = by_kind(weights)
         for b in text_slices(batches):
-            rows = [[dict(zip(("kind", "start", "end", "base", "p"), s)) for s in find_spans(t, weights, least)]
+            rows = [[dict(zip(("kind", "start", "end", "base", "p"), s)) for s in find_spans(t, weights, least, table)]
                     for t in b.column("text").to_pylist()]
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
                                        ("base", pa.bool_()), ("p", pa.float64())]))
@@ -265,8 +340,9 @@ def redact(docs: DataFrame, weights: dict, text: str = "text", least: float = LE
     names = docs.columns
 
     def run(batches):
+        table = by_kind(weights)
         for b in text_slices(batches, text):
-            new = [None if t is None else mask(t, find_spans(t, weights, least)) for t in b.column(text).to_pylist()]
+            new = [None if t is None else mask(t, find_spans(t, weights, least, table)) for t in b.column(text).to_pylist()]
             cols = {n: b.column(n) for n in names} | {text: pa.array(new, pa.string())}
             yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
 
