@@ -137,6 +137,18 @@ def test_decontamination_matches_brute_force(spark):
     assert decontaminate.find_leaks(d, b.limit(0)).count() == 0 and decontaminate.find_leaks(d.limit(0), b).count() == 0
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    rnd = random.Random(12)
+    item = [f"w{rnd.randrange(10**6)}" for _ in range(59)]
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, "only three words")], "item_id long, text string")
+    cuts = [(1, 0, 59), (2, 0, 58), (3, 1, 59), (4, 5, 54), (5, 0, 47), (6, 0, 4), (9, 0, 0)]
+    docs = spark.createDataFrame([(i, " ".join(item[a:b])) for i, a, b in cuts], "doc_id long, text string")
+    want = {i: (0, b - a, (b - a - 4) / 55) for i, a, b in cuts if (b - a - 4) / 55 >= 0.8}
+    got = {r.doc_id: (r.start_word, r.end_word, r.similarity) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert got == want and sorted(got) == [1, 2, 3, 4]
+    assert sorted(r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()) == [5, 6, 9]
+
+
 def test_simhash_index_finds_all_within_radius():
     rnd = np.random.default_rng(2)
     items = decontaminate.Items([(i, " ".join(f"a{i}b{j}" for j in range(20))) for i in range(50)], 5, 19, 0.8)

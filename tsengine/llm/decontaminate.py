@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 For every benchmark item of ``m`` words, a document's windows of ``m`` words
-get a 64-bit SimHash of their word shingles (running sums of the bits, so a
+(a document of fewer words as a whole) get a 64-bit SimHash of their word shingles (running sums of the bits, so a
 window costs the same for every size).  Four 16-bit blocks index the items'
 fingerprints: a fingerprint within ``radius`` differs in at most ``radius // 4``
 bits in some block, and the index holds every such neighbour of every block,
@@ -136,9 +136,9 @@ class Items:
             hit_sizes = {int(n) for lo, hi in set(zip(p.tolist(), q.tolist())) for n in self.size[self.owner[lo:hi]]}
             sums = None
             for m in sizes:
-                n = m - k + 1
+                n = min(m - k + 1, len(shingles))        # a shorter document is one window
                 last = len(shingles) - n
-                if last < 0 or m not in hit_sizes:
+                if m not in hit_sizes or n / (m - k + 1) < self.least:
                     continue
                 mark = np.zeros(last + 2, np.int32)
                 np.add.at(mark, np.clip(at - n + 1, 0, last + 1), 1)
@@ -155,7 +155,7 @@ class Items:
                     s = int(start[r])
                     sim = similarity(Counter(shingles[s:s + n].tolist()), self.bags[i])
                     if sim >= self.least:
-                        found.append((i, s, s + m, d, sim))
+                        found.append((i, s, min(s + m, len(words)), d, sim))
         best, taken = [], {}
         for f in sorted(found, key=lambda f: (-f[4], f[1], f[0])):
             spans = taken.setdefault(f[0], [])
