@@ -22,7 +22,8 @@ BROADCAST_IDS = 500_000
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without text in any of the known languages."""
+    """Drops documents without letters, in effect: a text in a language that no
+    label names counts as the nearest known one and stays."""
     bound_batches(spark)
     model = language_id.fit_text(docs)
     judged = language_id.classify(docs, model, "text", declared=docs["lang"], host=docs["source"])

@@ -12,7 +12,10 @@ declarations and suffixes and the host priors, smoothed along
 host -> domain -> all rows:
 ``p(l | host) = (n(host, l) + K p(l | domain)) / (n(host) + K)``, and the same
 for domains.  The second pass fuses everything.  A row is accepted if its text
-has a letter trigram and its best language reaches ``least``.
+has a letter trigram and its best language reaches ``least``.  The posterior is
+over the fitted languages only: a text in any other language, or of random
+letters, gets the nearest known one, nearly always above ``least``.  In effect
+only texts without letters are rejected; there is no hypothesis "other".
 
 Edge cases: a null or empty text, or one without letters, is not accepted (its
 language is the best by the other evidence); a null or unknown declaration,
