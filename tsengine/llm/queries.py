@@ -8,10 +8,12 @@ queries are tested against brute-force versions in ``tests/llm``.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsengine.llm import (decontaminate, html_text, kneser_ney, language_id, near_dup, piece_sampling,
+from tsengine.llm import (decontaminate, html_text, kneser_ney, language_id, merkle, near_dup, piece_sampling,
                           private_spans, token_counts, topk, url_filter)
 from tsengine.llm._common import bound_batches
 
@@ -111,6 +113,25 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, k=5)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inclusion proofs of every document, and which ones still lead to the root
+    after the tampering."""
+    docs = _table(spark, sf_dir, "documents")
+
+    def leaf(text):
+        return merkle.leaf_digest(docs["doc_id"], docs["source"], docs["lang"], docs["n_chars"], text)
+
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    hit = F.crc32(docs["doc_id"].cast("string")) % 3 == 0
+    manifest = merkle.build(docs, "lang", "doc_id", leaf(docs["text"]), changed=F.when(hit, leaf(lower)))
+    folded = merkle.fold(F.coalesce("payload.changed", "digest"), F.col("path"))
+    siblings = F.array_join(F.transform("path", lambda s: F.concat(s["before"], s["after"])), "")
+    out = merkle.proofs(manifest).select(
+        F.col("payload.key").alias("doc_id"), F.col("digest").alias("leaf"), "subroot",
+        F.lit(manifest.root).alias("root"), F.sha2(siblings, 256).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_pii": op2_pii,
@@ -122,6 +143,7 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_exact_topk": op10_exact_topk,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 # Every pair of documents that share a shingle, then reachability by id.
@@ -151,8 +173,60 @@ p AS (SELECT q.vec_id AS query_id, c.vec_id,
 k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5"""
 
+# crc32 of ASCII text: the byte table from its rule, then a fold over the characters.
+_CRC_SQL = """
+bits AS (SELECT list_transform(range(256), lambda v: list_reduce([CAST(v AS BIGINT), 1, 1, 1, 1, 1, 1, 1, 1],
+           lambda c, s: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc(codes: str) -> str:
+    return (f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), "
+            "lambda c, b: xor(t[CAST(xor(c, b) & 255 AS INTEGER) + 1], c >> 8)))")
+
+
+def _framed_sql(*fields: str) -> str:
+    return " || ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields)
+
+
+_LOWER_SQL = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+_RUNS_SQL = "list_transform(range(CAST((len(h) + 7) // 8 AS BIGINT)), lambda k: sha256(array_to_string(h[k * 8 + 1 : k * 8 + 8], '')))"
+
+# The levels of every tree as lists, from the leaves up; then proofs level by level.
+_OP11_SQL = f"""
+WITH RECURSIVE {_CRC_SQL.strip()},
+d AS (SELECT doc_id, lang, sha256({_framed_sql('doc_id', 'source', 'lang', 'n_chars', 'text')}) AS leaf,
+             CASE WHEN {_crc("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} % 3 = 0
+                  THEN sha256({_framed_sql('doc_id', 'source', 'lang', 'n_chars', _LOWER_SQL)}) END AS changed
+      FROM documents, bits),
+e AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+l AS (SELECT lang, 0 AS level, list(leaf ORDER BY i) AS h FROM e GROUP BY lang
+      UNION ALL SELECT lang, level + 1, {_RUNS_SQL} FROM l WHERE len(h) > 1),
+s AS (SELECT lang, h[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM l WHERE len(h) = 1),
+t AS (SELECT 0 AS level, list(subroot ORDER BY i) AS h FROM s
+      UNION ALL SELECT level + 1, {_RUNS_SQL} FROM t WHERE len(h) > 1),
+r AS (SELECT h[1] AS root FROM t WHERE len(h) = 1),
+p AS (SELECT e.doc_id, e.lang, e.leaf, CAST(0 AS BIGINT) AS step, CAST(e.i AS BIGINT) AS i, '' AS proof,
+             coalesce(e.changed, e.leaf) AS node, false AS top FROM e
+      UNION ALL
+      SELECT p.doc_id, p.lang, p.leaf, CASE WHEN p.top OR len(l.h) > 1 THEN p.step + 1 ELSE 0 END,
+             CASE WHEN p.top OR len(l.h) > 1 THEN p.i // 8 ELSE s.i END,
+             p.proof || CASE WHEN p.top THEN array_to_string(t.h[p.i // 8 * 8 + 1 : p.i], '') || array_to_string(t.h[p.i + 2 : p.i // 8 * 8 + 8], '')
+                             WHEN len(l.h) > 1 THEN array_to_string(l.h[p.i // 8 * 8 + 1 : p.i], '') || array_to_string(l.h[p.i + 2 : p.i // 8 * 8 + 8], '')
+                             ELSE '' END,
+             CASE WHEN p.top THEN sha256(array_to_string(t.h[p.i // 8 * 8 + 1 : p.i], '') || p.node || array_to_string(t.h[p.i + 2 : p.i // 8 * 8 + 8], ''))
+                  WHEN len(l.h) > 1 THEN sha256(array_to_string(l.h[p.i // 8 * 8 + 1 : p.i], '') || p.node || array_to_string(l.h[p.i + 2 : p.i // 8 * 8 + 8], ''))
+                  ELSE p.node END,
+             p.top OR len(l.h) = 1
+      FROM p LEFT JOIN l ON NOT p.top AND l.lang IS NOT DISTINCT FROM p.lang AND l.level = p.step
+             LEFT JOIN s ON s.lang IS NOT DISTINCT FROM p.lang
+             LEFT JOIN t ON p.top AND t.level = p.step
+      WHERE NOT p.top OR len(t.h) > 1)
+SELECT p.doc_id, p.leaf, s.subroot, r.root, sha256(p.proof) AS proof_sha256, p.node AS folded_root, p.node = r.root AS verified
+FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN t ON t.level = p.step AND len(t.h) = 1 CROSS JOIN r WHERE p.top"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_url_filters": url_filter.oracle_sql(),
     "op8_minhash_near_dedup": _OP8_SQL,
     "op10_exact_topk": _OP10_SQL,
+    "op11_merkle_manifest": _OP11_SQL,
 }
