@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsengine.llm import (decontaminate, html_text, kneser_ney, language_id, merkle, near_dup, piece_sampling,
-                          private_spans, token_counts, topk, url_filter)
-from tsengine.llm._common import bound_batches
+                          private_spans, token_counts, topk, url_filter, variants)
+from tsengine.llm._common import bound_batches, save_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,6 +132,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of every frequent word, with planted misspellings."""
+    runs = variants.runs(_table(spark, sf_dir, "documents"), "doc_id", "text", variants.MIN_LENGTH)
+    words = variants.count_words(runs.select(variants.damaged(F.col("id"), F.col("run"), 199).alias("word")))
+    return variants.group(save_table(words, "vocabulary"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_pii": op2_pii,
@@ -144,6 +151,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_exact_topk": op10_exact_topk,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # Every pair of documents that share a shingle, then reachability by id.
@@ -224,9 +232,36 @@ p AS (SELECT e.doc_id, e.lang, e.leaf, CAST(0 AS BIGINT) AS step, CAST(e.i AS BI
 SELECT p.doc_id, p.leaf, s.subroot, r.root, sha256(p.proof) AS proof_sha256, p.node AS folded_root, p.node = r.root AS verified
 FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN t ON t.level = p.step AND len(t.h) = 1 CROSS JOIN r WHERE p.top"""
 
+# Near words by their deletions: a replaced point leaves both words equal without it,
+# an inserted one leaves the longer word without it equal to the shorter.
+_OP13_SQL = f"""
+WITH RECURSIVE {_CRC_SQL.strip()},
+o AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')),
+             '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS w FROM documents WHERE text IS NOT NULL),
+g AS (SELECT doc_id, w, count(*) AS n FROM o GROUP BY ALL HAVING length(w) >= 6),
+c AS (SELECT w, n, {_crc("flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''), lambda x: "
+                         "CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, 128 + (unicode(x) & 63)] END))")} AS h
+      FROM g, bits),
+v AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word,
+             CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+x AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+      FROM v, unnest(range(1, length(word) + 1)) AS u(i)),
+p AS (SELECT a.word, b.word AS other FROM x a JOIN x b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+      UNION SELECT v.word, x.word FROM v JOIN x ON x.less = v.word
+      UNION SELECT x.word, v.word FROM v JOIN x ON x.less = v.word),
+f AS (SELECT p.word, p.other, o.n AS m, count(*) OVER (PARTITION BY p.word) AS n_near,
+             row_number() OVER (PARTITION BY p.word ORDER BY o.n DESC, encode(p.other)) AS k
+      FROM p JOIN v o ON o.word = p.other),
+r AS (SELECT v.word, v.n, coalesce(f.n_near, 0) AS n_near, CASE WHEN f.m >= 5 * v.n THEN f.other END AS form,
+             CASE WHEN f.m >= 5 * v.n THEN f.m END AS form_n FROM v LEFT JOIN f ON f.word = v.word AND f.k = 1),
+t AS (SELECT word, word AS at FROM r UNION ALL SELECT t.word, r.form FROM t JOIN r ON r.word = t.at WHERE r.form IS NOT NULL)
+SELECT r.word, r.form, t.at AS root, r.n, r.n_near, r.form_n
+FROM r JOIN t ON t.word = r.word JOIN r z ON z.word = t.at AND z.form IS NULL"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_url_filters": url_filter.oracle_sql(),
     "op8_minhash_near_dedup": _OP8_SQL,
     "op10_exact_topk": _OP10_SQL,
     "op11_merkle_manifest": _OP11_SQL,
+    "op13_spelling_variants": _OP13_SQL,
 }
