@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsengine.llm import (decontaminate, html_text, kneser_ney, language_id, merkle, near_dup, piece_sampling,
-                          private_spans, token_counts, topk, url_filter, variants)
+                          private_spans, quality, token_counts, topk, url_filter, variants)
 from tsengine.llm._common import bound_batches, save_table
 
 
@@ -132,6 +132,18 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document under the rules learnt from the training labels."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+
+    def out(key):  # a null id counts as empty text
+        return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % 5 == 0
+
+    model = quality.fit(docs, labels, ~out(F.col("key")))
+    scored = quality.score(docs, model, "text", {"doc_id": docs["doc_id"], "held_out": out(docs["doc_id"])})
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near words, forms and roots of every frequent word, with planted misspellings."""
     runs = variants.runs(_table(spark, sf_dir, "documents"), "doc_id", "text", variants.MIN_LENGTH)
@@ -151,6 +163,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_exact_topk": op10_exact_topk,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_quality_classifier": op12_quality_classifier,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
