@@ -49,8 +49,20 @@ NATIVE = frozenset({
     "first_location_of_maximum", "last_location_of_maximum",
     "first_location_of_minimum", "last_location_of_minimum",
     "has_duplicate_max", "has_duplicate_min", "linear_trend",
+    "has_duplicate", "percentage_of_reoccurring_values_to_all_values",
+    "percentage_of_reoccurring_datapoints_to_all_datapoints", "sum_of_reoccurring_values",
+    "sum_of_reoccurring_data_points", "ratio_value_number_to_time_series_length",
 })
 
+# Of these, the ones that count occurrences of values: running sums over an
+# expanding window (where an occurrence, once there, stays), but not over a frame.
+OCCURRENCE = frozenset({
+    "has_duplicate", "percentage_of_reoccurring_values_to_all_values",
+    "percentage_of_reoccurring_datapoints_to_all_datapoints", "sum_of_reoccurring_values",
+    "sum_of_reoccurring_data_points", "ratio_value_number_to_time_series_length",
+})
+FRAMED = NATIVE - OCCURRENCE
+
 DEFAULT_BLOCK_SECONDS = 7 * 86_400
 _ISCLOSE_ATOL = 1e-8  # absolute tolerance under which a variance counts as zero
 
@@ -174,6 +186,8 @@ def native_features(series: DataFrame, specs: Sequence[tuple], variable: str = "
     rows = rows.withColumn("_pos", F.col("_before") + F.col("_i"))
 
     plan = _Plan(specs, terms, K)
+    if plan.calcs & OCCURRENCE:
+        rows = _with_occurrence(rows)
     row_terms = plan.row_terms()
     rows = rows.select("_v", "_b", "_t", "_pos", "_x", "_series_head",
                        *[F.col(f"_lag{k}") for k in range(1, K + 1)],
@@ -216,6 +230,18 @@ def native_features(series: DataFrame, specs: Sequence[tuple], variable: str = "
     return _feature_rows(rows, plan, accc, variable, order)
 
 
+def _with_occurrence(rows: DataFrame) -> DataFrame:
+    """Adds ``_occ``: the how-manieth occurrence of its value in the series a row
+    is.  Counted inside time blocks and completed from a table of one row a value
+    and block, so a value that fills a series is split like the series."""
+    inside = Window.partitionBy("_v", "_x", "_b").orderBy("_t")
+    counts = rows.groupBy("_v", "_x", "_b").agg(F.count(F.lit(1)).alias("_here"))
+    earlier = Window.partitionBy("_v", "_x").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_v", "_x", "_b", F.coalesce(F.sum("_here").over(earlier), F.lit(0)).alias("_there"))
+    rows = rows.withColumn("_nth", F.row_number().over(inside)).join(counts, ["_v", "_x", "_b"])
+    return rows.withColumn("_occ", F.col("_nth") + F.col("_there")).drop("_nth", "_there")
+
+
 def _feature_rows(rows: DataFrame, plan: "_Plan", accc: dict[str, Column], variable: str, order: str) -> DataFrame:
     """Long features from rows that hold the windows' sums."""
     terms = plan.t
@@ -404,6 +430,16 @@ class _Plan:
             out["sdd"] = F.coalesce(t.mul(diff, diff), zero)
         if "linear_trend" in calcs:
             out["sxi"] = t.mul(d, F.col("_pos").cast(t.num_type))
+        if calcs & OCCURRENCE:
+            # a value counts once it occurs again: with its second occurrence
+            # both points come in, with every further one that point
+            nth = F.col("_occ")
+            again = F.when(nth == 2, F.lit(2)).when(nth > 2, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+            out["kinds"] = F.when(nth == 1, one).otherwise(0)
+            out["rkinds"] = F.when(nth == 2, one).otherwise(0)
+            out["rpoints"] = again
+            out["rkindsum"] = F.when(nth == 2, u).otherwise(zero)
+            out["rpointsum"] = t.mul(u, again.cast(t.num_type))
         x = F.col("_x")
         for calc, params, _ in self.specs:
             if calc == "c3":
@@ -562,6 +598,18 @@ class _Plan:
                 v = _dbl(acc[self.safe(f"cb_{params['t']}")]) / n
             elif calc == "number_crossing_m":
                 v = _dbl(acc[self.safe(f"nc_{params['m']}")])
+            elif calc == "has_duplicate":
+                v = (_dbl(acc["kinds"]) < n).cast("double")
+            elif calc == "percentage_of_reoccurring_values_to_all_values":
+                v = _dbl(acc["rkinds"]) / _dbl(acc["kinds"])
+            elif calc == "percentage_of_reoccurring_datapoints_to_all_datapoints":
+                v = _dbl(acc["rpoints"]) / n
+            elif calc == "sum_of_reoccurring_values":
+                v = S("rkindsum", 1)
+            elif calc == "sum_of_reoccurring_data_points":
+                v = S("rpointsum", 1)
+            elif calc == "ratio_value_number_to_time_series_length":
+                v = _dbl(acc["kinds"]) / n
             elif calc == "linear_trend":
                 v = self._linear_trend(params["attr"], acc, n, nD, a2, mean)
             elif calc == "first_location_of_maximum":

@@ -5,10 +5,13 @@ row per window end and feature, plus (``include_raw``) the window's own last
 value as a feature named exactly like the variable.  Data stays long; pivot
 only what survives selection (``operators.align.pivot_features``).
 
-Two engines share the work:
+Three engines share the work:
 
 * running-sum features (``functions.native``): Spark window + aggregate
   expressions over time blocks, exact for fixed-point input;
+* order statistics and counts beside moving thresholds (``functions.ordered``):
+  questions that descend a tree of value ranks level by level, joins and
+  windows over blocks only;
 * array features (``functions.arrays``): ``applyInPandas`` on
   ``(variable, block)`` groups.  An expanding window needs every earlier
   value, so a block's group also receives the rows of earlier blocks of the
@@ -30,7 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsengine.functions.arrays import CALCULATORS, window_values
-from tsengine.functions.native import DEFAULT_BLOCK_SECONDS, NATIVE, bounded_native, native_features
+from tsengine.functions.native import DEFAULT_BLOCK_SECONDS, FRAMED, NATIVE, bounded_native, native_features
+from tsengine.functions.ordered import ORDERED, ordered_features
 from tsengine.functions.settings import feature_specs
 from tsengine.operators.roll import prepare_series, with_positions
 from tsengine.session import materialize
@@ -81,7 +85,10 @@ def _expanding(series, specs, include_raw, variable, order, value, block_seconds
     if native_specs:
         nat = native_features(series, native_specs, variable, order, value, block_seconds)
         parts.append(nat)
-    array_specs = [s for s in specs if s[0] not in NATIVE]
+    ordered_specs = [s for s in specs if s[0] in ORDERED]
+    if ordered_specs:
+        parts.append(ordered_features(series, ordered_specs, variable, order, value, block_seconds))
+    array_specs = [s for s in specs if s[0] not in NATIVE and s[0] not in ORDERED]
     if array_specs:
         parts.append(array_features(series, array_specs, variable, order, value, block_seconds))
     if include_raw:
@@ -155,10 +162,10 @@ def bounded_features(series: DataFrame, specs: Sequence[tuple], max_timeshift: i
     rows = series.select(F.col(variable).alias("_v"), F.col(order).alias("_t"), F.col(value).alias("_x"))
     rows = with_positions(rows, "_t", ["_v"], block_seconds, "_pos")
     parts = []
-    framed = [s for s in specs if s[0] in NATIVE]
+    framed = [s for s in specs if s[0] in FRAMED]
     if framed:
         parts.append(bounded_native(rows, framed, series.schema[value].dataType, m, min_timeshift, B, variable, order))
-    specs = [s for s in specs if s[0] not in NATIVE]
+    specs = [s for s in specs if s[0] not in FRAMED]
     if specs:
         parts.append(_bounded_arrays(rows, specs, m, min_timeshift, B, variable, order))
     if include_raw:

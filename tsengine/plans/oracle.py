@@ -389,6 +389,8 @@ w AS (
          {qcols}
   FROM s WINDOW w AS (PARTITION BY variable ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 {qrows}"""
+    q["q48_moving_thresholds"] = _with(TICKS, _aligned("al", R.HOUR)) + _thresholds_sql("al")
+    q["q49_reoccurring_values"] = _with(TICKS, _aligned("al", R.HOUR)) + _reoccurring_sql("al")
     dec = {"q01_time_range_scan": list(_METRICS), "q05_resample_last": list(_METRICS),
            "q06_resample_dense_anchor": list(_METRICS),
            "q07_wide_left_join": [f"{m}" if r == 0 else f"{m} {c}" for r, c in enumerate(_COINS) for m in _METRICS],
@@ -487,6 +489,60 @@ w AS (
 {rows}"""
 
 
+def _thresholds_sql(src: str) -> str:
+    """Every window's rows against its own mean and deviation, by a self-join."""
+    rs = [p["r"] for p in R.SHARES["ratio_beyond_r_sigma"]]
+    looks = [p["r"] for p in R.SHARES["symmetry_looking"]]
+    counts = ",\n         ".join(f"count(*) FILTER (WHERE b.x > a.mean + CAST({r!r} AS DOUBLE) * a.std "
+                                 f"OR b.x < a.mean - CAST({r!r} AS DOUBLE) * a.std) AS k{i}" for i, r in enumerate(rs))
+    items = [("count_above_mean", "above"), ("count_below_mean", "below")]
+    items += [(f"ratio_beyond_r_sigma__r_{r}", f"CAST(k{i} AS DOUBLE) / n") for i, r in enumerate(rs)]
+    items += [(f"symmetry_looking__r_{r}", f"CASE WHEN abs(mean - med) < CAST({r!r} AS DOUBLE) * (mx - mn) THEN 1.0 ELSE 0.0 END")
+              for r in looks]
+    rows = "\nUNION ALL ".join(
+        f"SELECT variable, datetime, variable || '__{name}' AS feature, round(CAST({expr} AS DOUBLE), 9) AS value FROM j"
+        for name, expr in items)
+    return f""", s AS (
+  SELECT variable, datetime, CAST(value AS DOUBLE) AS x, CAST(value * 100 AS HUGEINT) AS u,
+         row_number() OVER (PARTITION BY variable ORDER BY datetime) AS pos FROM {src} WHERE value IS NOT NULL),
+w AS (
+  SELECT *, CAST(count(*) OVER w AS DOUBLE) AS n, sum(u) OVER w AS s1, sum(u * u) OVER w AS s2, max(x) OVER w AS mx,
+         min(x) OVER w AS mn, median(x) OVER w AS med
+  FROM s WINDOW w AS (PARTITION BY variable ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+m AS (
+  SELECT *, CAST(s1 AS DOUBLE) / (n * CAST(100.0 AS DOUBLE)) AS mean,
+         sqrt(CAST(CAST(n AS HUGEINT) * s2 - s1 * s1 AS DOUBLE) / (n * n * CAST(10000.0 AS DOUBLE))) AS std FROM w),
+j AS (
+  SELECT a.variable, a.datetime, a.n, a.mean, a.med, a.mx, a.mn,
+         count(*) FILTER (WHERE b.x > a.mean) AS above, count(*) FILTER (WHERE b.x < a.mean) AS below,
+         {counts}
+  FROM m a JOIN s b ON b.variable = a.variable AND b.pos <= a.pos
+  GROUP BY a.variable, a.datetime, a.n, a.mean, a.med, a.mx, a.mn)
+{rows}"""
+
+
+def _reoccurring_sql(src: str) -> str:
+    """Values of every window counted by a self-join."""
+    items = [("has_duplicate", "CASE WHEN kinds < n THEN 1.0 ELSE 0.0 END"),
+             ("percentage_of_reoccurring_values_to_all_values", "CAST(again AS DOUBLE) / kinds"),
+             ("percentage_of_reoccurring_datapoints_to_all_datapoints", "CAST(points AS DOUBLE) / n"),
+             ("sum_of_reoccurring_values", "CAST(ksum AS DOUBLE) / 100"),
+             ("sum_of_reoccurring_data_points", "CAST(psum AS DOUBLE) / 100"),
+             ("ratio_value_number_to_time_series_length", "CAST(kinds AS DOUBLE) / n")]
+    rows = "\nUNION ALL ".join(
+        f"SELECT variable, datetime, variable || '__{name}' AS feature, round(CAST({expr} AS DOUBLE), 9) AS value FROM j"
+        for name, expr in items)
+    return f""", s AS (
+  SELECT variable, datetime, CAST(value * 100 AS HUGEINT) AS u,
+         row_number() OVER (PARTITION BY variable ORDER BY datetime) AS pos FROM {src} WHERE value IS NOT NULL),
+c AS (SELECT a.variable, a.datetime, b.u, count(*) AS c FROM s a JOIN s b ON b.variable = a.variable AND b.pos <= a.pos
+      GROUP BY a.variable, a.datetime, b.u),
+j AS (SELECT variable, datetime, sum(c) AS n, count(*) AS kinds, count(*) FILTER (WHERE c > 1) AS again,
+             coalesce(sum(c) FILTER (WHERE c > 1), 0) AS points, coalesce(sum(u) FILTER (WHERE c > 1), 0) AS ksum,
+             coalesce(sum(u * c) FILTER (WHERE c > 1), 0) AS psum FROM c GROUP BY variable, datetime)
+{rows}"""
+
+
 def _native_base(name: str, src: str) -> str:
     """Running exact sums on unscaled integers ``u`` (value x 100) per window end."""
     lags = ", ".join(f"lag(u, {k}) OVER o AS l{k}" for k in range(1, 7))

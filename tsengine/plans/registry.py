@@ -404,10 +404,28 @@ QUANTILES = {"median": None, "quantile": [{"q": q} for q in [.1, .2, .3, .4, .6,
 
 
 def q43_running_quantiles(spark, sf):
-    """Running median and quantiles (array path: sorted prefix per series block)."""
+    """Running median and quantiles (descent of a tree of value ranks)."""
     return _rounded(_features(spark, sf, QUANTILES))
 
 
+SHARES = {k: EFFICIENT[k] for k in ("count_above_mean", "count_below_mean", "ratio_beyond_r_sigma", "symmetry_looking")}
+
+
+def q48_moving_thresholds(spark, sf):
+    """Counts above and below the running mean, beyond r running deviations; mean beside median."""
+    return _rounded(_features(spark, sf, SHARES))
+
+
+REOCCURRING = {k: None for k in ("has_duplicate", "percentage_of_reoccurring_values_to_all_values",
+                                 "percentage_of_reoccurring_datapoints_to_all_datapoints", "sum_of_reoccurring_values",
+                                 "sum_of_reoccurring_data_points", "ratio_value_number_to_time_series_length")}
+
+
+def q49_reoccurring_values(spark, sf):
+    """Distinct and repeated values of expanding windows."""
+    return _rounded(_features(spark, sf, REOCCURRING))
+
+
 def q01_time_range_scan(spark, sf):
     return as_double(_q01_time_range_scan(spark, sf))
 
