@@ -168,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id",
     labelled rows must meet."""
     chosen, names = _sample(docs, labels, key, text, label, train, rows)
     # the sample is bounded: one sorted file makes the fit the same on any cluster
-    chosen = save_table(chosen.coalesce(1).sortWithinPartitions("key", "label", *names), "quality-sample")
+    chosen = save_table(chosen.repartition(1).sortWithinPartitions("key", "label", *names), "quality-sample")
     counts = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
     if len(counts) < 2:
         ones, total = counts.get(1.0, 0), sum(counts.values())
