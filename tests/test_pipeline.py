@@ -63,7 +63,7 @@ def test_stats_fixtures():
         aa = [vals[i] for i in comb]
         bb = [vals[i] for i in range(7) if i not in comb]
         tot += 1
-        hits += ks_2samp(aa, bb, exact_max_n=0)[0] >= d - 1e-12
+        hits += ks_2samp(aa, bb, method="asymptotic")[0] >= d - 1e-12
     assert p == pytest.approx(hits / tot)
 
 
@@ -215,3 +215,56 @@ def test_enough_features_counts_the_label():
     from tsengine.operators.select import enough_features
     assert not enough_features(["a", "b", "c", "d", "y_future"])
     assert enough_features(["a", "b", "c", "d", "e", "y_future"])
+
+
+def _cells(spark, columns, y):
+    """Long matrix and target of named columns."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(hours=i), name, float(x)) for name, xs in columns.items() for i, x in enumerate(xs)]
+    ys = [(start + dt.timedelta(hours=i), float(v)) for i, v in enumerate(y)]
+    return (spark.createDataFrame(rows, "datetime timestamp, feature string, value double").repartition(5),
+            spark.createDataFrame(ys, "datetime timestamp, y_future double"))
+
+
+@pytest.mark.parametrize("fan,block_rows", [(2, 7), (32, 4096)])
+def test_relevance_by_blocked_counts_matches_the_whole_column(spark, monkeypatch, fan, block_rows):
+    from tsengine.functions import ordered
+    from tsengine.operators.select import relevance_table
+    monkeypatch.setattr(ordered, "FAN", fan)
+    rng = np.random.default_rng(8)
+    n = 60
+    y = rng.integers(0, 12, n) / 4
+    columns = {"real": rng.normal(size=n), "ties": rng.integers(0, 4, n), "follows": y + rng.normal(size=n) / 9, "up": np.arange(n),
+               "binary": rng.integers(0, 2, n) * 5 - 2, "binary_follows": (y > 1.4), "constant": np.full(n, 3.0)}
+    got = {r["feature"]: r for r in relevance_table(*_cells(spark, columns, y), block_rows=block_rows).collect()}
+    assert set(got) == set(columns) and all(r["n"] == n for r in got.values())
+    assert got["constant"]["type"] == "constant" and got["constant"]["stat"] is None and got["constant"]["p_value"] is None
+    for name in ("real", "ties", "follows", "up"):
+        tau, p = kendall_tau_b(columns[name], y)
+        assert got[name]["type"] == "real" and got[name]["stat"] == pytest.approx(tau) and got[name]["p_value"] == pytest.approx(p)
+    for name in ("binary", "binary_follows"):
+        x = np.asarray(columns[name], float)
+        d, p = ks_2samp(y[x == x.min()], y[x == x.max()])
+        assert got[name]["type"] == "binary" and got[name]["stat"] == pytest.approx(d) and got[name]["p_value"] == pytest.approx(p)
+
+
+def test_relevance_without_pairs_and_ks_rule_by_parameter(spark):
+    from tsengine.operators.select import relevance_table
+    matrix, target = _cells(spark, {"a": [1, 2], "b": [0, 0]}, [1, 1])
+    got = {r["feature"]: r for r in relevance_table(matrix, target).collect()}
+    assert got["a"]["type"] == "binary" and got["a"]["stat"] == 0 and got["b"]["type"] == "constant"
+    assert relevance_table(matrix.where("false"), target).collect() == []
+    matrix, target = _cells(spark, {"a": [0, 0, 0, 1, 1, 1, 1]}, [1, 2, 3, 4, 5, 6, 7])
+    exact, limit = (relevance_table(matrix, target, ks_method=m).first()["p_value"] for m in ("exact", "asymptotic"))
+    assert exact == pytest.approx(2 / 35) and limit != pytest.approx(exact)
+
+
+def test_report_says_whether_enough_is_left(spark):
+    from tsengine.operators.select import with_enough
+    def report(relevant, keep):
+        rows = [(f"f{i}", i < relevant) for i in range(8)]
+        out = with_enough(spark.createDataFrame(rows, "feature string, relevant boolean"), keep).collect()
+        assert sum(r["kept"] for r in out) == len({f"f{i}" for i in range(relevant)} | (set(keep) & {r["feature"] for r in out}))
+        return {r["enough"] for r in out}
+    assert report(4, []) == {False} and report(5, []) == {True}          # with the label 5 and 6
+    assert report(4, ["f1"]) == {False} and report(4, ["f7"]) == {True} and report(3, ["f7", "f6"]) == {True}

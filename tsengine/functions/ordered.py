@@ -40,7 +40,7 @@ BLOCK_ROWS = 4096
 
 ORDERED = frozenset({"median", "quantile", "symmetry_looking", "count_above_mean", "count_below_mean",
                      "ratio_beyond_r_sigma"})
-_SELECT, _COUNT = 0, 1
+SELECT, COUNT = 0, 1
 
 
 def levels_for(rows: int) -> int:
@@ -99,9 +99,9 @@ def _descend(points: DataFrame, asked: DataFrame, width: int, block_rows: int) -
     before = F.array(F.lit(0).cast("bigint"), *[F.col(c) + F.col(f"{c}p") for c in upto])
     counted = counted.select("_v", "_pos", "_ask", "_kind", "_arg", "_sum", "_node", before.alias("_before"))
     wanted = F.size(F.filter(F.slice("_before", 2, FAN - 1), lambda n: n <= F.col("_arg")))
-    child = F.when(F.col("_kind") == _SELECT, wanted).otherwise((F.floor(F.col("_arg") / width) % FAN).cast("int"))
+    child = F.when(F.col("_kind") == SELECT, wanted).otherwise((F.floor(F.col("_arg") / width) % FAN).cast("int"))
     counted = counted.withColumn("_child", child).withColumn("_less", F.element_at("_before", F.col("_child") + 1))
-    select = F.col("_kind") == _SELECT
+    select = F.col("_kind") == SELECT
     return counted.select("_v", "_pos", "_ask", "_kind",
                           F.when(select, F.col("_arg") - F.col("_less")).otherwise(F.col("_arg")).alias("_arg"),
                           (F.col("_node") * FAN + F.col("_child")).cast("bigint").alias("_node"),
@@ -117,7 +117,7 @@ def threshold_ranks(points: DataFrame, thresholds: DataFrame) -> DataFrame:
             .unionByName(thresholds.select("_v", "_at", F.when(F.col("_inclusive"), 1).otherwise(-1).alias("_side"),
                                            F.lit(0).alias("_w"), "_pos", "_ask")))
     ranked = running_sum(both, ["_v"], ["_at", "_side"], "_w", "_arg")
-    return ranked.where("_side <> 0").select("_v", "_pos", "_ask", F.lit(_COUNT).alias("_kind"), "_arg")
+    return ranked.where("_side <> 0").select("_v", "_pos", "_ask", F.lit(COUNT).alias("_kind"), "_arg")
 
 
 def _places(q: Column) -> tuple[Column, Column]:
@@ -150,7 +150,7 @@ def ordered_features(series: DataFrame, specs: Sequence[tuple], variable: str =
     if asks:
         wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("_ask"), k.cast("bigint").alias("_arg")) for i, k in asks]))
         questions.append(ends.select("_v", "_pos", wanted.alias("_w")).select(
-            "_v", "_pos", "_w._ask", F.lit(_SELECT).alias("_kind"), "_w._arg"))
+            "_v", "_pos", "_w._ask", F.lit(SELECT).alias("_kind"), "_w._arg"))
     bounds = _bounds(specs)
     if bounds:
         first = 2 * len(quantiles)
@@ -162,9 +162,9 @@ def ordered_features(series: DataFrame, specs: Sequence[tuple], variable: str =
     every = questions[0] if len(questions) == 1 else questions[0].unionByName(questions[1])
     answers = answer(points, materialize(every), levels, block_rows)
     # a selected node is a rank: look its value up; a count is the answer itself
-    found = (answers.where(F.col("_kind") == _SELECT).select("_v", "_pos", "_ask", F.col("_node").alias("_r"))
+    found = (answers.where(F.col("_kind") == SELECT).select("_v", "_pos", "_ask", F.col("_node").alias("_r"))
              .join(points.select("_v", "_r", "_xd"), ["_v", "_r"]).select("_v", "_pos", "_ask", F.col("_xd").alias("_y"))
-             .unionByName(answers.where(F.col("_kind") == _COUNT).select("_v", "_pos", "_ask", F.col("_sum").cast("double").alias("_y"))))
+             .unionByName(answers.where(F.col("_kind") == COUNT).select("_v", "_pos", "_ask", F.col("_sum").cast("double").alias("_y"))))
     n_asks = 2 * len(quantiles) + len(bounds)
     wide = found.groupBy("_v", "_pos").agg(*[F.max(F.when(F.col("_ask") == i, F.col("_y"))).alias(f"_a{i}") for i in range(n_asks)])
     wide = wide.join(ends if moments is None else moments, ["_v", "_pos"])

@@ -127,14 +127,8 @@ def kendall_tau_b(x, y):
 # -- two-sample Kolmogorov-Smirnov -------------------------------------------------
 
 
-def ks_2samp(a, b, exact_max_n: int = 10_000):
-    """Two-sided two-sample KS: ``(D, p)``.
-
-    Exact p when both samples have at most ``exact_max_n`` values: the
-    probability that a uniformly random monotone lattice path from (0,0) to
-    (n1,n2) reaches ``|i*n2 - j*n1| >= h`` (integer comparisons, no float
-    ties); otherwise the Kolmogorov limit with the effective-n correction.
-    """
+def ks_2samp(a, b, method: str = "exact"):
+    """Two-sided two-sample KS: ``(D, p)``, see :func:`ks_p_value`."""
     a = np.sort(np.asarray(a, dtype=float))
     b = np.sort(np.asarray(b, dtype=float))
     n1, n2 = len(a), len(b)
@@ -144,11 +138,23 @@ def ks_2samp(a, b, exact_max_n: int = 10_000):
     cdf1 = np.searchsorted(a, allv, side="right").astype(np.int64)
     cdf2 = np.searchsorted(b, allv, side="right").astype(np.int64)
     h = int(np.max(np.abs(cdf1 * n2 - cdf2 * n1)))
-    d = h / (n1 * n2)
-    if max(n1, n2) <= exact_max_n:
-        return d, _ks_exact_p(n1, n2, h)
+    return h / (n1 * n2), ks_p_value(n1, n2, h, method)
+
+
+def ks_p_value(n1: int, n2: int, h: int, method: str = "exact") -> float:
+    """p of the distance ``D = h / (n1 n2)``.
+
+    ``exact``: the probability that a uniformly random monotone lattice path
+    from (0,0) to (n1,n2) reaches ``|i*n2 - j*n1| >= h`` (integer comparisons, no
+    float ties), by a sweep over its diagonals; ``asymptotic``: the Kolmogorov
+    limit with the effective-n correction.  The caller chooses; sizes do not.
+    """
+    if method == "exact":
+        return _ks_exact_p(n1, n2, h)
+    if method != "asymptotic":
+        raise ValueError(f"method must be 'exact' or 'asymptotic': {method!r}")
     en = math.sqrt(n1 * n2 / (n1 + n2))
-    return d, _kolmogorov_q((en + 0.12 + 0.11 / en) * d)
+    return _kolmogorov_q((en + 0.12 + 0.11 / en) * h / (n1 * n2))
 
 
 def _ks_exact_p(n1: int, n2: int, h: int) -> float:

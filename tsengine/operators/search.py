@@ -13,9 +13,12 @@ Parameter mapping from the reference's booster names:
 (a fraction, applied per split rather than per tree),
 ``min_child_weight -> minInstancesPerNode`` (rounded up to whole rows; the
 trials table holds the value used), ``gamma -> minInfoGain``.  A value out of
-range raises.  ``lambda``, ``alpha``, ``num_parallel_tree`` and
-``grow_policy`` have no equivalent; they are recorded in the trials table
-and otherwise ignored.
+range raises.  ``lambda``, ``alpha``, ``num_parallel_tree`` and ``grow_policy``
+have no equivalent: a draw or search space that names one raises, and the default
+spaces leave them out (``mapped``).
+
+``sampled_search`` proposes draws that learn from finished trials
+(``operators.parzen``).  Searches stop boosting early by default.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tsengine.operators.parzen import START, draw_uniform, propose
 from tsengine.operators.split import time_folds, time_split
 
 # The reference's random-search grid and sampled-search space.
@@ -55,6 +59,7 @@ DEFAULT_SPACE = {
 }
 EVAL_METRICS = ("mae", "rmse", "mape")
 PATIENCE = 25   # rounds without a gain before boosting stops
+VALIDATION = 0.2   # tail of the training rows that boosting is stopped by
 UNMAPPED = ("lambda", "alpha", "num_parallel_tree", "grow_policy")
 
 TRIALS_SCHEMA = T.StructType([
@@ -63,8 +68,20 @@ TRIALS_SCHEMA = T.StructType([
     T.StructField("metric", T.DoubleType())])
 
 
+def mapped(space: dict) -> dict:
+    """``space`` without the parameters that have no equivalent here."""
+    return {k: v for k, v in space.items() if k not in UNMAPPED}
+
+
+def refuse_unmapped(params: dict) -> None:
+    refused = sorted(set(params) & set(UNMAPPED))
+    if refused:
+        raise ValueError(f"no equivalent in GBTRegressor: {refused}")
+
+
 def gbt_params(params: dict, max_iter: int = 100) -> dict:
     """Booster parameter names -> ``GBTRegressor`` keyword arguments."""
+    refuse_unmapped(params)
     out = {"maxIter": int(max_iter)}
     if "learning_rate" in params:
         out["stepSize"] = float(params["learning_rate"])
@@ -171,58 +188,60 @@ def _draw_grid(grid: dict, n_iter: int, seed: int) -> list[dict]:
     return out
 
 
-def _draw_space(space: dict, n: int, seed: int) -> list[dict]:
-    rng = random.Random(seed)
-    out = []
-    for _ in range(n):
-        d = {}
-        for k in sorted(space):
-            kind, lo, hi = space[k]
-            if kind == "log":
-                d[k] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-            elif kind == "int":
-                d[k] = rng.randint(lo, hi)
-            else:
-                d[k] = rng.uniform(lo, hi)
-        out.append(d)
-    return out
-
+class _Trials:
+    """Runs draws on time-ordered folds; one row a draw and fold."""
 
-def _run_trials(spark: SparkSession, matrix: DataFrame, features: Sequence[str], draws: list[dict],
-                n_splits: int, label: str, order: str, max_iter: int, parallelism: int,
-                objective: str, validation_fraction: float | None, eval_metric: str) -> DataFrame:
-    check_metric(eval_metric)
-    for d in draws:      # an impossible draw raises before the first fit
-        gbt_params(d, max_iter)
-    data = matrix.select(order, label, "features")
-    folds = time_folds(data, order, n_splits).persist()
-    jobs = [(t, f) for t in range(len(draws)) for f in range(n_splits)]
+    def __init__(self, matrix: DataFrame, n_splits: int, label: str, order: str, max_iter: int, parallelism: int,
+                 objective: str, validation_fraction: float | None, eval_metric: str):
+        self.n_splits, self.label, self.order, self.max_iter = n_splits, label, order, max_iter
+        self.parallelism, self.objective = max(1, parallelism), objective
+        self.validation_fraction, self.eval_metric = validation_fraction, check_metric(eval_metric)
+        self.folds = time_folds(matrix.select(order, label, "features"), order, n_splits).persist()
+        self.rows: list[tuple] = []
+        self.draws: list[dict] = []
 
-    def run(job):
+    def _run(self, job):
         t, f = job
-        fold = folds.filter(F.col("fold") == f)
+        fold = self.folds.filter(F.col("fold") == f)
         train = fold.filter(F.col("role") == "train")
-        model = fit_gbt(train, draws[t], label, max_iter=max_iter, validation_fraction=validation_fraction,
-                        order=order)
-        scored = train if objective == "train" else fold.filter(F.col("role") == "test")
-        return (t, f, effective_params(draws[t]), -evaluation(predict(model, scored, order, label), eval_metric))
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(run, jobs))
-    finally:
-        folds.unpersist()
-    return spark.createDataFrame(rows, TRIALS_SCHEMA)
-
-
-def _search(spark, matrix, features, draws, n_splits, label, order, max_iter, parallelism, objective,
+        model = fit_gbt(train, self.draws[t], self.label, max_iter=self.max_iter,
+                        validation_fraction=self.validation_fraction, order=self.order)
+        scored = train if self.objective == "train" else fold.filter(F.col("role") == "test")
+        return (t, f, effective_params(self.draws[t]),
+                -evaluation(predict(model, scored, self.order, self.label), self.eval_metric))
+
+    def run(self, draws: list[dict]) -> None:
+        for d in draws:      # an impossible draw raises before the first fit
+            gbt_params(d, self.max_iter)
+        first = len(self.draws)
+        self.draws += draws
+        jobs = [(t, f) for t in range(first, len(self.draws)) for f in range(self.n_splits)]
+        with ThreadPoolExecutor(max_workers=self.parallelism) as pool:
+            self.rows += list(pool.map(self._run, jobs))
+
+    def finished(self) -> list[tuple[dict, float]]:
+        """Every draw with its mean score over the folds."""
+        scores: dict[int, list[float]] = {}
+        for t, _, _, score in self.rows:
+            scores.setdefault(t, []).append(score)
+        return [(self.draws[t], sum(x) / len(x)) for t, x in sorted(scores.items())]
+
+
+def _search(spark, matrix, features, next_draws, n_splits, label, order, max_iter, parallelism, objective,
             validation_fraction, eval_metric):
+    """``next_draws(finished)`` gives the next draws to run, none at the end."""
     data = assemble(matrix, features).persist()
     try:
-        trials = _run_trials(spark, data, features, draws, n_splits, label, order, max_iter, parallelism, objective,
-                             validation_fraction, eval_metric)
-        params = draws[best_trial(trials).first()["trial"]]
-        return trials, params, fit_gbt(data, params, label, max_iter=max_iter)
+        trials = _Trials(data, n_splits, label, order, max_iter, parallelism, objective, validation_fraction, eval_metric)
+        try:
+            while draws := next_draws(trials.finished()):
+                trials.run(draws)
+        finally:
+            trials.folds.unpersist()
+        table = spark.createDataFrame(trials.rows, TRIALS_SCHEMA)
+        params = trials.draws[best_trial(table).first()["trial"]]
+        return table, params, fit_gbt(data, params, label, max_iter=max_iter, validation_fraction=validation_fraction,
+                                      order=order)
     finally:
         data.unpersist()
 
@@ -236,28 +255,51 @@ def best_trial(trials: DataFrame) -> DataFrame:
 def random_search(spark: SparkSession, matrix: DataFrame, features: Sequence[str], grid: dict | None = None,
                   n_iter: int = 20, n_splits: int = 5, label: str = "y_future", order: str = "datetime",
                   max_iter: int = 100, seed: int = 42, parallelism: int = 4,
-                  validation_fraction: float | None = None, eval_metric: str = "mae"):
+                  validation_fraction: float | None = VALIDATION, eval_metric: str = "mae"):
     """Random draws without replacement from ``grid``; returns ``(trials, best_params, refit_model)``.
 
     The score is the negative ``eval_metric`` on each fold's test rows;
-    ``validation_fraction`` turns on early stopping on the tail of each
-    training part (never on the fold's test rows).
+    boosting stops early on the last ``validation_fraction`` of each training
+    part (never on the fold's test rows); None turns that off.
     """
-    return _search(spark, matrix, features, _draw_grid(grid or DEFAULT_GRID, n_iter, seed), n_splits, label, order,
+    draws = _draw_grid(grid or mapped(DEFAULT_GRID), n_iter, seed)
+    return _search(spark, matrix, features, lambda finished: [] if finished else draws, n_splits, label, order,
                    max_iter, parallelism, "validation", validation_fraction, eval_metric)
 
 
 def sampled_search(spark: SparkSession, matrix: DataFrame, features: Sequence[str], space: dict | None = None,
                    n_trials: int = 50, n_splits: int = 5, label: str = "y_future", order: str = "datetime",
                    max_iter: int = 100, seed: int = 42, parallelism: int = 4, objective: str = "validation",
-                   validation_fraction: float | None = None, eval_metric: str = "mae"):
+                   validation_fraction: float | None = VALIDATION, eval_metric: str = "mae", sampler: str = "parzen",
+                   start: int = START, at_once: int = 1):
     """Log-uniform / uniform / integer draws from ``space``; same outputs as :func:`random_search`.
 
+    ``sampler='parzen'``: after ``start`` independent draws, each draw is proposed
+    from the scores of all finished trials; ``at_once`` draws are proposed and
+    run together (more are faster and learn later).  ``'independent'`` never
+    looks at scores.  The same seed and ``at_once`` propose the same draws for
+    the same scores.
+
     ``objective='train'`` scores each draw on its own training rows (the
     reference's objective: the last training metric); ``'validation'`` (default)
     scores it on the fold's later test rows.
     """
     if objective not in ("train", "validation"):
         raise ValueError("objective must be 'train' or 'validation'")
-    return _search(spark, matrix, features, _draw_space(space or DEFAULT_SPACE, n_trials, seed), n_splits, label,
+    if sampler not in ("parzen", "independent"):
+        raise ValueError("sampler must be 'parzen' or 'independent'")
+    if at_once < 1:
+        raise ValueError("at_once must be at least 1")
+    space = mapped(DEFAULT_SPACE) if space is None else space
+    refuse_unmapped(space)
+    rng = random.Random(seed)
+
+    def next_draws(finished):
+        left = n_trials - len(finished)
+        if len(finished) < start or sampler == "independent":
+            many = left if sampler == "independent" else min(left, start - len(finished))
+            return [draw_uniform(space, rng) for _ in range(many)]
+        return [propose(space, finished, rng, start) for _ in range(min(left, at_once))]
+
+    return _search(spark, matrix, features, next_draws, n_splits, label,
                    order, max_iter, parallelism, objective, validation_fraction, eval_metric)

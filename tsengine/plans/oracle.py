@@ -291,7 +291,8 @@ fdr AS (SELECT rel.*, rk.rank, adj.p_adj, coalesce(adj.p_adj <= {R.FDR_LEVEL}, f
     q["q22_fdr"] = rel + by + f"SELECT feature, rank, round(p_adj, {R.P_ROUND}) AS p_adj, relevant FROM fdr"
     q["q23_select"] = rel + by + f"""SELECT feature, type, n, round(stat, {R.P_ROUND}) AS stat,
        round(p_value, {R.P_ROUND}) AS p_value, rank, round(p_adj, {R.P_ROUND}) AS p_adj, relevant,
-       relevant OR feature = 'prices' AS kept FROM fdr"""
+       relevant OR feature = 'prices' AS kept,
+       (SELECT count(*) FROM fdr WHERE relevant AND feature <> 'prices') + 2 > 5 AS enough FROM fdr"""
 
     q["q44_nan_as_null"] = _with(TICKS, _aligned("al", R.HOUR)) + """, f AS (
   SELECT variable, datetime, last_value(CASE WHEN hour(datetime) % 5 <> 0 THEN CAST(value AS DOUBLE) END IGNORE NULLS)

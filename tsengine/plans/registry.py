@@ -23,7 +23,7 @@ from tsengine.operators.impute import impute
 from tsengine.operators.resample import resample_last
 from tsengine.operators.roll import prepare_series, roll_lengths, shift_rows
 from tsengine.operators.search import assemble, fit_gbt, predict, random_search, sampled_search
-from tsengine.operators.select import fdr_select, relevance_table, select_features
+from tsengine.operators.select import fdr_select, relevance_table, select_features, with_enough
 from tsengine.operators.split import time_folds, time_split
 from tsengine.operators.target import add_target
 from tsengine.plans.extract import extract_features
@@ -214,9 +214,9 @@ def q22_fdr(spark, sf):
 
 def q23_select(spark, sf):
     m, targets = _matrix(spark, sf)
-    names, table_ = select_features(m, targets, FDR_LEVEL, always_keep=["prices"])
-    kept = table_.withColumn("kept", F.col("feature").isin(names))
-    return _round_columns(kept, "stat", "p_value", "p_adj")
+    keep = ["prices"]
+    _, table_ = select_features(m, targets, FDR_LEVEL, always_keep=keep)
+    return _round_columns(with_enough(table_, keep), "stat", "p_value", "p_adj")
 
 
 def q44_nan_as_null(spark, sf):
