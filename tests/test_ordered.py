@@ -42,7 +42,7 @@ def test_number_rows_and_running_sums_follow_the_order(spark):
     assert number_rows(df.where("false"), ["k"], ["x"]).collect() == []
 
 
-@pytest.mark.parametrize("fan,block_rows", [(2, 5), (4, 64), (32, 4096)])
+@pytest.mark.parametrize("fan,block_rows", [(2, 5), (5, 64), (16, 4096)])
 def test_windows_match_numpy_whatever_the_tree(spark, monkeypatch, fan, block_rows):
     monkeypatch.setattr(ordered, "FAN", fan)
     monkeypatch.setattr(ordered.ordered_features, "__defaults__",

@@ -226,7 +226,7 @@ def _cells(spark, columns, y):
             spark.createDataFrame(ys, "datetime timestamp, y_future double"))
 
 
-@pytest.mark.parametrize("fan,block_rows", [(2, 7), (32, 4096)])
+@pytest.mark.parametrize("fan,block_rows", [(2, 7), (16, 4096)])
 def test_relevance_by_blocked_counts_matches_the_whole_column(spark, monkeypatch, fan, block_rows):
     from tsengine.functions import ordered
     from tsengine.operators.select import relevance_table

@@ -17,7 +17,8 @@ what lies before.  At the bottom a node is one value.
 
 These totals are running sums over a node's rows and questions in order of
 position, taken within blocks of ``BLOCK_ROWS`` positions and completed from a
-table of the blocks' totals.  So a task sorts the rows and questions of one node
+table of the blocks' totals (of which there are none where a series is one
+block).  So a task sorts the rows and questions of one node
 in one block: no task holds a series or a window's rows, however long the series
 is, and the data shuffled are rows and questions once a level, of which there
 are ``log(rows) / log(FAN)``.
@@ -35,8 +36,9 @@ from tsengine.operators.rank import number_rows, running_sum
 from tsengine.operators.roll import with_positions
 from tsengine.session import materialize
 
-FAN = 32
-BLOCK_ROWS = 4096
+FAN = 16
+_SLOTS, _BITS = 4, 15             # counters in a 64-bit number, and their width
+BLOCK_ROWS = (1 << _BITS) - 1
 
 ORDERED = frozenset({"median", "quantile", "symmetry_looking", "count_above_mean", "count_below_mean",
                      "ratio_beyond_r_sigma"})
@@ -51,9 +53,9 @@ def levels_for(rows: int) -> int:
     return levels
 
 
-def answer(points: DataFrame, questions: DataFrame, levels: int, block_rows: int) -> DataFrame:
+def answer(points: DataFrame, questions: DataFrame, rows: int, block_rows: int) -> DataFrame:
     """Answers of ``questions (_v, _pos, _ask, _kind, _arg)`` over ``points (_v,
-    _pos, _r)``, positions and ranks from 0.
+    _pos, _r)``, positions and ranks from 0; no series has more than ``rows``.
 
     ``_arg`` is the wanted place (select) or a rank (count).  ``_node`` is the
     rank of the selected value, ``_sum`` the points up to ``_pos`` whose rank is
@@ -61,51 +63,76 @@ def answer(points: DataFrame, questions: DataFrame, levels: int, block_rows: int
     """
     asked = questions.select("_v", "_pos", "_ask", "_kind", "_arg", F.lit(0).cast("bigint").alias("_node"),
                              F.lit(0).cast("bigint").alias("_sum"))
+    if not 0 < block_rows < 1 << _BITS:
+        raise ValueError(f"block_rows must be in 1..{(1 << _BITS) - 1}")
+    levels = levels_for(rows)
     for level in range(levels):
         width = FAN ** (levels - 1 - level)
-        asked = materialize(_descend(points, asked, width, block_rows))
+        if rows <= block_rows:      # one block a series: nothing lies before it
+            asked = _descend(points, asked, width, block_rows, None)
+        else:
+            asked = materialize(asked)      # read twice: for the blocks' totals and for the step
+            asked = _descend(points, asked, width, block_rows, _totals_before(points, asked, width, block_rows))
     return asked
 
 
-def _descend(points: DataFrame, asked: DataFrame, width: int, block_rows: int) -> DataFrame:
+_GROUP = ["_v", "_node", "_b"]
+
+
+def _packed() -> dict[str, str]:
+    """By name: a point's share in the counters "rows in children 0..i of its
+    node", four of 15 bits a number (a block has fewer than 2**15 points)."""
+    out = {}
+    for k in range(-(-(FAN - 1) // _SLOTS)):
+        slots = range(k * _SLOTS, min((k + 1) * _SLOTS, FAN - 1))
+        shares = (sum(1 << _BITS * (i - k * _SLOTS) for i in slots if child <= i) for child in range(FAN))
+        out[f"_p{k}"] = f"array({', '.join(f'{x}L' for x in shares)})[_child]"
+    return out
+
+
+def _counters() -> list[str]:
+    """The counters of children 0..i, unpacked."""
+    return [f"(shiftright(_p{i // _SLOTS}, {i % _SLOTS * _BITS}) & {(1 << _BITS) - 1})" for i in range(FAN - 1)]
+
+
+def _rows_of(points: DataFrame, width: int, block_rows: int) -> DataFrame:
+    return points.selectExpr("_v", "_pos", f"_r div {width * FAN} as _node", f"cast(_r div {width} % {FAN} as int) as _child",
+                             f"_pos div {block_rows} as _b")
+
+
+def _totals_before(points: DataFrame, asked: DataFrame, width: int, block_rows: int) -> DataFrame:
+    """Totals of the blocks before, for every node and block with questions."""
+    totals = _rows_of(points, width, block_rows).groupBy(*_GROUP).agg(*[F.expr(f"sum({f}) as {p}") for p, f in _packed().items()])
+    here = asked.selectExpr("_v", "_node", f"_pos div {block_rows} as _b", "true as _asked").distinct()
+    frame = "over (partition by _v, _node order by _b rows between unbounded preceding and 1 preceding)"
+    return (totals.join(here, _GROUP, "full")
+            .selectExpr(*_GROUP, "_asked", *[f"coalesce(sum({c}) {frame}, 0L) as _t{i}" for i, c in enumerate(_counters())])
+            .where("_asked").drop("_asked"))
+
+
+def _descend(points: DataFrame, asked: DataFrame, width: int, block_rows: int, totals: DataFrame | None) -> DataFrame:
     """One level: from nodes of ``FAN * width`` ranks to nodes of ``width``."""
-    block = F.floor(F.col("_pos") / block_rows)
-    place = F.floor(F.col("_r") / width)
-    rows = points.select("_v", "_pos", F.floor(place / FAN).alias("_node"), (place % FAN).cast("int").alias("_child"),
-                         block.alias("_b"))
-    group = ["_v", "_node", "_b"]
-    upto = [f"_c{i}" for i in range(FAN - 1)]       # rows in children 0..i
-
-    def flags():
-        return {c: (F.col("_child") <= i).cast("int") for i, c in enumerate(upto)}
-
-    # totals of the blocks before: also for blocks that hold questions only
-    here = asked.select("_v", "_node", block.alias("_b")).distinct()
-    totals = rows.groupBy(*group).agg(*[F.sum(f).alias(c) for c, f in flags().items()])
-    earlier = Window.partitionBy("_v", "_node").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (totals.join(here.withColumn("_asked", F.lit(True)), group, "full")
-              .select(*group, "_asked", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}p") for c in upto])
-              .where("_asked").drop("_asked"))
-    none = F.lit(None)
-    union = (rows.withColumn("_q", F.lit(0))
-             .select(*group, "_pos", "_q", "_child", none.cast("int").alias("_ask"), none.cast("int").alias("_kind"),
-                     none.cast("bigint").alias("_arg"), none.cast("bigint").alias("_sum"))
-             .unionByName(asked.select("_v", "_node", block.alias("_b"), "_pos", F.lit(1).alias("_q"),
-                                       none.cast("int").alias("_child"), "_ask", "_kind", "_arg", "_sum")))
-    run = Window.partitionBy(*group).orderBy("_pos", "_q").rowsBetween(Window.unboundedPreceding, 0)
-    counted = union.select("*", *[F.coalesce(F.sum(f).over(run), F.lit(0)).alias(c) for c, f in flags().items()]).where("_q = 1")
-    counted = counted.join(totals, group)
-    # running totals by child, from none on: entry i is what lies before child i
-    before = F.array(F.lit(0).cast("bigint"), *[F.col(c) + F.col(f"{c}p") for c in upto])
-    counted = counted.select("_v", "_pos", "_ask", "_kind", "_arg", "_sum", "_node", before.alias("_before"))
-    wanted = F.size(F.filter(F.slice("_before", 2, FAN - 1), lambda n: n <= F.col("_arg")))
-    child = F.when(F.col("_kind") == SELECT, wanted).otherwise((F.floor(F.col("_arg") / width) % FAN).cast("int"))
-    counted = counted.withColumn("_child", child).withColumn("_less", F.element_at("_before", F.col("_child") + 1))
-    select = F.col("_kind") == SELECT
-    return counted.select("_v", "_pos", "_ask", "_kind",
-                          F.when(select, F.col("_arg") - F.col("_less")).otherwise(F.col("_arg")).alias("_arg"),
-                          (F.col("_node") * FAN + F.col("_child")).cast("bigint").alias("_node"),
-                          F.when(select, F.col("_sum")).otherwise(F.col("_sum") + F.col("_less")).alias("_sum"))
+    union = (_rows_of(points, width, block_rows)
+             .selectExpr(*_GROUP, "_pos", "0 as _q", "_child", "cast(null as int) as _ask", "cast(null as int) as _kind",
+                         "cast(null as bigint) as _arg", "cast(null as bigint) as _sum")
+             .unionByName(asked.selectExpr("_v", "_node", f"_pos div {block_rows} as _b", "_pos", "1 as _q",
+                                           f"{FAN - 1} as _child", "_ask", "_kind", "_arg", "_sum")))     # counts nowhere
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frame = "over (partition by _v, _node, _b order by _pos, _q rows between unbounded preceding and current row)"
+    counted = union.repartition(parts, *_GROUP).selectExpr(
+        "*", *[f"sum({f}) {frame} as {p}" for p, f in _packed().items()]).where("_q = 1")
+    before = _counters()
+    if totals is not None:
+        counted = counted.join(totals, _GROUP)
+        before = [f"{c} + _t{i}" for i, c in enumerate(before)]
+    # entry i is what lies before child i
+    counted = counted.selectExpr("_v", "_pos", "_ask", "_kind", "_arg", "_sum", "_node", f"array(0L, {', '.join(before)}) as _before")
+    wanted = " + ".join(f"cast(_before[{i}] <= _arg as int)" for i in range(1, FAN))
+    counted = counted.selectExpr("*", f"case when _kind = {SELECT} then {wanted} else cast(_arg div {width} % {FAN} as int) end as _child")
+    return counted.selectExpr(
+        "_v", "_pos", "_ask", "_kind",
+        f"case when _kind = {SELECT} then _arg - _before[_child] else _arg end as _arg", f"_node * {FAN} + _child as _node",
+        f"case when _kind = {SELECT} then _sum else _sum + _before[_child] end as _sum")
 
 
 def threshold_ranks(points: DataFrame, thresholds: DataFrame) -> DataFrame:
@@ -134,7 +161,6 @@ def ordered_features(series: DataFrame, specs: Sequence[tuple], variable: str =
     rows = with_positions(rows, "_t", ["_v"], block_seconds, "_pos").withColumn("_xd", F.col("_x").cast("double"))
     points = materialize(number_rows(rows, ["_v"], ["_xd", "_pos"], "_r"))
     most = points.agg(F.max("_r")).first()[0]
-    levels = levels_for(1 + (most or 0))
 
     calcs = {s[0] for s in specs}
     ends = points.select("_v", "_t", "_pos", (F.col("_pos") + 1).alias("_n"))
@@ -160,13 +186,14 @@ def ordered_features(series: DataFrame, specs: Sequence[tuple], variable: str =
         thresholds = moments.select("_v", "_pos", at.alias("_w")).select("_v", "_pos", "_w._ask", "_w._at", "_w._inclusive")
         questions.append(threshold_ranks(points, thresholds))
     every = questions[0] if len(questions) == 1 else questions[0].unionByName(questions[1])
-    answers = answer(points, materialize(every), levels, block_rows)
+    answers = answer(points, every, 1 + (most or 0), block_rows)
     # a selected node is a rank: look its value up; a count is the answer itself
-    found = (answers.where(F.col("_kind") == SELECT).select("_v", "_pos", "_ask", F.col("_node").alias("_r"))
-             .join(points.select("_v", "_r", "_xd"), ["_v", "_r"]).select("_v", "_pos", "_ask", F.col("_xd").alias("_y"))
-             .unionByName(answers.where(F.col("_kind") == COUNT).select("_v", "_pos", "_ask", F.col("_sum").cast("double").alias("_y"))))
+    # (below 0 there is no rank; distinct values keep the join from piling counts up under one key)
+    looked_up = answers.withColumn("_r", F.when(F.col("_kind") == SELECT, F.col("_node")).otherwise(-1 - F.col("_pos")))
+    found = looked_up.join(points.select("_v", "_r", "_xd"), ["_v", "_r"], "left").select(
+        "_v", "_pos", "_ask", F.coalesce("_xd", F.col("_sum").cast("double")).alias("_y"))
     n_asks = 2 * len(quantiles) + len(bounds)
-    wide = found.groupBy("_v", "_pos").agg(*[F.max(F.when(F.col("_ask") == i, F.col("_y"))).alias(f"_a{i}") for i in range(n_asks)])
+    wide = found.groupBy("_v", "_pos").agg(*[F.expr(f"max(_y) filter (where _ask = {i}) as _a{i}") for i in range(n_asks)])
     wide = wide.join(ends if moments is None else moments, ["_v", "_pos"])
     feats = [(s[2], _formula(s, quantiles, column)) for s in specs]
     wide = wide.select("_v", "_t", *[c.cast("double").alias(f"_f{i}") for i, (_, c) in enumerate(feats)])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsengine.functions.ordered import BLOCK_ROWS, COUNT, answer, levels_for
+from tsengine.functions.ordered import BLOCK_ROWS, COUNT, answer
 from tsengine.functions.stats import ks_p_value
 from tsengine.operators.rank import number_rows, running_sum
 from tsengine.session import materialize
@@ -69,7 +69,7 @@ def _kendall(cells: DataFrame, block_rows: int) -> DataFrame:
     points = cells.select(F.col("feature").alias("_v"), F.col("_p").alias("_pos"), F.col("_q").alias("_r"))
     asked = points.select("_v", "_pos", F.lit(0).alias("_ask"), F.lit(COUNT).alias("_kind"), F.col("_r").alias("_arg"))
     most = cells.agg(F.max("_n")).first()[0]
-    below = answer(points, asked, levels_for(most or 0), block_rows)
+    below = answer(points, asked, most or 1, block_rows)
     agreeing = below.groupBy(F.col("_v").alias("feature")).agg(F.sum(F.col("_sum").cast(_BIG)).alias("_agree"))
     sums = agreeing
     for by, name in ((["x"], "tx"), (["y"], "ty"), (["x", "y"], "txy")):
