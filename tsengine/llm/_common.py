@@ -108,6 +108,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def forget_hashes() -> None:
+    """Free the tables that ``word_hashes`` keeps between slices."""
+    _powers[:] = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+    give_back()
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each text, with
     ASCII letters lower-cased, and the offsets of each text's words in them."""

@@ -31,11 +31,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tsengine.llm._common import _MIXERS, mix64, text_slices
+from tsengine.llm._common import _MIXERS, forget_hashes, give_back, mix64, text_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SLICE = 1 << 20
-KEPT_CHUNKS = 200_000     # chunks whose tables a process keeps; then it starts anew
+KEPT_BYTES = 24 << 20     # of chunk tables that a process keeps; then it starts anew
 MARK, RAW_MARK = 0x2581, 0x110000
 _CHUNK = re.compile(" +[^ \n]*|\n+[^ \n]*")
 _vocabularies: dict = {}
@@ -70,20 +70,25 @@ class Vocabulary:
         if any(re.search("[^▁]▁|.\n|\n.", n) for n in names):
             raise ValueError("a piece crosses a chunk's edge")
         harmonic = float(np.sum(1.0 / np.arange(1, self.size + 1)))
-        edges: dict[tuple[int, int], int] = {}
-        ends: dict[int, tuple[int, float]] = {}
+        edges: dict[int, int] = {}      # node and character in one number -> node
+        ends = np.empty(len(self.ordinary), np.int64)
         for rank, i in enumerate(self.ordinary):
             node = 0
             for c in names[i]:
-                node = edges.setdefault((node, ord(c)), len(edges) + 1)
-            ends[node] = (i, -np.log((rank + 1) * harmonic))
+                node = edges.setdefault(node << 21 | ord(c), len(edges) + 1)
+            ends[rank] = node
         self.byte_weight = -np.log(self.size * harmonic)
-        key = np.array([a << 21 | c for a, c in edges], np.int64)
-        self._table(key, np.array(list(edges.values()), np.int64))
-        self.piece = np.full(len(edges) + 1, -1, np.int32)
-        self.weight = np.zeros(len(edges) + 1)
-        for node, (i, w) in ends.items():
-            self.piece[node], self.weight[node] = i, w
+        count = len(edges)
+        key = np.fromiter(edges.keys(), np.int64, count)
+        to = np.fromiter(edges.values(), np.int64, count)
+        del edges
+        self._table(key, to)
+        self.piece = np.full(count + 1, -1, np.int32)
+        self.weight = np.zeros(count + 1)
+        self.piece[ends] = self.ordinary
+        self.weight[ends] = -np.log(np.arange(1, len(ends) + 1) * harmonic)
+        self.names = None               # a task decodes from bytes
+        give_back()
 
     def _table(self, key: np.ndarray, to: np.ndarray) -> None:
         """The trie's edges as a hash table with linear probing."""
@@ -198,7 +203,7 @@ class _Column:
 
     def extend(self, x: np.ndarray) -> None:
         if self.n + len(x) > len(self.room):
-            room = np.empty(2 * (self.n + len(x)), self.room.dtype)
+            room = np.empty((self.n + len(x)) * 5 // 4, self.room.dtype)
             room[:self.n] = self.room[:self.n]
             self.room = room
         self.room[self.n:self.n + len(x)] = x
@@ -217,9 +222,14 @@ class Tables:
         self.first, self.size, self.where, self.start, self.piece = (_Column(np.int32) for _ in range(5))
         self.share = _Column(np.float64)
 
+    def held(self) -> int:
+        """Bytes of the tables; a chunk's text and number take about 120 more."""
+        columns = (self.first, self.size, self.where, self.start, self.piece, self.share)
+        return sum(c.room.nbytes for c in columns) + 120 * len(self.ids)
+
     def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(chunk numbers of all texts, chunks of each text); unknown chunks are added."""
-        if len(self.ids) > KEPT_CHUNKS:
+        if self.held() > KEPT_BYTES:
             self.clear()
         ids, known = self.ids, len(self.ids)
         found, counts = [], []
@@ -304,6 +314,7 @@ def spell(v: Vocabulary, pieces: np.ndarray, offsets: np.ndarray) -> list[bytes]
 
 def _encode(path: str, key: str, text: str, out: str, decoded: str | None, names: list[str], alpha: float, seed: int):
     def run(batches):
+        forget_hashes()         # of an earlier stage: Spark keeps its Python workers
         tables = Tables(vocabulary(path, encoding=True), alpha)
         for b in text_slices(batches, text, SLICE):
             texts = b.column(text)
