@@ -183,3 +183,40 @@ def test_null_sort_key_raises(spark):
     for policy in ("drop", "ffill"):
         with pytest.raises(Exception, match="NULL sort key"):
             prepare_series(df, policy).collect()
+
+
+def _documents(spark, *docs):
+    return spark.createDataFrame([(f"c{i}", d) for i, d in enumerate(docs)], "coin string, payload string")
+
+
+def test_metrics_come_from_the_payload(spark):
+    from tsengine.sources.market import payload_metrics
+    doc = '{"prices": [[1000, 1.5], [2000, 2]], "novel_metric": [[1500, 7], [2500, null]], "other": [[0, 1], [0, 2]]}'
+    got = payload_metrics(_documents(spark, doc, '{"prices": [[5000, 3]]}', '{"prices": []}')).collect()
+    at = lambda s: T(1970, 1, 1, 0, 0, s)
+    assert sorted((r.coin, r.metric, r.seq, r.ts, r.value) for r in got if r.metric != "novel_metric") == [
+        ("c0", "other", 0, at(1), 1.0), ("c0", "other", 1, at(2), 2.0), ("c0", "prices", 0, at(1), 1.5),
+        ("c0", "prices", 1, at(2), 2.0), ("c1", "prices", 0, at(5), 3.0)]
+    assert {(r.seq, r.ts, r.value) for r in got if r.metric == "novel_metric"} == {(0, at(1), 7.0), (1, at(2), None)}
+    assert payload_metrics(_documents(spark, doc).where("false")).collect() == []
+
+
+@pytest.mark.parametrize("doc", [
+    None, "", "not json", '{"error": "limit"}', '[[1, 2]]', '{"prices": [[1000, 1]], "m": []}', '{"prices": [[1000, 1]], "m": 5}',
+    '{"market_caps": [[1000, 1]]}', '{"prices": null}'])
+def test_documents_that_are_none_raise(spark, doc):
+    from tsengine.sources.market import payload_metrics
+    with pytest.raises(Exception, match="not a market-chart document|differ in length"):
+        payload_metrics(_documents(spark, doc)).collect()
+
+
+def test_medians_are_exact_without_a_buffer(spark):
+    from tsengine.operators.impute import impute_stats
+    inf = float("inf")
+    data = {"odd": [3.0, 1.0, 2.0], "even": [4.0, 1.0, 2.0, 10.0], "ties": [5.0] * 7 + [1.0], "one": [-2.5],
+            "odd_cells": [None, float("nan"), inf, -inf, 1.0, 4.0], "none": [None, inf]}
+    rows = [(f, x) for f, xs in data.items() for x in xs]
+    got = {r.feature: (r["median"], r["min"], r["max"]) for r in
+           impute_stats(spark.createDataFrame(rows, "feature string, value double").repartition(6)).collect()}
+    assert got == {"odd": (2.0, 1.0, 3.0), "even": (3.0, 1.0, 10.0), "ties": (5.0, 1.0, 5.0), "one": (-2.5, -2.5, -2.5),
+                   "odd_cells": (2.5, 1.0, 4.0)}

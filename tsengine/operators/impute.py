@@ -4,6 +4,10 @@ Per feature, over the matrix rows: NULL / NaN -> median of the finite values,
 +inf -> their maximum, -inf -> their minimum; a feature without any finite
 value imputes 0.  Cells missing from the long form (no row for a bin) are
 first gridded (rows x features) so that they are imputed too.
+
+The median is exact at any size: all features' values are sorted by range at
+once (``operators.rank``) and the middle places looked up, so no task collects a
+feature's values.
 """
 
 from __future__ import annotations
@@ -13,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tsengine.operators.rank import number_rows
+
 
 def _finite(c):
     return c.isNotNull() & ~F.isnan(c) & (c != F.lit(float("inf"))) & (c != F.lit(float("-inf")))
@@ -20,10 +26,13 @@ def _finite(c):
 
 def impute_stats(long: DataFrame, feature: str = "feature", value: str = "value") -> DataFrame:
     """``feature, median, min, max`` of the finite values (one row per feature)."""
-    v = F.col(value)
-    fin = long.filter(_finite(v))
-    return fin.groupBy(feature).agg(F.percentile(v, 0.5).alias("median"),
-                                    F.min(v).alias("min"), F.max(v).alias("max"))
+    finite = long.where(_finite(F.col(value))).select(feature, F.col(value).cast("double").alias("_x"))
+    placed = number_rows(finite, [feature], ["_x"], "_place", count="_n")
+    # one middle place, or the two that the median lies between
+    middle = placed.where(F.abs(2 * F.col("_place") - (F.col("_n") - 1)) <= 1)
+    ends = placed.where((F.col("_place") == 0) | (F.col("_place") == F.col("_n") - 1))
+    return middle.groupBy(feature).agg(F.avg("_x").alias("median")).join(
+        ends.groupBy(feature).agg(F.min("_x").alias("min"), F.max("_x").alias("max")), feature)
 
 
 def grid(index: DataFrame, names: Sequence[str], order: str = "datetime", feature: str = "feature") -> DataFrame:

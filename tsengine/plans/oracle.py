@@ -392,6 +392,17 @@ w AS (
 {qrows}"""
     q["q48_moving_thresholds"] = _with(TICKS, _aligned("al", R.HOUR)) + _thresholds_sql("al")
     q["q49_reoccurring_values"] = _with(TICKS, _aligned("al", R.HOUR)) + _reoccurring_sql("al")
+    q["q50_payload_metrics"] = _with(TICKS) + """, s AS (
+  SELECT coin, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts_ms,
+         row_number() OVER (PARTITION BY coin, CAST(ts AS DATE) ORDER BY ts, seq) - 1 AS seq,
+         prices, market_caps, total_volumes, prices - total_volumes AS spreads FROM ticks)
+""" + "\nUNION ALL ".join(f"SELECT coin, ts_ms AS ts, seq, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM s"
+                          for m in (*_METRICS, "spreads"))
+    q["q51_impute_infinite"] = _with(TICKS, _aligned("al", R.HOUR)) + """, c AS (
+  SELECT datetime, variable AS feature, hour(datetime) % 7 AS h, CAST(value AS DOUBLE) AS x FROM al),
+st AS (SELECT feature, median(x) AS med, min(x) AS lo, max(x) AS hi FROM c WHERE h > 3 AND x IS NOT NULL GROUP BY feature)
+SELECT datetime, feature, coalesce(CASE WHEN h = 0 THEN hi WHEN h = 1 THEN lo WHEN h IN (2, 3) OR x IS NULL THEN med ELSE x END, 0.0) AS value
+FROM c LEFT JOIN st USING (feature)"""
     dec = {"q01_time_range_scan": list(_METRICS), "q05_resample_last": list(_METRICS),
            "q06_resample_dense_anchor": list(_METRICS),
            "q07_wide_left_join": [f"{m}" if r == 0 else f"{m} {c}" for r, c in enumerate(_COINS) for m in _METRICS],

@@ -30,7 +30,9 @@ from tsengine.plans.extract import extract_features
 from tsengine.plans.pipeline import market_path
 from tsengine.session import checkpoint_dir, materialize
 from tsengine.sources.catalog import lookup_ids, top_n
-from tsengine.sources.market import display_zone, payload_to_ticks, read_market_chart, ticks_to_payload, time_range
+from tsengine.sources.market import (
+    display_zone, payload_metrics, payload_to_ticks, read_documents, read_market_chart, ticks_to_payload, time_range,
+)
 from tsengine.sources.tables import (
     customer_markets, events_markets, events_ticks, table,
 )
@@ -89,9 +91,15 @@ def q02_market_chart_json(spark, sf):
     return payload_to_ticks(read_market_chart(spark, _landed(spark, sf)))
 
 
-def _landed(spark, sf):
+def q50_payload_metrics(spark, sf):
+    """Every metric that landed documents hold, one of them ("spreads") declared nowhere."""
+    ticks = events_ticks(spark, sf).withColumn("spreads", F.col("prices") - F.col("total_volumes"))
+    return payload_metrics(read_documents(spark, _landed(spark, sf, ticks, (*METRICS, "spreads"))))
+
+
+def _landed(spark, sf, ticks=None, metrics=METRICS):
     """The stand-in's files: one document per coin and day in the shared folder."""
-    docs = ticks_to_payload(events_ticks(spark, sf))
+    docs = ticks_to_payload(events_ticks(spark, sf) if ticks is None else ticks, metrics)
     landed = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
     (docs.select("coin", "payload").write.option("maxRecordsPerFile", 1).partitionBy("coin").text(landed))
     return landed
@@ -195,6 +203,18 @@ def q18_impute(spark, sf):
     return _matrix(spark, sf)[0]
 
 
+def q51_impute_infinite(spark, sf):
+    """Raw series with infinite, missing and undefined cells by the hour, imputed."""
+    long = aligned(spark, sf).withColumn("feature", F.col("variable"))
+    h = F.hour("datetime")
+    x = F.col("value").cast("double")
+    x = (F.when(h % 7 == 0, F.lit(float("inf"))).when(h % 7 == 1, F.lit(float("-inf")))
+         .when(h % 7 == 2, F.lit(float("nan"))).when(h % 7 == 3, F.lit(None)).otherwise(x))
+    long = materialize(long.select("datetime", "feature", x.alias("value")))
+    names = sorted(r[0] for r in long.select("feature").distinct().collect())
+    return impute(long, long.select("datetime").distinct(), names)
+
+
 # --- selection ---------------------------------------------------------------
 
 def _round_columns(df, *columns):

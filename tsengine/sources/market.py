@@ -103,6 +103,42 @@ def payload_to_ticks(payload: DataFrame, metrics: Sequence[str] = DEFAULT_METRIC
         *[F.col("z")[m][1].alias(m) for m in metrics])
 
 
+def payload_metrics(payload: DataFrame, json_col: str = "payload", coin: str = "coin",
+                    time_from: str = "prices") -> DataFrame:
+    """Ticks of whatever metrics a document has: ``coin, ts, seq, metric, value``.
+
+    The document is read as a VARIANT; each of its keys is a metric, so one that
+    nobody declared needs no change of a schema.  Positions line up as in
+    :func:`payload_to_ticks`: the time is element 0 of the pair of ``time_from``
+    at the same position, and arrays of unequal length raise, as do NULL and
+    malformed documents and keys that are no arrays of pairs.
+    """
+    bad = F.concat(F.lit("not a market-chart document: "), F.coalesce(F.substring(json_col, 1, 80), F.lit("NULL")))
+    doc = F.coalesce(F.try_parse_json(json_col), F.raise_error(bad).cast("variant"))
+    kept = payload.select(F.col(coin).alias("coin"), doc.alias("_doc"), bad.alias("_bad"))
+    # an object's arrays; a document that is none has no such map
+    arrays = F.try_variant_get("_doc", "$", "map<string, array<array<double>>>")
+    kept = kept.select("coin", F.coalesce(arrays, F.raise_error(F.col("_bad")).cast("map<string, array<array<double>>>"))
+                       .alias("_arrays"), "_bad")
+    times = F.coalesce(F.col("_arrays")[time_from], F.raise_error(F.col("_bad")).cast("array<array<double>>"))
+    # one row a document and metric, then one a position
+    rows = kept.select("coin", times.alias("_times"), F.explode("_arrays").alias("metric", "_pairs"))
+    same = F.size("_pairs") == F.size("_times")
+    zipped = F.when(same, F.arrays_zip(F.col("_times").alias("t"), F.col("_pairs").alias("p"))).otherwise(
+        F.raise_error(F.lit("payload metric arrays differ in length")))
+    rows = rows.select("coin", "metric", F.posexplode(zipped).alias("seq", "z"))
+    ts = F.timestamp_millis(F.col("z")["t"][0].cast("bigint")).cast("timestamp_ntz")
+    return rows.select("coin", ts.alias("ts"), F.col("seq").cast("bigint").alias("seq"), "metric", F.col("z")["p"][1].alias("value"))
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Landed files as ``coin, payload`` text, one document a file."""
+    raw = spark.read.text(path, wholetext=True)
+    if "coin" not in raw.columns:
+        raw = raw.withColumn("coin", F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.json)?$", 1))
+    return raw.select(F.col("coin").cast("string").alias("coin"), F.col("value").alias("payload"))
+
+
 def ticks_to_payload(ticks: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS,
                      coin: str = "coin", ts: str = "ts", seq: str = "seq", period: str = "day") -> DataFrame:
     """Inverse of :func:`payload_to_ticks`: one JSON document per coin and period.
