@@ -15,12 +15,16 @@ bytes of no section count for section -1.
 
 Edge cases: a null or empty text has no tokens and no sections; empty sections
 get 0 tokens; null or repeated keys are kept row by row; null sections count
-as none; other columns are ignored.
+as none; other columns are ignored.  Texts of any length and with runs of any
+length are read whole: a long run of white space is encoded without the
+tokenizer's expression, which backtracks over it, at the places where that
+expression would cut (``encode_whole``).
 """
 
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +36,9 @@ from tsengine.llm._common import keyed_text, text_slices
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 RULES = ("start", "largest", "split")
 SCHEMA = "key long, n_tokens long, n_bytes long, sections array<struct<start:long,end:long,tokens:double>>"
+LONG_RUN = 10_000
+# Unicode's white space.
+_WHITE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _encoders: dict = {}
 
 
@@ -50,6 +57,28 @@ def encoder(path: str):
     return _encoders[path]
 
 
+def encode_whole(encoding, texts: list[str]) -> list[list[int]]:
+    """Token ids of every text.
+
+    The tokenizer takes a run of white space whole if it ends the text, else
+    without its last character, which goes with what follows.  Runs of
+    ``LONG_RUN`` characters or more are cut there beforehand and encoded as the
+    one piece that they are.
+    """
+    run = re.compile(f"[{_WHITE}]{{{LONG_RUN},}}")
+    cuts = {i: found for i, t in enumerate(texts) if len(t) >= LONG_RUN and (found := list(run.finditer(t)))}
+    ids = encoding.encode_ordinary_batch(["" if i in cuts else t for i, t in enumerate(texts)], num_threads=1)
+    for i, found in cuts.items():
+        text, at = texts[i], 0
+        for m in found:
+            end = m.end() - (m.end() < len(text))
+            ids[i] += encoding.encode_ordinary(text[at:m.start()])
+            ids[i] += encoding._encode_single_piece(text[m.start():end])
+            at = end
+        ids[i] += encoding.encode_ordinary(text[at:])
+    return ids
+
+
 def line_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     ends = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10) + 1
     if len(raw) and (not len(ends) or ends[-1] != len(raw)):
@@ -92,7 +121,7 @@ def _count(path: str, rule: str):
             given = b.column("spans").to_pylist() if "spans" in b.schema.names else None
             texts = b.column("text").to_pylist()
             out = []
-            for i, (text, ids) in enumerate(zip(texts, encoding.encode_ordinary_batch(texts, num_threads=1))):
+            for i, (text, ids) in enumerate(zip(texts, encode_whole(encoding, texts))):
                 raw = text.encode()
                 ends = np.cumsum(size[np.array(ids, np.int64)])
                 if given is None:
