@@ -277,6 +277,10 @@ UNION ALL SELECT variable, datetime, variable, CAST(value AS DOUBLE) FROM w"""
             f"SELECT datetime, target, round(lr, {_R}) AS lr, round(vol, {_R}) AS vol, " \
             f"round(y_future, {_R}) AS y_future FROM tg"
 
+    q["q52_target_percent_ahead"] = _with(_hourly_features(), _targets("tg", "fe", R.TARGET, "price").replace("\n  QUALIFY y_future IS NOT NULL", "")) + \
+        f""", far AS (SELECT datetime, target, lr, vol, lead(lr, 3) OVER (ORDER BY datetime) AS later FROM tg)
+SELECT datetime, target, round(100 * lr, {R.P_ROUND}) AS lr, round(100 * vol, {R.P_ROUND}) AS vol,
+       round(100 * later, {R.P_ROUND}) AS y_future FROM far WHERE later IS NOT NULL"""
     q["q18_impute"] = _with(_matrix()) + "SELECT datetime, feature, value FROM m"
     rel = _with(_matrix(), _relevance()).replace("WITH ", "WITH RECURSIVE ", 1)
     q["q20_relevance"] = rel + f"SELECT feature, type, n, stat, round(p_value, {R.P_ROUND}) AS p_value FROM rel"

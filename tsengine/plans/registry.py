@@ -191,6 +191,12 @@ def q17_target_volatility(spark, sf):
     return _target(spark, sf, "volatility")
 
 
+def q52_target_percent_ahead(spark, sf):
+    """Log returns in percent, three rows ahead."""
+    t = add_target(minimal_features(spark, sf, keep=True), TARGET, "log_return", periods=3, percent=True)
+    return t.select("datetime", "target", *[F.round(c, P_ROUND).alias(c) for c in ("lr", "vol", "y_future")])
+
+
 def _matrix(spark, sf, step=HOUR):
     feats = minimal_features(spark, sf, step, keep=True)
     targets = materialize(add_target(feats, "prices", "price", periods=1))
@@ -312,10 +318,10 @@ def q30_random_search(spark, sf):
 
 
 def q47_sampled_search(spark, sf):
+    """Twelve draws from the whole space, eight of them proposed from finished trials."""
     wide, names = _model_data(spark, sf)
-    space = {"max_depth": ("int", 2, 5), "learning_rate": ("log", 0.01, 1.0)}
-    trials, _, _ = sampled_search(spark, wide, names, space, n_trials=2, n_splits=2, max_iter=5, parallelism=2,
-                                  eval_metric="mape")
+    trials, _, _ = sampled_search(spark, wide, names, n_trials=12, n_splits=2, max_iter=5, parallelism=8,
+                                  eval_metric="mape", start=4, at_once=4)
     return trials
 
 
