@@ -94,3 +94,20 @@ def test_reoccurring_values_match_numpy(spark, block_seconds):
             for n in names:
                 want = CALCULATORS[n](np.array(xs[:i + 1]), None)
                 assert got[v, START + dt.timedelta(hours=i), f"{v}__{n}"] == pytest.approx(want), (v, i, n)
+
+
+@pytest.mark.parametrize("kind", ["decimal(18,2)", "double"])
+def test_prefix_lookups_match_numpy(spark, kind):
+    rnd = random.Random(12)
+    settings = {"energy_ratio_by_chunks": [{"num_segments": m, "segment_focus": i} for m in (3, 10) for i in range(m)],
+                "index_mass_quantile": [{"q": q} for q in (.1, .25, .5, .9)]}
+    data = {"w": [rnd.choice([-2.5, 0.0, 1.0, 4.0, 7.25]) for _ in range(37)], "zero": [0.0] * 12, "same": [1.0] * 23, "one": [-3.0]}
+    got = extract_features(series_of(spark, data, kind), settings, include_raw=False)
+    got = {(r["variable"], r["datetime"], r["feature"]): r["value"] for r in got.collect()}
+    from tsengine.functions.settings import feature_specs
+    for v, xs in data.items():
+        for i in range(len(xs)):
+            for calc, params, suffix in feature_specs(settings):
+                want = CALCULATORS[calc](np.array(xs[:i + 1]), params)
+                value = got[v, START + dt.timedelta(hours=i), f"{v}__{suffix}"]
+                assert value is None if np.isnan(want) else value == pytest.approx(want), (v, i, suffix)

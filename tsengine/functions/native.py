@@ -179,11 +179,10 @@ def native_features(series: DataFrame, specs: Sequence[tuple], variable: str = "
 
     rows = rows.join(blocks, ["_v", "_b"])
     # finish lags that reach into earlier blocks
-    for k in range(1, K + 1):
-        idx = F.size("_prev") - (F.lit(k) - F.col("_i")) + 1
-        fill = F.when((F.col("_i") < k) & (idx >= 1), F.element_at("_prev", idx.cast("int")))
-        rows = rows.withColumn(f"_lag{k}", F.coalesce(F.col(f"_lag{k}"), fill))
-    rows = rows.withColumn("_pos", F.col("_before") + F.col("_i"))
+    rows = rows.selectExpr(
+        "_v", "_b", "_t", "_i", "_x", "_series_head", "_before + _i as _pos",
+        *[f"coalesce(_lag{k}, case when _i < {k} and size(_prev) - {k} + _i >= 0 "
+          f"then element_at(_prev, cast(size(_prev) - {k} + _i + 1 as int)) end) as _lag{k}" for k in range(1, K + 1)])
 
     plan = _Plan(specs, terms, K)
     if plan.calcs & OCCURRENCE:

@@ -27,9 +27,10 @@ def _sorted_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
                        .withColumn("_at", F.monotonically_increasing_id()))
 
 
-def _before(totals: DataFrame, total: str) -> DataFrame:
+def _before(totals: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Adds, by name, the sum of each column over the key's earlier parts."""
     earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.withColumn("_before", F.coalesce(F.sum(total).over(earlier), F.lit(0)))
+    return totals.select("*", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(n) for c, n in columns.items()])
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos: str = "pos",
@@ -38,7 +39,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos: s
     key, or any place among equals will do) and, if named, the key's rows."""
     rows = _sorted_parts(df, keys, order)
     totals = rows.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
-    totals = _before(totals, "_rows")
+    totals = _before(totals, {"_rows": "_before"})
     if count:
         totals = totals.withColumn(count, F.sum("_rows").over(Window.partitionBy("_key")))
     rows = rows.join(totals.drop("_rows"), ["_key", "_part"])
@@ -46,10 +47,17 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos: s
     return rows.withColumn(pos, place).drop("_key", "_part", "_at", "_first", "_before")
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str, total: str) -> DataFrame:
-    """Add the sum of ``weight`` over a key's rows up to and including each row by ``order``."""
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, str]) -> DataFrame:
+    """Add, for each weight column and name in ``sums``, the sum of the weight
+    over a key's rows up to and including each row by ``order``."""
     rows = _sorted_parts(df, keys, order)
-    totals = _before(rows.groupBy("_key", "_part").agg(F.sum(weight).alias("_rows")), "_rows").drop("_rows")
+    totals = rows.groupBy("_key", "_part").agg(*[F.sum(w).alias(f"_t{i}") for i, w in enumerate(sums)])
+    totals = _before(totals, {f"_t{i}": f"_b{i}" for i in range(len(sums))}).select("_key", "_part", *[f"_b{i}" for i in range(len(sums))])
     inside = Window.partitionBy("_key", "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_in", F.sum(weight).over(inside)).join(totals, ["_key", "_part"])
-    return rows.withColumn(total, F.col("_before") + F.col("_in")).drop("_key", "_part", "_at", "_in", "_before")
+    rows = rows.select("*", *[F.sum(w).over(inside).alias(f"_s{i}") for i, w in enumerate(sums)]).join(totals, ["_key", "_part"])
+    return rows.select(*df.columns, *[(F.col(f"_b{i}") + F.col(f"_s{i}")).alias(n) for i, n in enumerate(sums.values())])
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str, total: str) -> DataFrame:
+    """:func:`running_sums` of one weight."""
+    return running_sums(df, keys, order, {weight: total})

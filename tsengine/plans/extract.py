@@ -5,13 +5,14 @@ row per window end and feature, plus (``include_raw``) the window's own last
 value as a feature named exactly like the variable.  Data stays long; pivot
 only what survives selection (``operators.align.pivot_features``).
 
-Three engines share the work:
+Four engines share the work:
 
 * running-sum features (``functions.native``): Spark window + aggregate
   expressions over time blocks, exact for fixed-point input;
 * order statistics and counts beside moving thresholds (``functions.ordered``):
   questions that descend a tree of value ranks level by level, joins and
   windows over blocks only;
+* lookups of stored prefix sums at computed positions (``functions.prefix``);
 * array features (``functions.arrays``): ``applyInPandas`` on
   ``(variable, block)`` groups.  An expanding window needs every earlier
   value, so a block's group also receives the rows of earlier blocks of the
@@ -35,6 +36,7 @@ from pyspark.sql import types as T
 from tsengine.functions.arrays import CALCULATORS, window_values
 from tsengine.functions.native import DEFAULT_BLOCK_SECONDS, FRAMED, NATIVE, bounded_native, native_features
 from tsengine.functions.ordered import ORDERED, ordered_features
+from tsengine.functions.prefix import PREFIX, prefix_features
 from tsengine.functions.settings import feature_specs
 from tsengine.operators.roll import prepare_series, with_positions
 from tsengine.session import materialize
@@ -88,7 +90,10 @@ def _expanding(series, specs, include_raw, variable, order, value, block_seconds
     ordered_specs = [s for s in specs if s[0] in ORDERED]
     if ordered_specs:
         parts.append(ordered_features(series, ordered_specs, variable, order, value, block_seconds))
-    array_specs = [s for s in specs if s[0] not in NATIVE and s[0] not in ORDERED]
+    prefix_specs = [s for s in specs if s[0] in PREFIX]
+    if prefix_specs:
+        parts.append(prefix_features(series, prefix_specs, variable, order, value, block_seconds))
+    array_specs = [s for s in specs if s[0] not in NATIVE | ORDERED | PREFIX]
     if array_specs:
         parts.append(array_features(series, array_specs, variable, order, value, block_seconds))
     if include_raw:

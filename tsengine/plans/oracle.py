@@ -396,6 +396,7 @@ w AS (
 {qrows}"""
     q["q48_moving_thresholds"] = _with(TICKS, _aligned("al", R.HOUR)) + _thresholds_sql("al")
     q["q49_reoccurring_values"] = _with(TICKS, _aligned("al", R.HOUR)) + _reoccurring_sql("al")
+    q["q53_prefix_lookups"] = _with(TICKS, _aligned("al", R.HOUR)) + _prefix_sql("al")
     q["q50_payload_metrics"] = _with(TICKS) + """, s AS (
   SELECT coin, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts_ms,
          row_number() OVER (PARTITION BY coin, CAST(ts AS DATE) ORDER BY ts, seq) - 1 AS seq,
@@ -537,6 +538,32 @@ j AS (
 {rows}"""
 
 
+def _prefix_sql(src: str) -> str:
+    """Every window cut into its segments, and its mass summed up, by a self-join."""
+    qs = [p["q"] for p in R.PREFIXES["index_mass_quantile"]]
+    m = 10
+    items = [(f"energy_ratio_by_chunks__num_segments_{m}__segment_focus_{i}", f"CASE WHEN e > 0 THEN CAST(e{i} AS DOUBLE) / CAST(e AS DOUBLE) END")
+             for i in range(m)]
+    items += [(f"index_mass_quantile__q_{q}", f"CASE WHEN mass > 0 THEN CAST(m{i} AS DOUBLE) / n END") for i, q in enumerate(qs)]
+    rows = "\nUNION ALL ".join(
+        f"SELECT variable, datetime, variable || '__{name}' AS feature, round(CAST({expr} AS DOUBLE), 9) AS value FROM j"
+        for name, expr in items)
+    edge = lambda k: f"({k} * (a.pos // {m}) + least({k}, a.pos % {m}))"
+    energies = ",\n         ".join(f"coalesce(sum(b.u * b.u) FILTER (WHERE b.pos > {edge(i)} AND b.pos <= {edge(i + 1)}), 0) AS e{i}"
+                                   for i in range(m))
+    masses = ",\n         ".join(f"min(b.pos) FILTER (WHERE 10 * b.mass >= {int(round(q * 10))} * a.mass) AS m{i}" for i, q in enumerate(qs))
+    return f""", s AS (
+  SELECT variable, datetime, u, pos, sum(abs(u)) OVER (PARTITION BY variable ORDER BY pos) AS mass FROM (
+    SELECT variable, datetime, CAST(value * 100 AS HUGEINT) AS u, row_number() OVER (PARTITION BY variable ORDER BY datetime) AS pos
+    FROM {src} WHERE value IS NOT NULL)),
+j AS (
+  SELECT a.variable, a.datetime, a.pos AS n, a.mass, sum(b.u * b.u) AS e,
+         {energies},
+         {masses}
+  FROM s a JOIN s b ON b.variable = a.variable AND b.pos <= a.pos GROUP BY a.variable, a.datetime, a.pos, a.mass)
+{rows}"""
+
+
 def _reoccurring_sql(src: str) -> str:
     """Values of every window counted by a self-join."""
     items = [("has_duplicate", "CASE WHEN kinds < n THEN 1.0 ELSE 0.0 END"),

@@ -447,6 +447,14 @@ REOCCURRING = {k: None for k in ("has_duplicate", "percentage_of_reoccurring_val
                                  "sum_of_reoccurring_data_points", "ratio_value_number_to_time_series_length")}
 
 
+PREFIXES = {k: EFFICIENT[k] for k in ("energy_ratio_by_chunks", "index_mass_quantile")}
+
+
+def q53_prefix_lookups(spark, sf):
+    """Shares of energy by segment and places of mass quantiles, from stored prefix sums."""
+    return _rounded(_features(spark, sf, PREFIXES))
+
+
 def q49_reoccurring_values(spark, sf):
     """Distinct and repeated values of expanding windows."""
     return _rounded(_features(spark, sf, REOCCURRING))
