@@ -171,10 +171,15 @@ def ordered_features(series: DataFrame, specs: Sequence[tuple], variable: str =
     quantiles = sorted({s[1]["q"] for s in specs if s[0] == "quantile"})
     if calcs & {"median", "symmetry_looking"}:
         quantiles = [None, *quantiles]              # None: the median
-    asks = [a for i, q in enumerate(quantiles) for a in zip((2 * i, 2 * i + 1), _places(F.lit(0.5 if q is None else q)))]
+    asks = []
+    for i, q in enumerate(quantiles):
+        low, high = _places(F.lit(0.5 if q is None else q))
+        # the median of an odd count is one value: its second question is left out
+        asks += [(2 * i, low), (2 * i + 1, high if q is not None else F.when(F.col("_n") % 2 == 0, high))]
     questions, column = [], {}
     if asks:
-        wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("_ask"), k.cast("bigint").alias("_arg")) for i, k in asks]))
+        wanted = F.array(*[F.struct(F.lit(i).alias("_ask"), k.cast("bigint").alias("_arg")) for i, k in asks])
+        wanted = F.explode(F.filter(wanted, lambda w: w["_arg"].isNotNull()))
         questions.append(ends.select("_v", "_pos", wanted.alias("_w")).select(
             "_v", "_pos", "_w._ask", F.lit(SELECT).alias("_kind"), "_w._arg"))
     bounds = _bounds(specs)
